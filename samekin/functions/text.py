@@ -11,8 +11,9 @@ WHITESPACE_RUN = r"\s+"
 NOT_A_LETTER = "[^a-z]"
 PREFIX_LENGTH = 3
 
-# Identifiers and types lose every leading or trailing control character, not only spaces.
-CONTROL_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+# Identifiers and types lose leading and trailing control characters too, not only
+# spaces.
+CONTROL_CHARACTERS = "".join(chr(code) for code in range(0x21))
 
 
 def normalize_name(name: Column) -> Column:
@@ -25,7 +26,7 @@ def normalize_name(name: Column) -> Column:
 
 
 def trim_control(text: Column) -> Column:
-    return F.regexp_replace(text, CONTROL_EDGES, "")
+    return F.btrim(text, F.lit(CONTROL_CHARACTERS))
 
 
 def normalize_wallet(wallet: Column) -> Column:
