@@ -116,10 +116,17 @@ def matched_edges(decisions: DataFrame) -> DataFrame:
 
 
 def decision_summary(decisions: DataFrame) -> DataFrame:
-    """Pairs per decision and reason kind (the reason without its values)."""
-    kind = F.regexp_replace(F.explode("decisionReasons"), r"\(.*$", "")
+    """Pairs per decision and reason kind (the reason without its values).
+
+    Pairs are counted per combination of kinds first, of which there are a few dozen, and only
+    the combinations are taken apart.
+    """
+    kinds = F.transform("decisionReasons", lambda reason: F.substring_index(reason, "(", 1))
     return (
-        decisions.select("decision", kind.alias("reason"))
-        .groupBy("decision", "reason")
+        decisions.select("decision", kinds.alias("kinds"))
+        .groupBy("decision", "kinds")
         .agg(F.count("*").alias("pairs"))
+        .select("decision", F.explode("kinds").alias("reason"), "pairs")
+        .groupBy("decision", "reason")
+        .agg(F.sum("pairs").alias("pairs"))
     )
