@@ -17,9 +17,11 @@ from samekin.operators import blocking as B
 from samekin.operators import decisions as D
 from samekin.operators import metrics, report
 from samekin.operators.components import resolve_components
+from samekin.operators.linking import connecting_edges
 from samekin.operators.matching import matched_edges_direct
 from samekin.operators.pairs import candidate_pairs, multi_pass_pairs, union_and_deduplicate
 from samekin.operators.scoring import similarity_scores
+from samekin.operators.skew import reused
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 from samekin.plans.resolution import decided_pairs, resolve_entities, scored_pairs
 from samekin.session import scratch_path
@@ -238,10 +240,20 @@ def _entities(policy, passes, max_iter=None):
 
 
 def components_from_edges(spark, sf_dir):
-    edges = matched_edges_direct(transactions(spark, sf_dir), IDENTIFIERS.with_(max_step_distance=72), PASSES)
+    policy = IDENTIFIERS.with_(max_step_distance=72)
+    edges = matched_edges_direct(transactions(spark, sf_dir), policy, PASSES)
     return resolve_components(edges).mapping
 
 
+def components_linked(spark, sf_dir):
+    """By cells, whatever the block sizes say."""
+    with reused() as keep:
+        edges = connecting_edges(
+            transactions(spark, sf_dir), WIDE, PASSES, keep, list_small=False
+        )
+        return resolve_components(edges).mapping
+
+
 def propagation_rounds(spark, sf_dir):
     """Label changes per round of plain propagation."""
     edges = matched_edges_direct(transactions(spark, sf_dir), WIDE, PASSES)
@@ -310,6 +322,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "matched_edges_identifier": _matched_direct(IDENTIFIERS, PASSES),
         "match_count": match_count,
         "components_converged": _entities(WIDE, PASSES),
+        "components_linked": components_linked,
         "components_loose": _entities(LOOSE, PASSES),
         "components_capped": _entities(WIDE, CAPPED),
         "components_identifier": components_from_edges,

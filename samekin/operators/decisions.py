@@ -77,7 +77,7 @@ def reasons(facts: dict[str, Column], policy: DecisionPolicy) -> Column:
         ),
         F.when(~seen.strong, _reason("InsufficientEvidence")),
     )
-    return F.array_sort(F.array_compact(found))
+    return F.sort_array(F.array_compact(found))
 
 
 FACT_COLUMNS = [
@@ -121,12 +121,12 @@ def decision_summary(decisions: DataFrame) -> DataFrame:
     Pairs are counted per combination of kinds first, of which there are a few dozen, and only
     the combinations are taken apart.
     """
-    kinds = F.transform("decisionReasons", lambda reason: F.substring_index(reason, "(", 1))
+    kinds = F.regexp_replace(F.array_join("decisionReasons", ";"), r"\([^)]*\)", "")
     return (
         decisions.select("decision", kinds.alias("kinds"))
         .groupBy("decision", "kinds")
         .agg(F.count("*").alias("pairs"))
-        .select("decision", F.explode("kinds").alias("reason"), "pairs")
+        .select("decision", F.explode(F.split("kinds", ";")).alias("reason"), "pairs")
         .groupBy("decision", "reason")
         .agg(F.sum("pairs").alias("pairs"))
     )

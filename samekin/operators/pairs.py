@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,21 +19,20 @@ from samekin.operators.skew import sized_join
 
 # A block of more rows is joined in tiles of this many rows a side, each tile by its own.
 TILE_ROWS = 20_000
+# One task makes about this many pairs.
+PAIRS_PER_TASK = 20_000_000
+MAX_PARTITIONS = 100_000
 
 
 def _columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if not c.startswith("_") and c != "blockKey"]
 
 
-def _tiled(rows: DataFrame, key: list[str], tile_rows: int) -> DataFrame | None:
-    """``rows`` with the tile each row falls in and the number of tiles of its block, or None
-    when no block is large enough to need tiles."""
-    sizes = rows.groupBy(*key).agg(F.count("*").alias("_rows"))
+def _tiled(rows: DataFrame, key: list[str], sizes: DataFrame, tile_rows: int) -> DataFrame:
+    """``rows`` with the tile each row falls in and the number of tiles of its block."""
     large = sizes.where(F.col("_rows") > tile_rows).select(
         *key, F.ceil(F.col("_rows") / tile_rows).cast("int").alias("_tiles")
     )
-    if large.isEmpty():
-        return None
     tiles = F.coalesce(F.col("_tiles"), F.lit(1))
     tiled = sized_join(rows, large, key, "left").withColumn("_tiles", tiles)
     return tiled.withColumn("_tile", F.pmod(F.xxhash64("txId"), F.col("_tiles")).cast("int"))
@@ -43,19 +44,26 @@ def self_join(
     """All pairs (``l``, ``r``) of rows with equal ``key`` and ``l.txId < r.txId`` as strings,
     as far as they meet ``condition``.
 
-    An equi-join on the key; a block larger than ``tile_rows`` becomes several smaller joins
-    on (key, left tile, right tile), so no task holds a whole large block.
+    An equi-join on the key, in as many partitions as the number of pairs asks for; the bytes
+    shuffled would say little about that. A block larger than ``tile_rows`` becomes several
+    smaller joins on (key, left tile, right tile), so no task holds a whole large block.
     """
     rows = rows.dropna("any", subset=key)
-    tiled = _tiled(rows, key, tile_rows)
+    sizes = rows.groupBy(*key).agg(F.count("*").alias("_rows"))
+    n = F.col("_rows").cast("double")
+    largest, pairs = sizes.agg(F.max("_rows"), F.sum(n * (n - 1.0) / 2.0)).first()
     equal = list(key)
-    if tiled is None:
+    if (largest or 0) <= tile_rows:
         left, right = rows, rows
     else:
+        tiled = _tiled(rows, key, sizes, tile_rows)
         others = F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1))
         left = tiled.withColumn("_ltile", F.col("_tile")).withColumn("_rtile", others)
         right = tiled.withColumn("_rtile", F.col("_tile")).withColumn("_ltile", others)
         equal += ["_ltile", "_rtile"]
+    usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(usual, min(MAX_PARTITIONS, math.ceil((pairs or 0.0) / PAIRS_PER_TASK)))
+    left, right = left.repartition(partitions, *equal), right.repartition(partitions, *equal)
     on = F.col("l.txId") < F.col("r.txId")
     for column in equal:
         on &= F.col(f"l.{column}") == F.col(f"r.{column}")

@@ -290,6 +290,7 @@ select {SCORE_COLUMNS} from s""",
         "match_count": f"""with {_matched(C.WIDE, cap)}
 select 'matched_pairs' as stage, count(*) as rows from ed""",
         "components_converged": _components(C.WIDE),
+        "components_linked": _components(C.WIDE),
         "components_loose": _components(C.LOOSE),
         "components_capped": _components(C.WIDE, cap),
         "components_identifier": _components(identifier_wide),
