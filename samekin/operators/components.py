@@ -11,6 +11,8 @@ from samekin.operators.skew import HOT_ROWS, hot_keys, lookup_join
 from samekin.session import checkpoint_dir
 
 MAX_ROUNDS = 100
+# Above this many edges, those of leaves are set aside before the rounds.
+LEAF_ROWS = 200_000
 
 
 @dataclass
@@ -65,7 +67,60 @@ def propagate_labels(edges: DataFrame, max_iter: int, hot_rows: int = HOT_ROWS)
     return Components(labels.select("txId", F.col("label").alias("resolvedEntityId")), rounds)
 
 
-def contract_to_stars(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
+def _hot(current: DataFrame, key: str, rows: int, hot_rows: int) -> DataFrame | None:
+    return hot_keys(current, key, hot_rows) if rows > hot_rows else None
+
+
+def _star_round(current: DataFrame, rows: int, hot_rows: int) -> DataFrame:
+    """One large-star and one small-star step; ``moved`` marks edges that are new."""
+    # Large-star: the larger neighbours of an id move to that id's smallest neighbour.
+    nearest = current.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("root"))
+    large = lookup_join(current, nearest, "lo", "left", _hot(current, "lo", rows, hot_rows))
+    large = large.select(
+        "hi", F.coalesce("root", "lo").alias("lo"), F.col("root").isNotNull().alias("moved")
+    )
+    # Small-star: an id and its smaller neighbours move to the smallest of them.
+    nearest = large.groupBy("hi").agg(F.min("lo").alias("root"))
+    joined = lookup_join(large, nearest, "hi", "inner", _hot(current, "hi", rows, hot_rows))
+    moved = F.col("moved") | (F.col("lo") != F.col("root"))
+    star = F.array(
+        *[
+            F.struct(F.col(end).alias("hi"), F.col("root").alias("lo"), moved.alias("moved"))
+            for end in ("hi", "lo")
+        ]
+    )
+    return (
+        joined.select(F.explode(star).alias("edge"))
+        .select("edge.*")
+        .where(F.col("hi") != F.col("lo"))
+        .groupBy("hi", "lo")
+        .agg(F.max("moved").alias("moved"))
+    )
+
+
+def _leaves(current: DataFrame) -> DataFrame:
+    """Edges whose larger end has no other edge. They follow their smaller end whatever the
+    rest does, so they need not take part in the rounds."""
+    single = F.count("*").alias("edges")
+    once = current.groupBy("hi").agg(F.min("lo").alias("lo"), single).where("edges = 1")
+    inner = current.select(F.col("lo").alias("hi")).distinct()
+    return once.join(inner, "hi", "left_anti").select("hi", "lo")
+
+
+def _with_leaves(mapping: DataFrame, leaves: DataFrame, rows: int, hot_rows: int) -> DataFrame:
+    labels = mapping.select(F.col("txId").alias("lo"), F.col("resolvedEntityId").alias("label"))
+    hot = _hot(leaves, "lo", rows, hot_rows)
+    followed = lookup_join(leaves, labels, "lo", "left", hot).select(
+        "hi", "lo", F.coalesce("label", "lo").alias("resolvedEntityId"), F.col("label").isNull().alias("alone")
+    )
+    ends = followed.select(F.col("hi").alias("txId"), "resolvedEntityId")
+    centres = followed.where("alone").select(F.col("lo").alias("txId"), "resolvedEntityId")
+    return mapping.unionByName(ends).unionByName(centres.distinct())
+
+
+def contract_to_stars(
+    edges: DataFrame, hot_rows: int = HOT_ROWS, leaf_rows: int = LEAF_ROWS
+) -> Components:
     """Components to convergence by alternating large-star and small-star steps (Kiveris et al.,
     Connected Components in MapReduce and Beyond, 2014).
 
@@ -78,45 +133,30 @@ def contract_to_stars(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
         .select(F.greatest(*ends).alias("hi"), F.least(*ends).alias("lo"))
         .distinct()
     )
-    current, seen = _cut(oriented, rows=F.count(F.lit(1)))
+    count = F.count(F.lit(1))
+    current, seen = _cut(oriented, rows=count)
+    leaves, leaf_count = None, 0
+    if seen["rows"] > leaf_rows:
+        leaves, found = _cut(_leaves(current), rows=count)
+        leaf_count = found["rows"]
+        hot = _hot(current, "hi", seen["rows"], hot_rows)
+        current, seen = _cut(
+            lookup_join(current, leaves.select("hi"), "hi", "left_anti", hot), rows=count
+        )
     rounds: list[int] = []
     while seen["rows"] and (not rounds or rounds[-1] > 0):
         if len(rounds) == MAX_ROUNDS:
             raise RuntimeError(f"no convergence within {MAX_ROUNDS} rounds")
-        hot_lo = hot_hi = None
-        if seen["rows"] > hot_rows:
-            hot_lo = hot_keys(current, "lo", hot_rows)
-            hot_hi = hot_keys(current, "hi", hot_rows)
-        # Large-star: the larger neighbours of an id move to that id's smallest neighbour.
-        nearest = current.groupBy("hi").agg(F.min("lo").alias("root"))
-        large = lookup_join(
-            current, nearest.withColumnRenamed("hi", "lo"), "lo", "left", hot_lo
-        ).select("hi", F.coalesce("root", "lo").alias("lo"), F.col("root").isNotNull().alias("moved"))
-        # Small-star: an id and its smaller neighbours move to the smallest of them.
-        nearest = large.groupBy("hi").agg(F.min("lo").alias("root"))
-        joined = lookup_join(large, nearest, "hi", "inner", hot_hi)
-        moved = F.col("moved") | (F.col("lo") != F.col("root"))
-        star = F.explode(
-            F.array(
-                F.struct(F.col("hi"), F.col("root").alias("lo"), moved.alias("moved")),
-                F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo"), moved.alias("moved")),
-            )
-        )
-        following = (
-            joined.select(star.alias("edge"))
-            .select("edge.*")
-            .where(F.col("hi") != F.col("lo"))
-            .groupBy("hi", "lo")
-            .agg(F.max("moved").alias("moved"))
-        )
-        current, seen = _cut(
-            following, rows=F.count(F.lit(1)), moved=F.count_if(F.col("moved"))
-        )
+        following = _star_round(current, seen["rows"], hot_rows)
+        current, seen = _cut(following, rows=count, moved=F.count_if(F.col("moved")))
         rounds.append(seen["moved"])
         current = current.select("hi", "lo")
+    outer = current.select(F.col("hi").alias("txId"), F.col("lo").alias("resolvedEntityId"))
     roots = current.select(F.col("lo").alias("txId"), F.col("lo").alias("resolvedEntityId"))
-    leaves = current.select(F.col("hi").alias("txId"), F.col("lo").alias("resolvedEntityId"))
-    return Components(leaves.unionByName(roots.distinct()), rounds)
+    mapping = outer.unionByName(roots.distinct())
+    if leaves is not None:
+        mapping = _with_leaves(mapping, leaves, leaf_count, hot_rows)
+    return Components(mapping, rounds)
 
 
 def resolve_components(
