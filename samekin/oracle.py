@@ -183,12 +183,14 @@ def _components(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP, hops: int |
 
 
 def _rounds(policy: DecisionPolicy, rounds: int) -> str:
-    """Ids whose smallest label within k hops is not the one within k - 1."""
+    """Ids whose smallest label within n hops is not the one within n - 1. There is no further
+    round after one without changes."""
     return f"""{_mapping(policy, hops=rounds)},
 k as (select id, n.n, min(lab) filter (where h <= n.n) as now,
              min(lab) filter (where h <= n.n - 1) as before
-      from r cross join (select unnest(range(1, {rounds + 1})) as n) n group by id, n.n)
-select n as iteration, count(*) filter (where now <> before) as changed from k group by n"""
+      from r cross join (select unnest(range(1, {rounds + 1})) as n) n group by id, n.n),
+c2 as (select n as iteration, count(*) filter (where now <> before) as changed from k group by n)
+select iteration, changed from c2 qualify coalesce(lag(changed) over (order by iteration), 1) > 0"""
 
 
 def _report(policy: DecisionPolicy, hops: int | None = None) -> str:
