@@ -221,7 +221,8 @@ def connecting_edges(
     rows = keep(with_match_keys(transactions, policy, passes))
     every = list(range(len(passes)))
     if list_small and few_pairs(per_pass(rows, every)):
-        return block_matches(per_pass(rows, every), policy, first_pass_only(passes))
+        once = first_pass_only(passes)
+        return block_matches(per_pass(rows, every), policy, once, tile_rows=None)
     behavioral = policy.evidence_mode == BEHAVIORAL
     close = [i for i, blocking in enumerate(passes) if behavioral or blocking.same_name]
     listed = [i for i in every if i not in close]

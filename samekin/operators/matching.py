@@ -21,7 +21,9 @@ from samekin.operators.blocking import (
     with_pass_keys,
 )
 from samekin.operators.decisions import evidence
+from samekin.operators.pairs import TILE_ROWS
 from samekin.operators.scoring import facts, with_match_features
+from samekin.operators.skew import sized_join
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 
 # Cells are this many reaches wide, so that a right row seldom needs more than two copies an axis.
@@ -91,11 +93,38 @@ def with_match_keys(
     )
 
 
+def _split_crowded(
+    left: DataFrame, right: DataFrame, cell: list[str], tile_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Spread the left rows of crowded cells over several parts, with a copy of the cell's right
+    rows for each, so that no task has to compare a whole crowded cell."""
+    sizes = left.groupBy(*cell).agg(F.count("*").alias("_rows"))
+    crowded = sizes.where(F.col("_rows") > tile_rows).select(
+        *cell, F.ceil(F.col("_rows") / tile_rows).cast("int").alias("_parts")
+    )
+    if crowded.isEmpty():
+        return left, right
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    left = sized_join(left, crowded, cell, "left").withColumn(
+        "_part", F.pmod(F.xxhash64("txId"), parts).cast("int")
+    )
+    right = sized_join(right, crowded, cell, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
+    )
+    cell.append("_part")
+    return left, right
+
+
 def matching_join(
-    rows: DataFrame, block: list[str], policy: DecisionPolicy, condition: Column | None = None
+    rows: DataFrame,
+    block: list[str],
+    policy: DecisionPolicy,
+    condition: Column | None = None,
+    tile_rows: int | None = TILE_ROWS,
 ) -> DataFrame:
     """Matching rows ``l``, ``r`` with equal ``block`` columns, each unordered pair once with
-    ``l.txId < r.txId`` as strings, as far as they meet ``condition``."""
+    ``l.txId < r.txId`` as strings, as far as they meet ``condition``. Cells of more than
+    ``tile_rows`` rows are split; None says that blocks are known to be smaller."""
     passing = largest_passing_difference(policy.amount_relative_tolerance)
     if passing is None:
         rows, passing = rows.where(F.lit(False)), 0.0
@@ -109,6 +138,8 @@ def matching_join(
     equal = [*block, "_sign", "_time", "_amount"]
     if policy.require_type_match:
         equal.append("typeNorm")
+    if tile_rows is not None:
+        left, right = _split_crowded(left, right, equal, tile_rows)
     on = F.col("l.txId") < F.col("r.txId")
     for column in equal:
         on &= F.col(f"l.{column}") == F.col(f"r.{column}")
@@ -119,16 +150,22 @@ def matching_join(
 
 
 def block_matches(
-    rows: DataFrame, policy: DecisionPolicy, condition: Column | None = None
+    rows: DataFrame,
+    policy: DecisionPolicy,
+    condition: Column | None = None,
+    tile_rows: int | None = TILE_ROWS,
 ) -> DataFrame:
     """Matched pairs inside the blocks of ``per_pass`` rows, as ``src``, ``dst``."""
-    return matching_join(rows, BLOCK, policy, condition).select(
+    return matching_join(rows, BLOCK, policy, condition, tile_rows).select(
         F.col("l.txId").alias("src"), F.col("r.txId").alias("dst")
     )
 
 
 def matched_edges_direct(
-    transactions: DataFrame, policy: DecisionPolicy, passes: tuple[BlockingPass, ...]
+    transactions: DataFrame,
+    policy: DecisionPolicy,
+    passes: tuple[BlockingPass, ...],
+    tile_rows: int | None = TILE_ROWS,
 ) -> DataFrame:
     """The same edges as candidates, scores, decisions and ``matched_edges`` give, each once.
 
@@ -136,4 +173,4 @@ def matched_edges_direct(
     deduplicated afterwards.
     """
     rows = per_pass(with_match_keys(transactions, policy, passes), list(range(len(passes))))
-    return block_matches(rows, policy, first_pass_only(passes))
+    return block_matches(rows, policy, first_pass_only(passes), tile_rows)

@@ -87,7 +87,9 @@ def test_same_entities_as_all_matched_pairs(spark, case, hot_rows):
     if mode == BEHAVIORAL:
         assert len(edges) <= 6 * len(rows)
     if hot_rows != 2:
-        direct = [tuple(e) for e in matched_edges_direct(table, policy, passes).collect()]
+        tile_rows = 3 if case % 2 else None
+        listed = matched_edges_direct(table, policy, passes, tile_rows)
+        direct = [tuple(e) for e in listed.collect()]
         assert len(direct) == len(set(direct))
         assert set(direct) == expected
         assert count_matches(table, policy, passes).first()["rows"] == len(expected)
