@@ -62,10 +62,13 @@ CASES = [
     (fine, 0.10, 3, True, IDENTIFIER, 60, 500),
 ]
 
+# Cases in which all matches are listed and counted as well.
+LISTED = (1, 3, 4, 7, 8, 10)
+
 
 @pytest.mark.parametrize(
     "case, hot_rows",
-    [(case, skew.HOT_ROWS) for case in range(len(CASES))] + [(3, 2), (7, 2)],
+    [(case, skew.HOT_ROWS) for case in range(len(CASES))] + [(3, 2)],
 )
 def test_same_entities_as_all_matched_pairs(spark, case, hot_rows):
     amounts, tolerance, step, require_type, mode, times, cap = CASES[case]
@@ -86,7 +89,7 @@ def test_same_entities_as_all_matched_pairs(spark, case, hot_rows):
     assert components([tuple(e) for e in edges]) == components(expected)
     if mode == BEHAVIORAL:
         assert len(edges) <= 6 * len(rows)
-    if hot_rows != 2:
+    if case in LISTED and hot_rows != 2:
         tile_rows = 3 if case % 2 else None
         listed = matched_edges_direct(table, policy, passes, tile_rows)
         direct = [tuple(e) for e in listed.collect()]
