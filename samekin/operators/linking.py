@@ -115,6 +115,7 @@ def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
         .join(b.alias("b"), on)
         .where(in_amount & (same_time | in_time))
         .select(
+            F.col("a._pass").alias("_pass"),
             F.col("a.rep").alias("a"),
             F.col("b.rep").alias("b"),
             (step > 0).alias("upward"),
@@ -132,14 +133,15 @@ def _settled_by_sweep(open_pairs: DataFrame, moments: DataFrame, policy: Decisio
     decides, and there are at most twice the step window of them.
     """
     reach = F.lit(policy.max_step_distance).cast("long")
-    pair = ["a", "b", "upward"]
-    seekers = open_pairs.join(moments.withColumnRenamed("rep", "a"), "a").select(
+    # The same id can stand for a cell in each pass, so cells are told apart by pass and id.
+    pair = ["_pass", "a", "b", "upward"]
+    seekers = open_pairs.join(moments.withColumnRenamed("rep", "a"), ["_pass", "a"]).select(
         *pair,
         (F.col("_at") + reach).alias("until"),
         F.lit(1).alias("role"),
         F.when(F.col("upward"), F.col("high")).otherwise(F.col("low")).alias("edge"),
     )
-    offers = open_pairs.join(moments.withColumnRenamed("rep", "b"), "b").select(
+    offers = open_pairs.join(moments.withColumnRenamed("rep", "b"), ["_pass", "b"]).select(
         *pair,
         F.col("_at").alias("until"),
         F.lit(0).alias("role"),
@@ -178,16 +180,16 @@ def block_links(
         F.col("rep").alias("src"), F.col("txId").alias("dst")
     )
     links = inside.unionByName(neighbours.where("sure").select(*ends))
-    open_pairs = neighbours.where(~F.col("sure")).select("a", "b", "upward")
+    open_pairs = neighbours.where(~F.col("sure")).select("_pass", "a", "b", "upward")
     if open_pairs.isEmpty():
         return links
     # The extremes at each distinct time, for the pairs of cells still open.
     moments = (
-        members.groupBy("rep", "_at")
+        members.groupBy("_pass", "rep", "_at")
         .agg(F.min("_size").alias("low"), F.max("_size").alias("high"))
         .unionByName(
             cells.where(F.col("members") == 1).select(
-                "rep", F.col("first").alias("_at"), "low", "high"
+                "_pass", "rep", F.col("first").alias("_at"), "low", "high"
             )
         )
     )

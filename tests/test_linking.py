@@ -109,6 +109,23 @@ def test_one_group_holding_most_rows_gives_few_edges(spark):
     assert found == components(matched_pairs(rows, policy))
 
 
+def test_a_row_leading_a_cell_in_both_passes_keeps_them_apart(spark):
+    """x leads a name cell and an amount cell; only the latter has a time that z could reach."""
+    rows = [
+        ("x", "Ann", "w", 100.0, "A", 0),
+        ("y", "Ann", "w", 96.0, "A", 2),
+        ("z", "Ann", "w", 108.0, "A", 7),
+        ("xx", "Bob", "w", 100.0, "A", 3),
+    ]
+    table = spark.createDataFrame(rows, TX_SCHEMA)
+    named = [dict(zip(TX_SCHEMA.names, r)) for r in rows]
+    expected = components(matched_pairs(named, DecisionPolicy()))
+    edges = connecting_edges(
+        table, DecisionPolicy(), (NAME_PASS, AMOUNT_PASS), list_small=False
+    ).collect()
+    assert components([tuple(e) for e in edges]) == expected == {"x": "x", "y": "x", "xx": "x"}
+
+
 def test_duplicate_ids_do_not_link_to_themselves(spark):
     row = ("x", "Ann", "w", 10.0, "A", 1)
     table = spark.createDataFrame([row, row], TX_SCHEMA)
