@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samekin.llm.packing import pack_binary
 from samekin.llm.sharding import ROW_BYTES, histogram_shards
 from samekin.llm.topk import exact_top_k
+from samekin.llm.toxicity import toxicity, train_severity
 
 SHARDS = 24
 QUERY_STEP = 20
@@ -60,8 +62,21 @@ def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_severity(docs, _table(spark, sf_dir, "labels"))
+    return toxicity(docs, model)
+
+
+def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_binary(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
+    "op3_toxicity": op3_toxicity,
+    "op4_binary_packing": op4_binary_packing,
     "op5_histogram_shards": op5_histogram_shards,
 }
 
