@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samekin.llm.packing import pack_binary
+from samekin.llm.quality import quality, train_quality
 from samekin.llm.sharding import ROW_BYTES, histogram_shards
 from samekin.llm.topk import exact_top_k
 from samekin.llm.toxicity import toxicity, train_severity
@@ -73,11 +74,17 @@ def op4_binary_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
     "op3_toxicity": op3_toxicity,
     "op4_binary_packing": op4_binary_packing,
     "op5_histogram_shards": op5_histogram_shards,
+    "op6_quality": op6_quality,
 }
 
 ORACLE_SQL = {"op1_top_k_search": OP1_SQL}
