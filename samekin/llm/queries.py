@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from samekin.llm.packing import pack_binary
 from samekin.llm.quality import quality, train_quality
+from samekin.llm.rules import weak_supervision
 from samekin.llm.sharding import ROW_BYTES, histogram_shards
 from samekin.llm.topk import exact_top_k
 from samekin.llm.toxicity import toxicity, train_severity
@@ -79,12 +80,17 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_supervision(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
     "op3_toxicity": op3_toxicity,
     "op4_binary_packing": op4_binary_packing,
     "op5_histogram_shards": op5_histogram_shards,
     "op6_quality": op6_quality,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLE_SQL = {"op1_top_k_search": OP1_SQL}
