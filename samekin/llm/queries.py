@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samekin.llm.packing import pack_binary
+from samekin.llm.pii import KINDS, joined, ordered, personal_spans, train_pii
 from samekin.llm.quality import quality, train_quality
 from samekin.llm.rules import weak_supervision
 from samekin.llm.sharding import ROW_BYTES, histogram_shards
@@ -84,6 +85,21 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_supervision(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = personal_spans(docs, train_pii(docs))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return marked.select(
+        "doc_id",
+        *[count(kind) for kind in KINDS],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(ordered(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
     "op3_toxicity": op3_toxicity,
@@ -91,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_histogram_shards": op5_histogram_shards,
     "op6_quality": op6_quality,
     "op8_quality_rules": op8_quality_rules,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL = {"op1_top_k_search": OP1_SQL}
