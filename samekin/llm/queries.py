@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samekin.llm.jaccard import near_duplicates
 from samekin.llm.packing import pack_binary
 from samekin.llm.pii import KINDS, joined, ordered, personal_spans, train_pii
 from samekin.llm.quality import quality, train_quality
@@ -81,6 +82,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs, train_quality(docs, _table(spark, sf_dir, "labels")))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_supervision(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_binary_packing": op4_binary_packing,
     "op5_histogram_shards": op5_histogram_shards,
     "op6_quality": op6_quality,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op10_pii": op10_pii,
 }
