@@ -449,3 +449,16 @@ def near_duplicates(
     alone = rows.where(F.col("n") == 0).withColumn("component_id", F.col("doc_id"))
     columns = [F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), "component_id"]
     return full.select(*columns).unionByName(alone.select(*columns))
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of near duplicates, that with the smallest id. Rows
+    without an id or without words all stay. Where ids repeat, one row of an id and text stays, and
+    an id that stands for a class keeps its other texts, too."""
+    found = near_duplicates(docs, id_column, text_column)
+    named = found.where(F.col("component_id") == F.col(id_column)).select(F.col(id_column).alias("_kept"))
+    kept = written(named.groupBy("_kept").agg(F.count("*").alias("_rows")), "kept")
+    staying = docs.join(kept.select("_kept"), F.col(id_column) == F.col("_kept"), "left_semi")
+    if not kept.where(F.col("_rows") > 1).isEmpty():
+        staying = staying.dropDuplicates([id_column, text_column])
+    return staying.unionByName(docs.where(F.col(id_column).isNull()))

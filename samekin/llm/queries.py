@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samekin.llm.jaccard import near_duplicates
+from samekin.llm.mixing import mixing_rates
 from samekin.llm.packing import pack_binary
 from samekin.llm.pii import KINDS, joined, ordered, personal_spans, train_pii
 from samekin.llm.quality import quality, train_quality
 from samekin.llm.rules import weak_supervision
 from samekin.llm.sharding import ROW_BYTES, histogram_shards
 from samekin.llm.topk import exact_top_k
+from samekin.llm.training_order import records, training_shards
 from samekin.llm.toxicity import toxicity, train_severity
 
 SHARDS = 24
@@ -66,6 +68,11 @@ def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record, read back from the shards."""
+    return records(training_shards(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = train_severity(docs, _table(spark, sf_dir, "labels"))
@@ -90,6 +97,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_supervision(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing_rates(docs, _table(spark, sf_dir, "labels"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = personal_spans(docs, train_pii(docs))
@@ -107,12 +119,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
+    "op2_training_order": op2_training_order,
     "op3_toxicity": op3_toxicity,
     "op4_binary_packing": op4_binary_packing,
     "op5_histogram_shards": op5_histogram_shards,
     "op6_quality": op6_quality,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
+    "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
 }
 
