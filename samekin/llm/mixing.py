@@ -24,7 +24,7 @@ DOMAINS = {"good": (1, 0), "poor": (0, 0), "toxic": (None, 1)}
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 # Tokens of the mixture for each token of the corpus.
 EPOCHS = 1.0
-STEPS = 40
+STEPS = 30
 # Relative distance of every domain from its target at which the steps end.
 CLOSE = 1e-4
 # The least share of all tokens that a domain must have to be mixed.
@@ -172,7 +172,10 @@ def fit_rates(
         if all(abs(x) * s <= CLOSE * w for x, s, w in zip(step, sizes, wanted)):
             break
         rates = Rates(least, [*rates.steps, step], now, wanted)
-        now = totals(rates)
+        before, now = now, totals(rates)
+        # Held back by the least rate, say: nothing moves any more.
+        if all(abs(n - b) <= CLOSE / 10 * s for n, b, s in zip(now, before, sizes)):
+            break
     return Rates(least, rates.steps, now, wanted)
 
 

@@ -147,12 +147,13 @@ class Rule:
 
 
 def default_rules() -> list[Rule]:
-    words = F.col("n_words")
+    # Of a text without words every share is 0.
+    words = F.greatest(F.col("n_words"), F.lit(1))
     length = F.col("word_chars") / words
     symbols, shouts = F.col("n_symbols") / words, F.col("_shouts") / words
-    twice = F.col("n_dup_lines") / F.col("_n_lines")
+    twice = F.col("n_dup_lines") / F.greatest(F.col("_n_lines"), F.lit(1))
     repeats, distinct = F.col("n_repeat_words") / words, F.col("_distinct") / words
-    capitals = F.col("_capitals") / F.col("word_chars")
+    capitals = F.col("_capitals") / F.greatest(F.col("word_chars"), F.lit(1))
     stops = F.col("_stops") / words
     return [
         # What speaks for a document as well as against it.
@@ -250,8 +251,7 @@ def weak_supervision(
     """For every row: the five counts, ``base_failed``, ``posterior`` and ``kept``: whether the
     base did not fail and the posterior is ``cut`` at least.
 
-    Null and empty texts have no words: all counts are 0, the base fails, rules that divide by a
-    count abstain. Repeated rows count as often as they occur. No rows give no rows. Other columns
+    Null and empty texts have no words: all counts are 0 and the base fails. Repeated rows count as often as they occur. No rows give no rows. Other columns
     are not read. The counts are computed once, as a narrow table in the shared folder.
     """
     rules = default_rules() if rules is None else rules
