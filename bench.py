@@ -25,10 +25,10 @@ HEADLINE = [
     "matched_edges_fast",
     "match_count",
     "components_converged",
-    "components_linked",
-    "components_bounded",
+    "components_prefix",
+    "components_propagated",
     "top_entities",
-    "top_entities_bounded",
+    "top_entities_propagated",
     "stage_funnel",
 ]
 RUNS = 2

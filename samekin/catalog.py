@@ -16,18 +16,16 @@ from samekin.functions.text import normalize_name
 from samekin.operators import blocking as B
 from samekin.operators import decisions as D
 from samekin.operators import metrics, report
-from samekin.operators.components import resolve_components
-from samekin.operators.linking import connecting_edges
+from samekin.operators.components import propagate_labels
 from samekin.operators.matching import matched_edges_direct
 from samekin.operators.pairs import candidate_pairs, multi_pass_pairs, union_and_deduplicate
 from samekin.operators.scoring import similarity_scores
-from samekin.operators.skew import reused
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 from samekin.plans.resolution import decided_pairs, resolve_entities, scored_pairs
 from samekin.session import scratch_path
 from samekin.sources import payments
 
-# The tables hold few blocks of more than three rows, so that is the cap that shows an effect.
+# The cap of the queries whose feature is a cap: few blocks here have more rows.
 SMALL_CAP = 3
 TOP_N = 20
 
@@ -40,6 +38,8 @@ LOOSE = STANDARD.with_(
     max_step_distance=168, amount_relative_tolerance=0.25, require_type_match=False
 )
 PASSES = B.DEFAULT_PASSES
+PREFIX = (B.PREFIX_PASS,)
+# A cap that the caller sets.
 CAPPED = (B.NAME_PASS, B.BlockingPass("amount_type", B.amount_type_key, SMALL_CAP))
 
 HOURS = "cast(timestampdiff(HOUR, timestamp_ntz'2024-01-01 00:00:00', ts) as bigint)"
@@ -57,7 +57,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _spread(spark.read.parquet(f"{sf_dir}/events.parquet").select(*columns))
     customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
     return payments.canonicalize(
-        events.join(customers, F.col("user_id") == F.col("c_custkey")),
+        events.join(customers, F.col("user_id") == F.col("c_custkey"), "left"),
         F.col("event_id").cast("string"),
         {
             "name": "c_name",
@@ -152,11 +152,6 @@ def cap_hit_rate(spark, sf_dir):
     return metrics.cap_hit_rate(_blocked(spark, sf_dir), SMALL_CAP)
 
 
-def truncate_blocks(spark, sf_dir):
-    blocked = _blocked(spark, sf_dir, B.exact_name_key)
-    return B.truncate_blocks(blocked, SMALL_CAP).select("txId", "blockKey")
-
-
 def sub_block(spark, sf_dir):
     blocked = _blocked(spark, sf_dir, B.exact_name_key)
     return B.sub_block(blocked, SMALL_CAP, F.col("txType")).select("txId", "blockKey")
@@ -173,14 +168,13 @@ def pairs_name(spark, sf_dir):
 
 
 def pairs_amount(spark, sf_dir):
-    blocked = _blocked(spark, sf_dir)
-    return _pair_rows(candidate_pairs(B.cap_blocks(blocked, B.AMOUNT_BLOCK_CAP)))
+    return _pair_rows(candidate_pairs(_blocked(spark, sf_dir)))
 
 
 def pairs_union_dedup(spark, sf_dir):
     by_name = candidate_pairs(_blocked(spark, sf_dir, B.exact_name_key))
-    capped = B.cap_blocks(_blocked(spark, sf_dir), SMALL_CAP)
-    return _pair_rows(union_and_deduplicate(by_name, candidate_pairs(capped)))
+    by_amount = candidate_pairs(_blocked(spark, sf_dir))
+    return _pair_rows(union_and_deduplicate(by_name, by_amount))
 
 
 def pairs_deduped(spark, sf_dir):
@@ -199,9 +193,7 @@ def similarity_scores_all(spark, sf_dir):
 
 def similarity_scores_amount(spark, sf_dir):
     """Names that differ, so that the edit distance is exercised."""
-    tx = transactions(spark, sf_dir)
-    capped = B.cap_blocks(B.block(tx, B.amount_type_key()), B.AMOUNT_BLOCK_CAP)
-    return similarity_scores(candidate_pairs(capped))
+    return similarity_scores(candidate_pairs(_blocked(spark, sf_dir)))
 
 
 def _decisions(policy):
@@ -218,7 +210,7 @@ def _decisions(policy):
 
 
 def decision_summary(spark, sf_dir):
-    return D.decision_summary(decided_pairs(transactions(spark, sf_dir), WIDE, PASSES))
+    return D.score_summary(scored_pairs(transactions(spark, sf_dir), PASSES), WIDE)
 
 
 def matched_edges(spark, sf_dir):
@@ -230,34 +222,36 @@ def _matched_direct(policy, passes):
 
 
 def match_count(spark, sf_dir):
-    return metrics.count_matches(transactions(spark, sf_dir), WIDE, CAPPED)
+    return metrics.count_matches(transactions(spark, sf_dir), WIDE, PASSES)
+
+
+def content_id_edges(spark, sf_dir):
+    """Matched pairs of a table in which every payment occurs twice, under content ids."""
+    path = scratch_path(spark, "payments.csv")
+    raw = raw_payments(spark, sf_dir)
+    raw.unionByName(raw).write.option("header", True).csv(path)
+    return matched_edges_direct(payments.load_payments_strict(spark, path), WIDE, PASSES)
 
 
-def _entities(policy, passes, max_iter=None):
+def _entities(policy, passes):
     return lambda spark, sf_dir: resolve_entities(
-        transactions(spark, sf_dir), policy, passes, max_iter
+        transactions(spark, sf_dir), policy, passes
     ).mapping
 
 
-def components_from_edges(spark, sf_dir):
-    policy = IDENTIFIERS.with_(max_step_distance=72)
-    edges = matched_edges_direct(transactions(spark, sf_dir), policy, PASSES)
-    return resolve_components(edges).mapping
+def _propagated(spark, sf_dir):
+    return propagate_labels(matched_edges_direct(transactions(spark, sf_dir), WIDE, PASSES))
 
 
-def components_linked(spark, sf_dir):
-    """By cells, whatever the block sizes say."""
-    with reused() as keep:
-        edges = connecting_edges(
-            transactions(spark, sf_dir), WIDE, PASSES, keep, list_small=False
-        )
-        return resolve_components(edges).mapping
+def components_propagated(spark, sf_dir):
+    """By plain propagation over all matched pairs, to convergence."""
+    return _propagated(spark, sf_dir).mapping
+
 
 
 def propagation_rounds(spark, sf_dir):
-    """Label changes per round of plain propagation."""
-    edges = matched_edges_direct(transactions(spark, sf_dir), WIDE, PASSES)
-    rounds = resolve_components(edges, max_iter=5).rounds
+    """Label changes per round of plain propagation, down to the round without any."""
+    rounds = _propagated(spark, sf_dir).rounds
     return spark.createDataFrame(list(enumerate(rounds, 1)), "iteration bigint, changed bigint")
 
 
@@ -276,9 +270,9 @@ def top_entities(spark, sf_dir):
     return report.top_entities(transactions(spark, sf_dir), mapping, TOP_N)
 
 
-def top_entities_bounded(spark, sf_dir):
-    """The standard run: label propagation over five rounds."""
-    mapping = _entities(WIDE, PASSES, max_iter=5)(spark, sf_dir)
+def top_entities_propagated(spark, sf_dir):
+    """The report over entities by plain propagation."""
+    mapping = components_propagated(spark, sf_dir)
     return report.top_entities(transactions(spark, sf_dir), mapping, TOP_N)
 
 
@@ -305,7 +299,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_blocks_amount": _top_blocks(B.amount_type_key),
         "cap_blocks": cap_blocks,
         "cap_hit_rate": cap_hit_rate,
-        "truncate_blocks": truncate_blocks,
         "subblock": sub_block,
         "pairs_name": pairs_name,
         "pairs_amount": pairs_amount,
@@ -319,18 +312,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "matched_edges": matched_edges,
         "matched_edges_fast": _matched_direct(WIDE, PASSES),
         "matched_edges_capped": _matched_direct(WIDE, CAPPED),
+        "content_id_edges": content_id_edges,
         "matched_edges_identifier": _matched_direct(IDENTIFIERS, PASSES),
         "match_count": match_count,
         "components_converged": _entities(WIDE, PASSES),
-        "components_linked": components_linked,
+        "components_prefix": _entities(STANDARD, PREFIX),
         "components_loose": _entities(LOOSE, PASSES),
-        "components_capped": _entities(WIDE, CAPPED),
-        "components_identifier": components_from_edges,
-        "components_bounded": _entities(WIDE, PASSES, max_iter=2),
+        "components_identifier": _entities(IDENTIFIERS.with_(max_step_distance=72), PASSES),
+        "components_propagated": components_propagated,
         "propagation_rounds": propagation_rounds,
         "entity_sizes": entity_sizes,
         "entity_report": entity_report,
         "top_entities": top_entities,
-        "top_entities_bounded": top_entities_bounded,
+        "top_entities_propagated": top_entities_propagated,
         "stage_funnel": stage_funnel,
     }

@@ -23,7 +23,6 @@ def resolve(
     target: str,
     policy: DecisionPolicy,
     passes: tuple[BlockingPass, ...] = DEFAULT_PASSES,
-    max_iter: int | None = None,
     explain: bool = False,
 ) -> list[int]:
     """Write the block reports, the mapping, entity sizes, the top entities and the funnel under
@@ -44,7 +43,7 @@ def resolve(
     if explain:
         write(decided_pairs(transactions, policy, passes), "decisions")
 
-    resolved = resolve_entities(transactions, policy, passes, max_iter)
+    resolved = resolve_entities(transactions, policy, passes)
     mapping = resolved.mapping
     write(mapping, "mapping")
     write(report.entity_sizes(mapping), "entity_sizes")
@@ -59,7 +58,6 @@ def main() -> None:
     parser.add_argument("source", help="canonical Parquet, or a raw payment .csv")
     parser.add_argument("target", help="folder for the result tables")
     parser.add_argument("--policy", help="JSON file with the policy settings")
-    parser.add_argument("--max-iter", type=int, help="rounds of label propagation, else all")
     parser.add_argument("--explain", action="store_true", help="also write all decisions")
     arguments = parser.parse_args()
     policy = DecisionPolicy()
@@ -74,7 +72,6 @@ def main() -> None:
         transactions,
         arguments.target,
         policy,
-        max_iter=arguments.max_iter,
         explain=arguments.explain,
     )
     print(f"label changes per round: {rounds}")

@@ -6,15 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samekin.functions.text import NOT_A_LETTER, PREFIX_LENGTH, normalize_name
 from samekin.operators.skew import sized_join
 
-# Fixed value: the cap of the amount pass.
-AMOUNT_BLOCK_CAP = 500
-
 
 def prefix_key(name: str = "name") -> Column:
     """First letters of the normalized name."""
@@ -37,7 +33,8 @@ def amount_type_key(amount: str = "amount", tx_type: str = "txType") -> Column:
 class BlockingPass:
     """One way to form blocks.
 
-    ``max_block_size`` drops larger blocks from this pass. ``same_name`` promises that all rows
+    ``max_block_size``, if the caller sets one, drops larger blocks from this pass; the passes below
+    have none, whatever a block's size. ``same_name`` promises that all rows
     of a block have the same normalized name.
     """
 
@@ -48,7 +45,7 @@ class BlockingPass:
 
 
 NAME_PASS = BlockingPass("exact_name", exact_name_key, same_name=True)
-AMOUNT_PASS = BlockingPass("amount_type", amount_type_key, AMOUNT_BLOCK_CAP)
+AMOUNT_PASS = BlockingPass("amount_type", amount_type_key)
 PREFIX_PASS = BlockingPass("name_prefix", prefix_key)
 DEFAULT_PASSES = (NAME_PASS, AMOUNT_PASS)
 
@@ -77,25 +74,9 @@ def cap_blocks(blocked: DataFrame, max_block_size: int) -> DataFrame:
     return sized_join(keyed, oversized_blocks(blocked, max_block_size), "blockKey", "left_anti")
 
 
-def truncate_blocks(
-    blocked: DataFrame, max_block_size: int, order_by: str = "txId"
-) -> DataFrame:
-    """Keep the first ``max_block_size`` rows of every block, in the order of a unique column.
-
-    The rows are ranked inside random shares of each block first, so that the final ranking
-    sees at most ``max_block_size`` rows per share however large the block is.
-    """
-    shares = 32
-    keyed = blocked.where(F.col("blockKey").isNotNull())
-    spread = keyed.withColumn("_share", F.pmod(F.xxhash64(order_by), F.lit(shares)))
-    for partition in (["blockKey", "_share"], ["blockKey"]):
-        rank = F.row_number().over(W.partitionBy(*partition).orderBy(order_by))
-        spread = spread.withColumn("_rank", rank).where(F.col("_rank") <= max_block_size)
-    return spread.drop("_share", "_rank")
-
-
 def sub_block(blocked: DataFrame, max_block_size: int, sub_key: Column) -> DataFrame:
-    """Split blocks of more than ``max_block_size`` rows by a second key; no row is lost."""
+    """Split blocks of more than ``max_block_size`` rows by a second key. No row is lost, but pairs
+    across second keys are: a tool to look at blocks, not a pass to resolve entities with."""
     keyed = blocked.where(F.col("blockKey").isNotNull()).withColumn("_sub", sub_key.cast("string"))
     marked = oversized_blocks(blocked, max_block_size).withColumn("_large", F.lit(True))
     joined = sized_join(keyed, marked, "blockKey", "left")

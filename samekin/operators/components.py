@@ -38,9 +38,9 @@ def _cut(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
     return observed.checkpoint(eager=True), observation.get
 
 
-def propagate_labels(edges: DataFrame, max_iter: int, hot_rows: int = HOT_ROWS) -> Components:
-    """Plain propagation for at most ``max_iter`` rounds: each id gets the smallest id within
-    that many hops. Stops early when nothing changes.
+def propagate_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
+    """Plain propagation: in each round an id takes the smallest label of its neighbours, until a
+    round changes nothing. It takes as many rounds as the longest shortest path has edges.
 
     Only labels that changed in a round are sent on in the next one.
     """
@@ -49,7 +49,7 @@ def propagate_labels(edges: DataFrame, max_iter: int, hot_rows: int = HOT_ROWS)
     labels = labels.select("txId", F.col("txId").alias("label"), F.lit(True).alias("changed"))
     hot = hot_keys(both, "src", hot_rows) if size["rows"] > hot_rows else None
     rounds: list[int] = []
-    while len(rounds) < max_iter and (not rounds or rounds[-1] > 0):
+    while not rounds or rounds[-1] > 0:
         moved = labels.where("changed").select(F.col("txId").alias("src"), "label")
         offers = lookup_join(both, moved, "src", "inner", hot).select(
             F.col("dst").alias("txId"), "label", F.lit(None).cast("string").alias("own")
@@ -159,11 +159,6 @@ def contract_to_stars(
     return Components(mapping, rounds)
 
 
-def resolve_components(
-    edges: DataFrame, max_iter: int | None = None, hot_rows: int = HOT_ROWS
-) -> Components:
-    """Map every id of ``edges`` to its entity. Without ``max_iter`` to convergence; with it,
-    plain propagation over that many hops."""
-    if max_iter is None:
-        return contract_to_stars(edges, hot_rows)
-    return propagate_labels(edges, max_iter, hot_rows)
+def resolve_components(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
+    """Map every id of ``edges`` to its entity, the smallest id it hangs together with."""
+    return contract_to_stars(edges, hot_rows)

@@ -130,3 +130,44 @@ def decision_summary(decisions: DataFrame) -> DataFrame:
         .groupBy("decision", "reason")
         .agg(F.sum("pairs").alias("pairs"))
     )
+
+
+def score_summary(scores: DataFrame, policy: DecisionPolicy) -> DataFrame:
+    """:func:`decision_summary` straight from scored pairs: they are counted per combination of
+    yes-or-no findings, and reasons are named for the few combinations only."""
+    seen = evidence({name: F.col(name) for name in FACT_COLUMNS}, policy)
+    flags = {
+        "wallet": seen.wallet,
+        "name": seen.name_above,
+        "amount": seen.amount_within,
+        "type": seen.type_matched,
+        "step": seen.step_within,
+        "strong": seen.strong,
+        "matched": seen.matched,
+    }
+    counted = (
+        scores.select(*[flag.alias(name) for name, flag in flags.items()])
+        .groupBy(*flags)
+        .agg(F.count("*").alias("pairs"))
+    )
+
+    def either(flag: str, yes: str, no: str) -> Column:
+        return F.when(F.col(flag), yes).otherwise(no)
+
+    kinds = F.array(
+        F.when(F.col("wallet"), "ExactWalletMatch"),
+        either("name", "NameSimilarityAboveThreshold", "NameSimilarityBelowThreshold"),
+        either("amount", "AmountDeltaWithinTolerance", "AmountDeltaAboveTolerance"),
+        either("type", "TypeMatched", "TypeMismatched"),
+        either("step", "StepWithinWindow", "StepOutsideWindow"),
+        F.when(~F.col("strong"), "InsufficientEvidence"),
+    )
+    return (
+        counted.select(
+            either("matched", MATCHED, NOT_MATCHED).alias("decision"),
+            F.explode(F.array_compact(kinds)).alias("reason"),
+            "pairs",
+        )
+        .groupBy("decision", "reason")
+        .agg(F.sum("pairs").alias("pairs"))
+    )

@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samekin.functions.similarity import amount_relative_difference
-from samekin.operators.blocking import BLOCK, BlockingPass, first_pass_only, per_pass
+from samekin.operators.blocking import BLOCK, BlockingPass, per_pass
 from samekin.operators.matching import (
     amount_sign,
     block_matches,
@@ -39,10 +39,6 @@ from samekin.plans.policy import BEHAVIORAL, DecisionPolicy
 # matching rows may be up to two cells apart in amount, and one in time.
 AMOUNT_STEPS = 2
 
-# Matches are listed instead when no block has more rows and there are no more pairs per row.
-LISTED_BLOCK = 10_000
-LISTED_PAIRS_PER_ROW = 64
-
 CELL = [*BLOCK, "_type", "_sign", "_time", "_amount"]
 
 
@@ -91,15 +87,26 @@ def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
     """Pairs of neighbouring cells ``a``, ``b`` whose extremes allow a match. ``sure`` tells
     that there is one; otherwise it depends on which amounts go with which times.
 
-    ``a`` is the earlier cell, or the lower one at the same time. The join is on block and time
-    cell; the number of amount cells under one such key does not grow with the rows.
+    ``a`` is the earlier cell, or the lower one at the same time. It looks into each cell that can be
+    its neighbour, so the join is on equality alone and a cell meets a few others at most.
     """
-    later = F.explode(F.array(F.lit(0), F.lit(1)))
-    a = cells.withColumn("_later", later).withColumn("_time", F.col("_time") + F.col("_later"))
+    reach = range(-AMOUNT_STEPS, AMOUNT_STEPS + 1)
+    looks = [(0, s) for s in reach if s > 0] + [(1, s) for s in reach]
+    look = F.explode(
+        F.array(*[F.struct(F.lit(t).alias("later"), F.lit(s).alias("step")) for t, s in looks])
+    )
+    a = cells.withColumn("_look", look).withColumns(
+        {
+            "_later": F.col("_look.later"),
+            "_step": F.col("_look.step"),
+            "_time": F.col("_time") + F.col("_look.later"),
+            "_amount": F.col("_amount") + F.col("_look.step"),
+        }
+    )
     b = cells
-    step = F.col("b._amount") - F.col("a._amount")
-    on = step.between(F.when(F.col("a._later") == 0, 1).otherwise(-AMOUNT_STEPS), AMOUNT_STEPS)
-    for column in (*BLOCK, "_type", "_sign", "_time"):
+    step = F.col("a._step")
+    on = F.lit(True)
+    for column in CELL:
         on &= F.col(f"a.{column}") == F.col(f"b.{column}")
 
     in_time = F.col("b.first") - F.col("a.last") <= F.lit(policy.max_step_distance)
@@ -196,35 +203,20 @@ def block_links(
     return links.unionByName(_settled_by_sweep(open_pairs, moments, policy).select(*ends))
 
 
-def few_pairs(rows: DataFrame) -> bool:
-    """Whether the blocks of ``per_pass`` rows are so small that listing matches stays linear in
-    the rows: no large block, and few pairs a row even if all of them matched."""
-    sizes = rows.groupBy(*BLOCK).agg(F.count("*").cast("double").alias("n"))
-    largest, members, pairs = sizes.agg(
-        F.max("n"), F.sum("n"), F.sum(F.col("n") * (F.col("n") - 1.0) / 2.0)
-    ).first()
-    return not members or (largest <= LISTED_BLOCK and pairs <= LISTED_PAIRS_PER_ROW * members)
-
-
 def connecting_edges(
     transactions: DataFrame,
     policy: DecisionPolicy,
     passes: tuple[BlockingPass, ...],
     keep: Keep = recomputed,
     hot_rows: int = HOT_ROWS,
-    list_small: bool = True,
 ) -> DataFrame:
     """Edges ``src``, ``dst`` with the connected components of the full matched graph.
 
-    Where block sizes show that there are few pairs anyway, the matches are listed. Otherwise
-    blocks are linked by cells. In identifier mode a pair also needs a name or wallet match: a
+    Blocks are linked by cells, whatever their size. In identifier mode a pair also needs a name or wallet match: a
     pass whose blocks share one name has that for free, in any other pass matches are listed.
     """
     rows = keep(with_match_keys(transactions, policy, passes))
     every = list(range(len(passes)))
-    if list_small and few_pairs(per_pass(rows, every)):
-        once = first_pass_only(passes)
-        return block_matches(per_pass(rows, every), policy, once, tile_rows=None)
     behavioral = policy.evidence_mode == BEHAVIORAL
     close = [i for i, blocking in enumerate(passes) if behavioral or blocking.same_name]
     listed = [i for i in every if i not in close]

@@ -21,7 +21,7 @@ from samekin.operators.blocking import (
     with_pass_keys,
 )
 from samekin.operators.decisions import evidence
-from samekin.operators.pairs import TILE_ROWS
+from samekin.operators.pairs import TILE_ROWS, one_row_per_id
 from samekin.operators.scoring import facts, with_match_features
 from samekin.operators.skew import sized_join
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
@@ -77,10 +77,10 @@ def with_match_keys(
 ) -> DataFrame:
     """The narrow row matching needs: id, amount, time, pass keys and those of the normalized
     columns that the policy looks at. Rows that cannot match anything, for want of an amount, a
-    time or a required type, are left out."""
+    time or a required type, are left out, and rows with the same id are one."""
     identifiers = policy.evidence_mode == IDENTIFIER
     wanted = {"nameNorm": identifiers, "walletNorm": identifiers, "typeNorm": policy.require_type_match}
-    keyed = with_pass_keys(with_match_features(transactions), passes)
+    keyed = with_pass_keys(with_match_features(one_row_per_id(transactions)), passes)
     usable = F.col("amount").isNotNull() & F.col("eventTime").isNotNull()
     if policy.require_type_match:
         usable &= F.col("typeNorm").isNotNull()
@@ -96,22 +96,26 @@ def with_match_keys(
 def _split_crowded(
     left: DataFrame, right: DataFrame, cell: list[str], tile_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Spread the left rows of crowded cells over several parts, with a copy of the cell's right
-    rows for each, so that no task has to compare a whole crowded cell."""
-    sizes = left.groupBy(*cell).agg(F.count("*").alias("_rows"))
-    crowded = sizes.where(F.col("_rows") > tile_rows).select(
-        *cell, F.ceil(F.col("_rows") / tile_rows).cast("int").alias("_parts")
-    )
+    """Spread the rows of crowded cells over parts on both sides; each left part meets each right
+    part in a join of its own, so no task compares more than a tile of either."""
+
+    def parts(side: DataFrame, name: str) -> DataFrame:
+        sizes = side.groupBy(*cell).agg(F.ceil(F.count("*") / tile_rows).cast("int").alias(name))
+        return sizes.where(F.col(name) > 1)
+
+    crowded = parts(left, "_lparts").join(parts(right, "_rparts"), cell, "full")
+    crowded = crowded.na.fill(1, ["_lparts", "_rparts"])
     if crowded.isEmpty():
         return left, right
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    left = sized_join(left, crowded, cell, "left").withColumn(
-        "_part", F.pmod(F.xxhash64("txId"), parts).cast("int")
-    )
-    right = sized_join(right, crowded, cell, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    cell.append("_part")
+
+    def spread(side: DataFrame, own: str, other: str) -> DataFrame:
+        known = sized_join(side, crowded, cell, "left").na.fill(1, ["_lparts", "_rparts"])
+        place = F.pmod(F.xxhash64("txId"), F.col(f"_{own}parts")).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"_{other}parts") - 1))
+        return known.withColumn(f"_{own}part", place).withColumn(f"_{other}part", every)
+
+    left, right = spread(left, "l", "r"), spread(right, "r", "l")
+    cell += ["_lpart", "_rpart"]
     return left, right
 
 
@@ -169,7 +173,7 @@ def matched_edges_direct(
 ) -> DataFrame:
     """The same edges as candidates, scores, decisions and ``matched_edges`` give, each once.
 
-    Ids must be unique; a pair is left to the first pass that has it, so nothing needs to be
+    A pair is left to the first pass that has it, so nothing needs to be
     deduplicated afterwards.
     """
     rows = per_pass(with_match_keys(transactions, policy, passes), list(range(len(passes))))

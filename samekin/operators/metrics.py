@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from samekin.operators.blocking import BlockingPass, block_sizes, pass_key, with_pass_keys
 from samekin.operators.matching import matching_join, with_match_keys
+from samekin.operators.pairs import one_row_per_id
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 
 # Fixed value: how many blocks the size report lists.
@@ -122,8 +123,8 @@ def stage_funnel(
     policy: DecisionPolicy,
     passes: tuple[BlockingPass, ...],
 ) -> DataFrame:
-    """Rows per stage, from transactions to entities. Pairs are counted, never listed. Ids must
-    be unique."""
+    """Rows per stage, from transactions to entities. Pairs are counted, never listed, and
+    rows with the same id are one."""
     loaded = transactions.agg(F.count("*").alias("rows"))
     resolved = mapping.agg(
         F.count("*").alias("resolved_transactions"),
@@ -131,7 +132,7 @@ def stage_funnel(
     )
     stages = [
         loaded.select(F.lit("transactions").alias("stage"), "rows"),
-        pair_counts(with_pass_keys(transactions, passes), passes),
+        pair_counts(with_pass_keys(one_row_per_id(transactions), passes), passes),
         count_matches(transactions, policy, passes),
         resolved.unpivot([], ["resolved_transactions", "resolved_entities"], "stage", "rows"),
     ]

@@ -17,10 +17,12 @@ from samekin.operators.blocking import (
 )
 from samekin.operators.skew import sized_join
 
-# A block of more rows is joined in tiles of this many rows a side, each tile by its own.
-TILE_ROWS = 20_000
-# One task makes about this many pairs.
+# A block of more rows is joined in tiles of this many rows a side, each tile by its own, so that a
+# tile makes no more pairs than a task should.
+TILE_ROWS = 4_000
+# One task makes about this many pairs, and reads about this many rows.
 PAIRS_PER_TASK = 20_000_000
+ROWS_PER_TASK = 2_000_000
 MAX_PARTITIONS = 100_000
 
 
@@ -44,14 +46,16 @@ def self_join(
     """All pairs (``l``, ``r``) of rows with equal ``key`` and ``l.txId < r.txId`` as strings,
     as far as they meet ``condition``.
 
-    An equi-join on the key, in as many partitions as the number of pairs asks for; the bytes
-    shuffled would say little about that. A block larger than ``tile_rows`` becomes several
+    An equi-join on the key, in as many partitions as the numbers of rows and of pairs ask for; the
+    bytes shuffled would say little about the latter. A block larger than ``tile_rows`` becomes several
     smaller joins on (key, left tile, right tile), so no task holds a whole large block.
     """
     rows = rows.dropna("any", subset=key)
     sizes = rows.groupBy(*key).agg(F.count("*").alias("_rows"))
     n = F.col("_rows").cast("double")
-    largest, pairs = sizes.agg(F.max("_rows"), F.sum(n * (n - 1.0) / 2.0)).first()
+    largest, members, pairs = sizes.agg(
+        F.max("_rows"), F.sum("_rows"), F.sum(n * (n - 1.0) / 2.0)
+    ).first()
     equal = list(key)
     if (largest or 0) <= tile_rows:
         left, right = rows, rows
@@ -62,7 +66,8 @@ def self_join(
         right = tiled.withColumn("_rtile", F.col("_tile")).withColumn("_ltile", others)
         equal += ["_ltile", "_rtile"]
     usual = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(usual, min(MAX_PARTITIONS, math.ceil((pairs or 0.0) / PAIRS_PER_TASK)))
+    needed = max((pairs or 0.0) / PAIRS_PER_TASK, (members or 0) / ROWS_PER_TASK)
+    partitions = max(usual, min(MAX_PARTITIONS, math.ceil(needed)))
     left, right = left.repartition(partitions, *equal), right.repartition(partitions, *equal)
     on = F.col("l.txId") < F.col("r.txId")
     for column in equal:
@@ -76,6 +81,14 @@ def _side(alias: str, columns: list[str]) -> Column:
     return F.struct(*[F.col(f"{alias}.{c}") for c in columns])
 
 
+def one_row_per_id(transactions: DataFrame) -> DataFrame:
+    """Rows with the same id, such as exact copies under a content id, as one: the smallest of them.
+    A row has no pair with itself, and a pair of ids is one pair."""
+    others = [c for c in transactions.columns if c != "txId"]
+    one = transactions.groupBy("txId").agg(F.min(F.struct(*others)).alias("_one"))
+    return one.select("txId", *[F.col(f"_one.{c}").alias(c) for c in others]).select(*transactions.columns)
+
+
 def candidate_pairs(blocked: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Every unordered pair of rows of a block once, as ``left``, ``right``, ``blockKey``."""
     columns = _columns(blocked)
@@ -105,7 +118,7 @@ def multi_pass_pairs(
 ) -> DataFrame:
     """Deduplicated pairs over all passes, with the names of the passes that found each.
 
-    Ids must be unique. A pair is emitted by the first pass that has it and suppressed in
+    Ids must be unique (:func:`one_row_per_id`). A pair is emitted by the first pass that has it and suppressed in
     later ones, so the pairs, the largest data there is, are not shuffled again to be
     deduplicated. ``blockKey`` is the smallest of the keys the pair shares.
     """

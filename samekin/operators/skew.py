@@ -1,8 +1,9 @@
 """Joins of row tables to per-key lookups that hold up when one key has a large share of rows.
 
 A key is *hot* when it is among the ``MAX_HOT_KEYS`` most frequent ones and has more than
-``HOT_ROWS`` rows. The list is bounded by that number whatever the data size, and any key left out
-holds at most ``1 / MAX_HOT_KEYS`` of all rows, which an ordinary shuffle partition carries.
+``HOT_ROWS`` rows. The list is bounded by that number whatever the data size. A key left out holds at
+most ``1 / MAX_HOT_KEYS`` of all rows; it is shuffled by an ordinary join, whose large partitions
+adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from samekin.session import scratch_path
+
 MAX_HOT_KEYS = 1024
 HOT_ROWS = 1_000_000
 
@@ -62,12 +65,17 @@ def sized_join(
     how: str,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Like :func:`lookup_join`, for a lookup that is usually tiny. If it is seen to be within
-    the broadcast bounds it is read once and broadcast as a whole, and ``rows`` are not shuffled."""
-    found = lookup.limit(BROADCAST_ROWS + 1).toArrow()
-    if found.num_rows <= BROADCAST_ROWS and found.nbytes <= BROADCAST_BYTES:
-        small = rows.sparkSession.createDataFrame(found, lookup.schema)
-        return rows.join(F.broadcast(small), key, how)
+    """Like :func:`lookup_join`, for a lookup that is usually tiny. It is computed once, into the
+    shared folder, and measured there. Within the broadcast bounds it is broadcast as a whole, and
+    ``rows`` are not shuffled."""
+    path = scratch_path(rows.sparkSession, "lookup")
+    lookup.write.parquet(path)
+    lookup = rows.sparkSession.read.schema(lookup.schema).parquet(path)
+    texts = [f.name for f in lookup.schema if f.dataType.typeName() == "string"]
+    width = sum((F.coalesce(F.octet_length(t), F.lit(0)) for t in texts), F.lit(8 * len(lookup.columns)))
+    count, size = lookup.agg(F.count("*"), F.sum(width)).first()
+    if count <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(lookup), key, how)
     return lookup_join(rows, lookup, key, how, hot_keys(rows, key, hot_rows))
 
 

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from samekin import catalog as C
-from samekin.operators.blocking import AMOUNT_BLOCK_CAP
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 
 TX = """tx as (
   select cast(event_id as varchar) as "txId", c_name as name,
          'U' || cast(user_id as varchar) as wallet, value as amount, event_type as "txType",
          cast(floor(epoch(ts - timestamp '2024-01-01') / 3600) as bigint) as "eventTime"
-  from events join customer on user_id = c_custkey)"""
+  from events left join customer on user_id = c_custkey)"""
+
+# The same rows under content ids, as the strict loader gives them; copies are one row.
+CONTENT_TX = TX.replace("tx as (", "tx0 as (", 1) + """, tx as (
+  select distinct sha256(concat_ws('-', "eventTime", "txType", name, 'M' || "txId", amount))
+         as "txId", name, name as wallet, amount, "txType", "eventTime" from tx0)"""
+
+# More rounds than propagation takes here; rows after the first round without changes are left out.
+ROUNDS = 30
 
 NAME_KEY = "lower(trim(name, ' '))"
 AMOUNT_KEY = (
@@ -30,7 +37,9 @@ def _blocked(key: str, name: str = "b") -> str:
     return f'{name} as (select *, {key} as "blockKey" from tx)'
 
 
-def _capped(blocked: str, cap: int, name: str) -> str:
+def _capped(blocked: str, cap: int | None, name: str) -> str:
+    if cap is None:
+        return f"{name} as (select * from {blocked})"
     return f"""{name} as (
   select * from {blocked} where "blockKey" in
     (select "blockKey" from {blocked} group by "blockKey" having count(*) <= {cap}))"""
@@ -46,7 +55,7 @@ def _pairs(blocked: str) -> str:
   from {blocked} l join {blocked} r on l."blockKey" = r."blockKey" and l."txId" < r."txId\""""
 
 
-def _candidates(cap: int) -> str:
+def _candidates(cap: int | None) -> str:
     """Blocks of both passes and their deduplicated pairs ``c``."""
     return ", ".join(
         [
@@ -136,7 +145,7 @@ def _reasons(policy: DecisionPolicy) -> str:
     case when not strong then 'InsufficientEvidence' end], lambda x: x is not null))"""
 
 
-def _decided(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP) -> str:
+def _decided(policy: DecisionPolicy, cap: int | None = None) -> str:
     return f"{_candidates(cap)}, {_scores('c')}, {_evidence(policy)}"
 
 
@@ -156,16 +165,16 @@ select decision, reason, count(*) as pairs from (
   from e) group by 1, 2"""
 
 
-def _matched(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP) -> str:
+def _matched(policy: DecisionPolicy, cap: int | None = None) -> str:
     return f"""{_decided(policy, cap)},
 ed as (select distinct "leftTxId" as src, "rightTxId" as dst from e where matched)"""
 
 
-def _edges(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP) -> str:
+def _edges(policy: DecisionPolicy, cap: int | None = None) -> str:
     return f"with {_matched(policy, cap)} select src, dst from ed"
 
 
-def _mapping(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP, hops: int | None = None) -> str:
+def _mapping(policy: DecisionPolicy, cap: int | None = None, hops: int | None = None) -> str:
     """Components ``m``: smallest id reached, over all hops or at most so many."""
     both = "g as (select src, dst from ed union select dst, src from ed)"
     if hops is None:
@@ -178,8 +187,23 @@ def _mapping(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP, hops: int | No
 m as (select id as "txId", min(lab) as "resolvedEntityId" from r group by id)"""
 
 
-def _components(policy: DecisionPolicy, cap: int = AMOUNT_BLOCK_CAP, hops: int | None = None) -> str:
-    return f'{_mapping(policy, cap, hops)} select "txId", "resolvedEntityId" from m'
+def _components(policy: DecisionPolicy) -> str:
+    return f'{_mapping(policy)} select "txId", "resolvedEntityId" from m'
+
+
+def _components_prefix(policy: DecisionPolicy) -> str:
+    """One pass, by prefix. Neither names nor wallets matter here, so the rows themselves are joined."""
+    difference = _two_decimals("abs(l.amount - r.amount) / ((abs(l.amount) + abs(r.amount)) / 2.0)")
+    return f"""with recursive {TX}, {_blocked(PREFIX_KEY)},
+ed as (select l."txId" as src, r."txId" as dst from b l join b r on l."blockKey" = r."blockKey"
+  and upper(trim(l."txType")) = upper(trim(r."txType")) and l."txId" < r."txId"
+  and abs(l."eventTime" - r."eventTime") <= {policy.max_step_distance}
+  where case when l.amount = 0 and r.amount = 0 then 0.0 else {difference} end
+    < {policy.amount_relative_tolerance}),
+g as (select src, dst from ed union select dst, src from ed),
+r(id, lab) as (select src, src from g union select g.dst, r.lab from r join g on r.id = g.src),
+m as (select id as "txId", min(lab) as "resolvedEntityId" from r group by id)
+select "txId", "resolvedEntityId" from m"""
 
 
 def _rounds(policy: DecisionPolicy, rounds: int) -> str:
@@ -193,8 +217,8 @@ c2 as (select n as iteration, count(*) filter (where now <> before) as changed f
 select iteration, changed from c2 qualify coalesce(lag(changed) over (order by iteration), 1) > 0"""
 
 
-def _report(policy: DecisionPolicy, hops: int | None = None) -> str:
-    return f"""{_mapping(policy, hops=hops)},
+def _report(policy: DecisionPolicy) -> str:
+    return f"""{_mapping(policy)},
 a as (select "resolvedEntityId", cast(sum(cast(amount as decimal(30,8))) as double) as total,
              count(*) as n, count(distinct wallet) as ids
       from tx join m using ("txId") group by 1),
@@ -230,7 +254,6 @@ def oracle_sql() -> dict[str, str]:
   order by 2 desc, 1 limit {C.TOP_N}"""
     cap = C.SMALL_CAP
     sized = _blocked(NAME_KEY)
-    capped_pairs = _capped("b", AMOUNT_BLOCK_CAP, "bc")
     identifier_wide = C.IDENTIFIERS.with_(max_step_distance=72)
     return {
         "canonical_transactions": _tx(canonical),
@@ -257,29 +280,23 @@ def oracle_sql() -> dict[str, str]:
   as "hitRatePct" from (select count(*) as n from b group by "blockKey")""",
             _blocked(AMOUNT_KEY),
         ),
-        "truncate_blocks": _tx(
-            f"""select "txId", "blockKey" from b qualify row_number() over
-  (partition by "blockKey" order by "txId") <= {cap}""",
-            sized,
-        ),
         "subblock": _tx(
             f"""select "txId", case when count(*) over (partition by "blockKey") > {cap}
   then "blockKey" || '|sub:' || "txType" else "blockKey" end as "blockKey" from b""",
             sized,
         ),
         "pairs_name": _tx(_pairs("b"), sized),
-        "pairs_amount": _tx(_pairs("bc"), _blocked(AMOUNT_KEY), capped_pairs),
-        "pairs_union_dedup": f"""with {_candidates(cap)}
+        "pairs_amount": _tx(_pairs("b"), _blocked(AMOUNT_KEY)),
+        "pairs_union_dedup": f"""with {_candidates(None)}
 select "leftTxId", "rightTxId", "blockKey" from c""",
-        "pairs_deduped": f"""with {_candidates(AMOUNT_BLOCK_CAP)}
+        "pairs_deduped": f"""with {_candidates(None)}
 select "leftTxId", "rightTxId", "blockKey", passes from c""",
-        "similarity_scores": f"""with {_candidates(AMOUNT_BLOCK_CAP)}, {_scores("c")}
+        "similarity_scores": f"""with {_candidates(None)}, {_scores("c")}
 select {SCORE_COLUMNS} from s""",
         "similarity_scores_amount": _tx(
             f"select {SCORE_COLUMNS} from s",
             _blocked(AMOUNT_KEY),
-            capped_pairs,
-            f"p0 as ({_pairs('bc')})",
+            f"p0 as ({_pairs('b')})",
             _scores("p0"),
         ),
         "decisions_behavioral": _decisions(C.STANDARD),
@@ -288,21 +305,20 @@ select {SCORE_COLUMNS} from s""",
         "matched_edges": _edges(C.WIDE),
         "matched_edges_fast": _edges(C.WIDE),
         "matched_edges_capped": _edges(C.WIDE, cap),
+        "content_id_edges": _edges(C.WIDE).replace(TX, CONTENT_TX),
         "matched_edges_identifier": _edges(C.IDENTIFIERS),
-        "match_count": f"""with {_matched(C.WIDE, cap)}
+        "match_count": f"""with {_matched(C.WIDE)}
 select 'matched_pairs' as stage, count(*) as rows from ed""",
         "components_converged": _components(C.WIDE),
-        "components_linked": _components(C.WIDE),
+        "components_prefix": _components_prefix(C.STANDARD),
         "components_loose": _components(C.LOOSE),
-        "components_capped": _components(C.WIDE, cap),
         "components_identifier": _components(identifier_wide),
-        "components_bounded": _components(C.WIDE, hops=2),
-        "propagation_rounds": _rounds(C.WIDE, 5),
+        "components_propagated": _components(C.WIDE),
+        "propagation_rounds": _rounds(C.WIDE, ROUNDS),
         "entity_sizes": f"""{_mapping(C.WIDE)}
 select "resolvedEntityId", count(*) as "count" from m group by 1""",
         "entity_report": f"{_report(C.WIDE)} select * from rep",
         "top_entities": f"{_report(C.WIDE)} select * from rep {TOP_ORDER} limit {C.TOP_N}",
-        "top_entities_bounded": f"""{_report(C.WIDE, hops=5)}
-select * from rep {TOP_ORDER} limit {C.TOP_N}""",
+        "top_entities_propagated": f"{_report(C.WIDE)} select * from rep {TOP_ORDER} limit {C.TOP_N}",
         "stage_funnel": _funnel(C.WIDE),
     }

@@ -25,7 +25,7 @@ class DecisionPolicy:
         for field in ("name_similarity_threshold", "amount_relative_tolerance"):
             if not 0.0 <= getattr(self, field) <= 1.0:
                 raise ValueError(f"{field} must be between 0.0 and 1.0: {getattr(self, field)}")
-        if not self.policy_version:
+        if not self.policy_version.strip():
             raise ValueError("policy_version must not be empty")
         if self.max_step_distance < 0:
             raise ValueError(f"max_step_distance must not be negative: {self.max_step_distance}")
@@ -46,8 +46,10 @@ class DecisionPolicy:
         values = {}
         for name, (field, kind) in SETTINGS.items():
             value = settings[name]
-            if kind is bool and not isinstance(value, bool):
-                raise ValueError(f"{name} must be true or false: {value}")
+            # True is an int to Python, and a whole number will do for a fraction.
+            fits = isinstance(value, (int, float) if kind is float else kind)
+            if not fits or (isinstance(value, bool) and kind is not bool):
+                raise ValueError(f"{name} must be of type {kind.__name__}: {value!r}")
             values[field] = kind(value)
         return cls(**values)
 

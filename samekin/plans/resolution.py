@@ -8,14 +8,12 @@ from samekin.operators import decisions as D
 from samekin.operators.blocking import DEFAULT_PASSES, BlockingPass
 from samekin.operators.components import Components, resolve_components
 from samekin.operators.linking import connecting_edges
-from samekin.operators.matching import matched_edges_direct
-from samekin.operators.pairs import multi_pass_pairs
+from samekin.operators.pairs import multi_pass_pairs, one_row_per_id
 from samekin.operators.skew import reused
 from samekin.operators.scoring import similarity_scores, with_match_features
 from samekin.plans.policy import DecisionPolicy
 
-# Fixed values of the standard run: rounds of label propagation and length of the report.
-STANDARD_MAX_ITER = 5
+# Fixed value of the standard run: the length of the report.
 TOP_ENTITIES = 20
 
 
@@ -23,7 +21,8 @@ def scored_pairs(
     transactions: DataFrame, passes: tuple[BlockingPass, ...] = DEFAULT_PASSES
 ) -> DataFrame:
     """Facts of every deduplicated candidate pair of all passes."""
-    return similarity_scores(multi_pass_pairs(with_match_features(transactions), passes))
+    features = with_match_features(one_row_per_id(transactions))
+    return similarity_scores(multi_pass_pairs(features, passes))
 
 
 def decided_pairs(
@@ -39,15 +38,7 @@ def resolve_entities(
     transactions: DataFrame,
     policy: DecisionPolicy,
     passes: tuple[BlockingPass, ...] = DEFAULT_PASSES,
-    max_iter: int | None = None,
 ) -> Components:
-    """Transactions to entities.
-
-    To convergence (the default) a connecting set of edges is enough. A bounded number of rounds
-    gives each id the smallest id within that many matches, which depends on all matched pairs,
-    so these are listed then.
-    """
-    if max_iter is None:
-        with reused() as keep:
-            return resolve_components(connecting_edges(transactions, policy, passes, keep))
-    return resolve_components(matched_edges_direct(transactions, policy, passes), max_iter)
+    """Transactions to entities, to convergence, by a connecting set of edges."""
+    with reused() as keep:
+        return resolve_components(connecting_edges(transactions, policy, passes, keep))

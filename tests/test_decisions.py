@@ -3,14 +3,13 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
-from samekin.operators.decisions import decide, decision_summary, matched_edges
+from samekin.operators.decisions import decide, decision_summary, matched_edges, score_summary
 from samekin.plans.policy import BEHAVIORAL, IDENTIFIER, DecisionPolicy
 from samekin.plans.resolution import decided_pairs, resolve_entities, scored_pairs
 from samekin.operators.metrics import stage_funnel
 from samekin.operators.report import entity_report, top_entities
 from samekin.operators.blocking import DEFAULT_PASSES
 from samekin.schema import TX_SCHEMA
-from samekin.sources.samples import sample_transactions
 
 SCORES = """leftTxId string, rightTxId string, nameSimilarity double, walletExactMatch boolean,
   amountRelativeDifference double, blockKey string, typeExactMatch boolean, timeDistance bigint"""
@@ -47,6 +46,12 @@ def test_policy_from_settings():
         {"maxStepDistance": -1},
         {"evidenceMode": "BOTH"},
         {"walletMatchEnabled": "yes"},
+        {"maxStepDistance": 5.9},
+        {"maxStepDistance": True},
+        {"version": None},
+        {"version": " "},
+        {"amountRelativeTolerance": "0.1"},
+        {"evidenceMode": 3},
     ],
 )
 def test_policy_rejects(change):
@@ -117,60 +122,72 @@ def test_missing_values_never_match(spark):
     assert sorted(map(tuple, entities.collect())) == [("a", "a"), ("c", "a")]
 
 
-def test_sample_scores(spark):
-    scores = {
-        (r["leftTxId"], r["rightTxId"]): r for r in scored_pairs(sample_transactions(spark)).collect()
-    }
-    assert len(scores) == 10
-    same = scores["s09", "s24"]
-    assert (same["nameSimilarity"], same["walletExactMatch"], same["timeDistance"]) == (1.0, False, 3)
-    assert same["blockKey"] == "amt:21990|type:TRANSFER"
-    cased = scores["s20", "s31"]
-    assert (cased["nameSimilarity"], cased["amountRelativeDifference"]) == (1.0, 0.69)
-
-
-def test_sample_entities(spark):
-    sample = sample_transactions(spark)
-    policy = DecisionPolicy()
-    mapping = resolve_entities(sample, policy).mapping
-    groups = {}
-    for tx, entity in mapping.collect():
-        groups.setdefault(entity, set()).add(tx)
-    assert groups == {
-        "s01": {"s01", "s11", "s18", "s22"},
-        "s06": {"s06", "s29"},
-        "s09": {"s09", "s24"},
-        "s16": {"s16", "s30"},
+# Ten payments: two persons paying like amounts, one of them under two spellings; a refund; zeros.
+PAYMENTS = [
+    ("a9", "Émile Roy", "V1", 60.0, "WIRE", 100),
+    ("a8", "émile roy", "V2", 62.5, "WIRE", 104),
+    ("a7", "Emil Roy", "V3", 60.0, "wire ", 102),
+    ("a6", "Kofi\tMensah", "V4", 60.0, "WIRE", 180),
+    ("a5", "Kofi Mensah", "V4", 900.0, "CASH", 181),
+    ("a4", "Kofi Mensah", "V5", 905.0, "CASH", 186),
+    ("a3", "Kofi Mensah", "V5", -905.0, "CASH", 186),
+    ("a2", "Lu", "V6", 0.0, "CASH", 3),
+    ("a1", "Li", "V7", 0.0, "CASH", 5),
+    ("a0", None, None, 60.0, None, 101),
+]
+
+
+def payments(spark):
+    return spark.createDataFrame(PAYMENTS, TX_SCHEMA)
+
+
+def test_scores_of_awkward_rows(spark):
+    scores = {(r["leftTxId"], r["rightTxId"]): r for r in scored_pairs(payments(spark)).collect()}
+    assert set(scores) == {
+        ("a8", "a9"), ("a3", "a4"), ("a3", "a5"), ("a4", "a5"), ("a6", "a9"), ("a1", "a2"),
     }
-    top = top_entities(sample, mapping, 2).collect()
-    assert [tuple(r) for r in top] == [("s01", 1240.0, "1,240", 4, 4), ("s06", 529.6, "530", 2, 2)]
-    assert entity_report(sample, mapping).count() == 4
-    funnel = {r["stage"]: r["rows"] for r in stage_funnel(sample, mapping, policy, DEFAULT_PASSES).collect()}
+    cased = scores["a8", "a9"]
+    assert (cased["nameSimilarity"], cased["walletExactMatch"], cased["timeDistance"]) == (1.0, False, 4)
+    assert cased["amountRelativeDifference"] == 0.04
+    assert scores["a1", "a2"]["amountRelativeDifference"] == 0.0
+    assert scores["a3", "a4"]["amountRelativeDifference"] == 2.0
+
+
+def test_entities_and_funnel_of_awkward_rows(spark):
+    table, policy = payments(spark), DecisionPolicy()
+    mapping = resolve_entities(table, policy).mapping
+    assert sorted(map(tuple, mapping.collect())) == [
+        ("a1", "a1"), ("a2", "a1"), ("a4", "a4"), ("a5", "a4"), ("a8", "a8"), ("a9", "a8"),
+    ]
+    top = top_entities(table, mapping, 2).collect()
+    assert [tuple(r) for r in top] == [("a4", 1805.0, "1,805", 2, 2), ("a8", 122.5, "122", 2, 2)]
+    assert entity_report(table, mapping).count() == 3
+    funnel = {r["stage"]: r["rows"] for r in stage_funnel(table, mapping, policy, DEFAULT_PASSES).collect()}
     assert funnel == {
-        "transactions": 31,
-        "pairs_exact_name": 2,
-        "pairs_amount_type": 9,
-        "pairs_deduplicated": 10,
-        "matched_pairs": 9,
-        "resolved_transactions": 10,
-        "resolved_entities": 4,
+        "transactions": 10,
+        "pairs_exact_name": 4,
+        "pairs_amount_type": 2,
+        "pairs_deduplicated": 6,
+        "matched_pairs": 3,
+        "resolved_transactions": 6,
+        "resolved_entities": 3,
     }
 
 
-def test_summary_counts_kinds(spark):
-    decisions = decided_pairs(sample_transactions(spark), DecisionPolicy())
+def test_summaries_count_kinds(spark):
+    decisions = decided_pairs(payments(spark), DecisionPolicy())
     expected = {}
     for row in decisions.collect():
         for reason in row["decisionReasons"]:
             key = (row["decision"], reason.split("(")[0])
             expected[key] = expected.get(key, 0) + 1
-    found = {(r["decision"], r["reason"]): r["pairs"] for r in decision_summary(decisions).collect()}
-    assert found == expected
+    for found in (decision_summary(decisions), score_summary(scored_pairs(payments(spark)), DecisionPolicy())):
+        assert {(r["decision"], r["reason"]): r["pairs"] for r in found.collect()} == expected
 
 
 def test_matched_filter_reaches_the_join(spark):
     """Losing pairs are dropped inside the self-join, not after it."""
-    plan = matched_edges(decided_pairs(sample_transactions(spark), DecisionPolicy()))
+    plan = matched_edges(decided_pairs(payments(spark), DecisionPolicy()))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in text.splitlines() if "Join Inner" in line)
     assert "<= 5" in join and "0.1" in join

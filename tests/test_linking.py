@@ -11,6 +11,7 @@ from samekin.operators.linking import connecting_edges
 from samekin.operators.matching import matched_edges_direct
 from samekin.operators.metrics import count_matches
 from samekin.plans.policy import BEHAVIORAL, IDENTIFIER, DecisionPolicy
+from samekin.plans.resolution import decided_pairs, resolve_entities
 from samekin.schema import TX_SCHEMA
 from tests.brute_force import components, matched_pairs
 
@@ -83,9 +84,7 @@ def test_same_entities_as_all_matched_pairs(spark, case, hot_rows):
     expected = matched_pairs(rows, policy, cap)
     table = spark.createDataFrame([tuple(r.values()) for r in rows], TX_SCHEMA)
 
-    edges = connecting_edges(
-        table, policy, passes, hot_rows=hot_rows, list_small=False
-    ).collect()
+    edges = connecting_edges(table, policy, passes, hot_rows=hot_rows).collect()
     assert components([tuple(e) for e in edges]) == components(expected)
     if mode == BEHAVIORAL:
         assert len(edges) <= 6 * len(rows)
@@ -120,17 +119,33 @@ def test_a_row_leading_a_cell_in_both_passes_keeps_them_apart(spark):
     table = spark.createDataFrame(rows, TX_SCHEMA)
     named = [dict(zip(TX_SCHEMA.names, r)) for r in rows]
     expected = components(matched_pairs(named, DecisionPolicy()))
-    edges = connecting_edges(
-        table, DecisionPolicy(), (NAME_PASS, AMOUNT_PASS), list_small=False
-    ).collect()
+    edges = connecting_edges(table, DecisionPolicy(), (NAME_PASS, AMOUNT_PASS)).collect()
     assert components([tuple(e) for e in edges]) == expected == {"x": "x", "y": "x", "xx": "x"}
 
 
 def test_duplicate_ids_do_not_link_to_themselves(spark):
     row = ("x", "Ann", "w", 10.0, "A", 1)
     table = spark.createDataFrame([row, row], TX_SCHEMA)
-    for list_small in (True, False):
-        edges = connecting_edges(
-            table, DecisionPolicy(), (NAME_PASS, AMOUNT_PASS), list_small=list_small
-        )
-        assert edges.count() == 0
+    assert connecting_edges(table, DecisionPolicy(), (NAME_PASS, AMOUNT_PASS)).count() == 0
+
+
+@pytest.mark.parametrize("rows", [500, 501, 25_000])
+def test_blocks_of_any_size_resolve_whole(spark, rows):
+    """Equal amounts and types: one block, one entity, whatever its size."""
+    table = spark.range(rows).selectExpr(
+        "cast(id as string) as txId", "concat('n', id) as name", "concat('w', id) as wallet",
+        "7.5D as amount", "'A' as txType", "id % 5 as eventTime",
+    )
+    mapping = resolve_entities(table, DecisionPolicy()).mapping
+    assert mapping.count() == rows
+    assert [r[0] for r in mapping.select("resolvedEntityId").distinct().collect()] == ["0"]
+
+
+def test_copies_of_a_row_count_once(spark):
+    """Two copies each of two matching rows are one pair, one edge and one match."""
+    rows = [("x", "Ann", "w", 10.0, "A", 1), ("y", "Ann", "w", 10.0, "A", 2)] * 2
+    table = spark.createDataFrame(rows, TX_SCHEMA)
+    passes = (NAME_PASS, AMOUNT_PASS)
+    assert decided_pairs(table, DecisionPolicy(), passes).count() == 1
+    assert [tuple(r) for r in matched_edges_direct(table, DecisionPolicy(), passes).collect()] == [("x", "y")]
+    assert count_matches(table, DecisionPolicy(), passes).first()["rows"] == 1

@@ -15,12 +15,33 @@ from samekin.operators.blocking import (
     cap_blocks,
     exact_name_key,
     sub_block,
-    truncate_blocks,
 )
 from samekin.operators.metrics import cap_hit_rate, pair_counts, top_block_sizes
 from samekin.operators.blocking import with_pass_keys
-from samekin.operators.pairs import candidate_pairs, multi_pass_pairs, union_and_deduplicate
-from samekin.sources.samples import sample_transactions
+from samekin.operators.pairs import (
+    candidate_pairs,
+    multi_pass_pairs,
+    one_row_per_id,
+    union_and_deduplicate,
+)
+from samekin.schema import TX_SCHEMA
+
+
+# Two payments of one person, a misspelt name, one amount under two types, rows without a key.
+PEOPLE = [
+    ("p1", "Zoë Ünal", "k1", 40.0, "CARD", 9),
+    ("p2", "zoë ünal ", "k2", 40.0, "CARD", 11),
+    ("p3", "Zoe Unal", "k3", 41.0, "CARD", 12),
+    ("p4", "Bert", "k4", 40.0, "CASH", 9),
+    ("p5", "Bertha", "k4", 40.004, "CASH", 300),
+    ("p6", None, "k5", 40.0, "CARD", 9),
+    ("p7", "Bert", None, None, "CASH", 9),
+    ("p8", "", "k6", -40.0, None, 9),
+]
+
+
+def people(spark):
+    return spark.createDataFrame(PEOPLE, TX_SCHEMA)
 
 
 def keyed(spark, sizes):
@@ -69,16 +90,6 @@ def test_cap_keeps_blocks_up_to_the_cap(spark, lookup_path):
     assert {r[0]: r[1] for r in block_sizes(kept).collect()} == {"a": 1, "b": 2, "c": 5}
 
 
-def test_truncate_keeps_the_first_rows_of_every_block(spark):
-    table = keyed(spark, SIZES)
-    kept = truncate_blocks(table, 3)
-    rows = table.where("blockKey is not null").collect()
-    expected = set()
-    for key in SIZES:
-        expected |= {(t, key) for t in sorted(r["txId"] for r in rows if r["blockKey"] == key)[:3]}
-    assert {tuple(r) for r in kept.collect()} == expected
-
-
 def test_sub_block_splits_large_blocks_only_and_loses_nothing(spark, lookup_path):
     table = keyed(spark, SIZES)
     split = sub_block(table, 5, F.substring("txId", -1, 1)).collect()
@@ -109,7 +120,7 @@ def test_union_keeps_one_row_per_unordered_pair(spark):
 
 
 def test_passes_together_equal_union_and_dedup(spark):
-    sample = sample_transactions(spark)
+    sample = people(spark)
     passes = (PREFIX_PASS, NAME_PASS, BlockingPass("amount_type", amount_type_key, 3))
     single = [candidate_pairs(block(sample, p.key())) for p in passes[:2]]
     capped = candidate_pairs(cap_blocks(block(sample, amount_type_key()), 3))
@@ -128,14 +139,19 @@ def test_passes_together_equal_union_and_dedup(spark):
         "pairs_amount_type": capped.count(),
         "pairs_deduplicated": expected.count(),
     }
-    shared = together.where("left.txId = 's09' and right.txId = 's24'").first()
+    shared = together.where("left.txId = 'p1' and right.txId = 'p2'").first()
     assert shared["passes"] == ["name_prefix", "exact_name", "amount_type"]
 
 
-def test_sample_blocks(spark):
-    sample = sample_transactions(spark)
-    by_amount = ids(candidate_pairs(cap_blocks(block(sample, AMOUNT_PASS.key()), 500)))
-    same = [["s01", "s11", "s18", "s22"], ["s09", "s24"], ["s16", "s30"], ["s06", "s29"]]
-    assert by_amount == sorted(p for group in same for p in combinations(sorted(group), 2))
-    by_name = ids(candidate_pairs(block(sample, exact_name_key())))
-    assert by_name == [("s09", "s24"), ("s20", "s31")]
+def test_blocks_of_awkward_rows(spark):
+    by_amount = ids(candidate_pairs(block(people(spark), AMOUNT_PASS.key())))
+    assert by_amount == sorted([*combinations(["p1", "p2", "p6"], 2), ("p4", "p5")])
+    by_name = ids(candidate_pairs(block(people(spark), exact_name_key())))
+    assert by_name == [("p1", "p2"), ("p4", "p7")]
+
+
+def test_rows_with_the_same_id_become_one(spark):
+    table = people(spark)
+    doubled = one_row_per_id(table.unionByName(table))
+    assert doubled.columns == table.columns
+    assert sorted(map(str, doubled.collect())) == sorted(map(str, table.collect()))

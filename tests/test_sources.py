@@ -6,7 +6,6 @@ from samekin.jobs.convert import convert
 from samekin.schema import RAW_SCHEMA, TX_SCHEMA, require_columns
 from samekin.session import checkpoint_dir, scratch_path
 from samekin.sources import payments
-from samekin.sources.samples import sample_transactions
 
 HEADER = ",".join(RAW_SCHEMA.names)
 ROW = "3,PAYMENT,12.5,C1,0.0,0.0,M1,0.0,0.0,0,0"
@@ -70,9 +69,3 @@ def test_checkpoint_dir_is_the_configured_one(spark):
     assert configured in checkpoint_dir(spark)
     assert scratch_path(spark, "x").startswith(checkpoint_dir(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
-
-
-def test_sample_has_31_rows(spark):
-    sample = sample_transactions(spark)
-    assert sample.count() == 31
-    assert {r[0] for r in sample.select("txType").distinct().collect()} == {"TRANSFER"}
