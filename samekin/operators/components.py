@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from samekin.operators.skew import HOT_ROWS, hot_keys, lookup_join
-from samekin.session import checkpoint_dir
+from samekin.session import release, scratch_path
 
 MAX_ROUNDS = 100
 # Above this many edges, those of leaves are set aside before the rounds.
@@ -30,12 +30,26 @@ def symmetric_edges(edges: DataFrame) -> DataFrame:
     return forth.unionByName(back).distinct()
 
 
-def _cut(df: DataFrame, **metrics) -> tuple[DataFrame, dict]:
-    """Materialize in the shared checkpoint folder and read metrics on the way."""
-    checkpoint_dir(df.sparkSession)
+@dataclass
+class _Round:
+    """A table written to the shared folder, and metrics read on the way."""
+
+    table: DataFrame
+    path: str
+    seen: dict
+
+    def release(self) -> None:
+        release(self.table.sparkSession, self.path)
+
+
+def _cut(df: DataFrame, **metrics) -> _Round:
+    """Materialize as Parquet in the shared folder. Whoever makes the next round from it releases it
+    once that is written, so one round is kept and a lost executor costs at most one."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "round")
     observation = Observation()
-    observed = df.observe(observation, *[m.alias(name) for name, m in metrics.items()])
-    return observed.checkpoint(eager=True), observation.get
+    df.observe(observation, *[m.alias(name) for name, m in metrics.items()]).write.parquet(path)
+    return _Round(spark.read.schema(df.schema).parquet(path), path, observation.get)
 
 
 def propagate_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
@@ -44,15 +58,16 @@ def propagate_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
 
     Only labels that changed in a round are sent on in the next one.
     """
-    both, size = _cut(symmetric_edges(edges), rows=F.count(F.lit(1)))
-    labels = both.select(F.col("src").alias("txId")).distinct()
+    both = _cut(symmetric_edges(edges), rows=F.count(F.lit(1)))
+    labels = both.table.select(F.col("src").alias("txId")).distinct()
     labels = labels.select("txId", F.col("txId").alias("label"), F.lit(True).alias("changed"))
-    hot = hot_keys(both, "src", hot_rows) if size["rows"] > hot_rows else None
+    hot = hot_keys(both.table, "src", hot_rows) if both.seen["rows"] > hot_rows else None
     rounds: list[int] = []
+    last = None
     while not rounds or rounds[-1] > 0:
         moved = labels.where("changed").select(F.col("txId").alias("src"), "label")
-        offers = lookup_join(both, moved, "src", "inner", hot).select(
-            F.col("dst").alias("txId"), "label", F.lit(None).cast("string").alias("own")
+        offers = lookup_join(both.table, moved, "src", "inner", hot).select(
+            F.col("dst").alias("txId"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("own")
         )
         best = F.min("label").alias("label")
         merged = (
@@ -62,8 +77,12 @@ def propagate_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
             .agg(best, F.max("own").alias("own"))
             .select("txId", "label", (F.col("label") != F.col("own")).alias("changed"))
         )
-        labels, seen = _cut(merged, changed=F.count_if(F.col("changed")))
-        rounds.append(seen["changed"])
+        current = _cut(merged, changed=F.count_if(F.col("changed")))
+        if last is not None:
+            last.release()
+        last, labels = current, current.table
+        rounds.append(current.seen["changed"])
+    both.release()
     return Components(labels.select("txId", F.col("label").alias("resolvedEntityId")), rounds)
 
 
@@ -134,28 +153,30 @@ def contract_to_stars(
         .distinct()
     )
     count = F.count(F.lit(1))
-    current, seen = _cut(oriented, rows=count)
-    leaves, leaf_count = None, 0
-    if seen["rows"] > leaf_rows:
-        leaves, found = _cut(_leaves(current), rows=count)
-        leaf_count = found["rows"]
-        hot = _hot(current, "hi", seen["rows"], hot_rows)
-        current, seen = _cut(
-            lookup_join(current, leaves.select("hi"), "hi", "left_anti", hot), rows=count
-        )
+    last = _cut(oriented, rows=count)
+    leaves = None
+    if last.seen["rows"] > leaf_rows:
+        leaves = _cut(_leaves(last.table), rows=count)
+        hot = _hot(last.table, "hi", last.seen["rows"], hot_rows)
+        inner = lookup_join(last.table, leaves.table.select("hi"), "hi", "left_anti", hot)
+        following = _cut(inner, rows=count)
+        last.release()
+        last = following
     rounds: list[int] = []
-    while seen["rows"] and (not rounds or rounds[-1] > 0):
+    while last.seen["rows"] and (not rounds or rounds[-1] > 0):
         if len(rounds) == MAX_ROUNDS:
             raise RuntimeError(f"no convergence within {MAX_ROUNDS} rounds")
-        following = _star_round(current, seen["rows"], hot_rows)
-        current, seen = _cut(following, rows=count, moved=F.count_if(F.col("moved")))
-        rounds.append(seen["moved"])
-        current = current.select("hi", "lo")
+        step = _star_round(last.table.select("hi", "lo"), last.seen["rows"], hot_rows)
+        following = _cut(step, rows=count, moved=F.count_if(F.col("moved")))
+        last.release()
+        last = following
+        rounds.append(last.seen["moved"])
+    current = last.table
     outer = current.select(F.col("hi").alias("txId"), F.col("lo").alias("resolvedEntityId"))
     roots = current.select(F.col("lo").alias("txId"), F.col("lo").alias("resolvedEntityId"))
     mapping = outer.unionByName(roots.distinct())
     if leaves is not None:
-        mapping = _with_leaves(mapping, leaves, leaf_count, hot_rows)
+        mapping = _with_leaves(mapping, leaves.table, leaves.seen["rows"], hot_rows)
     return Components(mapping, rounds)
 
 

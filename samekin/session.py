@@ -30,3 +30,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, inside the shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}/{name}"
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
