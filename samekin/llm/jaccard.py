@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from samekin.llm.store import written
-from samekin.llm.text import encoded, in_batches, mixed, word_hashes
+from samekin.llm.text import encoded, in_batches, mixed, sliced, word_hashes
 from samekin.operators.components import contract_to_stars
 
 SHINGLE_WORDS = 5
@@ -41,6 +41,8 @@ COUNTERS_BITS = 22
 CHUNK_BITS = 16
 # Partial counters added up at once.
 MERGED = 64
+# Signatures of a task that are packed together.
+SENT_TOGETHER = 1 << 18
 # Parts sent by more documents are linked through one of them.
 RUN = 24
 # Documents of such a part that are compared in one task.
@@ -150,7 +152,7 @@ def _sets(texts: DataFrame) -> DataFrame:
         def rows(columns: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-        for batch in batches:
+        for batch in sliced(batches):
             texts, ids = encoded(batch["_text"].to_pylist()), batch["_id"].to_pylist()
             for part in in_batches(texts):
                 sets = list(shingle_sets(texts[part]))
@@ -206,28 +208,73 @@ def _counters(partial: DataFrame) -> np.ndarray:
     return counters
 
 
-def _sent(texts: DataFrame, counters: np.ndarray) -> DataFrame:
-    """``sig``, ``key`` for every signature of every text."""
+def _sent(texts: DataFrame, counters: np.ndarray, partitions: int) -> DataFrame:
+    """``sig``, ``key`` for every signature of every text, all rows of a signature in one partition.
+
+    They are sent packed: a row holds the part of a batch that goes to one partition, signatures
+    ascending as differences, byte by byte, so that the leading zeros compress. Copies within a
+    batch are sent once."""
     shared = texts.sparkSession.sparkContext.broadcast(counters)
 
+    def packed(sigs: np.ndarray, docs: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((keys[docs], sigs))
+        sigs, docs = sigs[order], docs[order]
+        new = np.ones(len(sigs), bool)
+        new[1:] = (np.diff(sigs) != 0) | (np.diff(keys[docs]) != 0)
+        sigs, docs = sigs[new], docs[new]
+        target = ((sigs >> _U(32)) * _U(partitions) >> _U(32)).astype(np.int32)
+        first = np.flatnonzero(np.diff(target, prepend=-1))
+        rows = []
+        for begin, end in zip(first, [*first[1:], len(sigs)]):
+            steps = np.diff(sigs[begin:end], prepend=_U(0))
+            own, place = np.unique(docs[begin:end], return_inverse=True)
+            planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+            rows.append((planes.tobytes(), place.astype("<u4").tobytes(), keys[own].tobytes()))
+        columns = [pa.array(target[first], pa.int32())]
+        columns += [pa.array([r[i] for r in rows], pa.binary()) for i in range(3)]
+        yield pa.RecordBatch.from_arrays(columns, ["target", "sigs", "places", "keys"])
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        names, keys, held = [], [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            docs = np.repeat(np.arange(len(keys)), [len(x) for x in names])
+            yield from packed(np.concatenate(names), docs, np.array(keys, np.int64))
+
+        for batch in sliced(batches):
             texts = encoded(batch["_text"].to_pylist())
             for part in in_batches(texts, 1 << 19):
-                sets = [s for s in shingle_sets(texts[part]) if len(s)]
-                if not sets:
-                    continue
-                names = [signatures(s, shared.value) for s in sets]
-                keys = np.repeat([set_key(s) for s in sets], [len(x) for x in names])
-                sigs = np.concatenate(names).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"sig": pa.array(sigs), "key": pa.array(keys, pa.int64())})
-
-    return texts.mapInArrow(made, "sig long, key long")
+                for shingles in shingle_sets(texts[part]):
+                    if len(shingles):
+                        names.append(signatures(shingles, shared.value))
+                        keys.append(set_key(shingles))
+                        held += len(names[-1])
+                    if held >= SENT_TOGETHER:
+                        yield from flushed()
+                        names, keys, held = [], [], 0
+        if held:
+            yield from flushed()
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 1):
+            for row in batch.to_pylist():
+                planes = np.frombuffer(row["sigs"], np.uint8).reshape(8, -1)
+                sigs = np.cumsum(np.ascontiguousarray(planes.T).view(_U).ravel(), dtype=_U)
+                keys = np.frombuffer(row["keys"], np.int64)[np.frombuffer(row["places"], "<u4")]
+                for i in range(0, len(sigs), 1 << 16):
+                    part = slice(i, i + (1 << 16))
+                    yield pa.RecordBatch.from_pydict(
+                        {"sig": pa.array(sigs[part].view(np.int64)), "key": pa.array(keys[part])}
+                    )
+
+    parcels = texts.mapInArrow(made, "target int, sigs binary, places binary, keys binary")
+    return parcels.repartitionById(partitions, "target").mapInArrow(unpacked, "sig long, key long")
 
 
 def _meetings(sent: DataFrame, run: int) -> DataFrame:
-    """Pairs of documents with a common signature, and the members of crowded signatures, from rows
-    sorted by signature; they stream through, so a signature may have any number of documents.
+    """Pairs of documents with a common signature, and the members of crowded signatures. The rows
+    of a partition are sorted by signature and stream through, so a signature may have any number
+    of documents.
 
     Pairs have a null ``sig``. A signature of up to ``run`` documents gives all its pairs; a larger
     one gives a pair of each document with its smallest, and a row (``sig``, document) for each."""
@@ -288,8 +335,7 @@ def _meetings(sent: DataFrame, run: int) -> DataFrame:
                 sigs, keys = sigs[:0], keys[:0]
         yield from pairs(sigs, keys)
 
-    ordered = sent.repartition("sig").sortWithinPartitions("sig", "key")
-    return ordered.mapInArrow(made, "sig long, a long, b long")
+    return sent.sortWithinPartitions("sig", "key").mapInArrow(made, "sig long, a long, b long")
 
 
 def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -320,10 +366,13 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _verified(near: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are linked, as ``src``, ``dst``."""
-
-    def side(name: str) -> DataFrame:
-        return texts.select(F.col("_id").alias(f"{name}_id"), F.col("_text").alias(f"{name}_text"))
+    """The pairs that are linked, as ``src``, ``dst``. All texts are shuffled once, to meet the pairs
+    they are in; then only those in a pair."""
+    ends = F.explode(
+        F.array(
+            *[F.struct(F.lit(i).alias("side"), F.col(f"{s}_id").alias("_id")) for i, s in enumerate("ab")]
+        )
+    )
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: OrderedDict[bytes, tuple[int, np.ndarray]] = OrderedDict()
@@ -336,19 +385,31 @@ def _verified(near: DataFrame, texts: DataFrame) -> DataFrame:
                     held.popitem(last=False)
             return held[text]
 
-        for batch in batches:
+        def wanted(texts: list[str], key: int) -> np.ndarray | None:
+            # An id may stand for several rows; only the one that has the set counts.
+            found = (known(t) for t in encoded(texts))
+            return next((shingles for k, shingles in found if k == key), None)
+
+        for batch in sliced(batches):
             keep = []
-            sides = (encoded(batch["a_text"].to_pylist()), encoded(batch["b_text"].to_pylist()))
-            for a, b, left, right in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), *sides):
-                (key_a, set_a), (key_b, set_b) = known(left), known(right)
-                # An id may stand for several rows; only the one that has the set counts.
-                keep.append(key_a == a and key_b == b and linked(set_a, set_b))
+            for a, b, left, right in zip(*(batch[c].to_pylist() for c in ("a", "b", "left", "right"))):
+                x, y = wanted(left, a), wanted(right, b)
+                keep.append(x is not None and y is not None and linked(x, y))
             yield (
                 batch.select(["a", "b"]).rename_columns(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
             )
 
-    both = near.join(side("a"), "a_id").join(side("b"), "b_id")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(made, "src long, dst long").distinct()
+    return (
+        near.select("a", "b", ends.alias("end"))
+        .select("a", "b", "end.side", "end._id")
+        .join(texts, "_id")
+        .groupBy("a", "b")
+        .agg(
+            F.collect_set(F.when(F.col("side") == 0, F.col("_text"))).alias("left"),
+            F.collect_set(F.when(F.col("side") == 1, F.col("_text"))).alias("right"),
+        )
+        .mapInArrow(made, "src long, dst long")
+    )
 
 
 def _left_apart(members: DataFrame, nodes: DataFrame, mapping: DataFrame, tile: int) -> DataFrame:
@@ -428,8 +489,8 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("doc_id"), F.min("bits").alias("bits")),
         "nodes",
     )
-    standing = texts.join(nodes.select(F.col("doc_id").alias("_id")), "_id", "left_semi")
-    met = written(_meetings(_sent(standing, counters), run), "meetings")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = written(_meetings(_sent(texts, counters, partitions), run), "meetings")
     pairs = met.where(F.col("sig").isNull()).select("a", "b").distinct()
     edges = written(_verified(_near(pairs, nodes), texts), "edges")
     members = met.where(F.col("sig").isNotNull()).select("sig", F.col("a").alias("key"))

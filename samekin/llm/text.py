@@ -101,6 +101,13 @@ def word_hashes(
     return (words if stems else words[0]), offsets
 
 
+def sliced(batches: Iterator, rows: int = 256) -> Iterator:
+    """Arrow batches in slices of a few rows, so that only these are turned into Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def in_batches(texts: Sequence, size: int = 1 << 21) -> Iterator[slice]:
     """Slices of about ``size`` bytes of text, of one text at least."""
     start, held = 0, 0
