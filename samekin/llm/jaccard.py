@@ -415,7 +415,8 @@ def _verified(near: DataFrame, texts: DataFrame) -> DataFrame:
 def _left_apart(members: DataFrame, nodes: DataFrame, mapping: DataFrame, tile: int) -> DataFrame:
     """Pairs of different components that share a crowded signature and whose bit sketches allow a
     link. Only signatures whose documents are not all in one component matter. Their documents are
-    compared tile by tile; no pair leaves a task but those whose sketches are close."""
+    compared tile by tile; no pair leaves a task but those whose sketches are close, and of the
+    signatures that a pair shares only the smallest gives it."""
     labels = mapping.select(F.col("txId").alias("key"), F.col("resolvedEntityId").alias("label"))
     labelled = members.join(labels, "key", "left").select(
         "sig", "key", F.coalesce("label", "key").alias("label")
@@ -426,8 +427,11 @@ def _left_apart(members: DataFrame, nodes: DataFrame, mapping: DataFrame, tile:
         .where(F.col("low") != F.col("high"))
         .select("sig", F.ceil(F.col("rows") / tile).cast("int").alias("tiles"))
     )
+    open_rows = labelled.join(split, "sig")
+    # At most d + 1 a band for each document.
+    own_sigs = open_rows.groupBy("key").agg(F.collect_list("sig").alias("sigs"))
     placed = (
-        labelled.join(split, "sig")
+        open_rows.join(own_sigs, "key")
         .join(nodes.select("key", "n", "bits"), "key")
         .withColumn("own", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
     )
@@ -441,6 +445,7 @@ def _left_apart(members: DataFrame, nodes: DataFrame, mapping: DataFrame, tile:
         "label",
         "n",
         "bits",
+        F.filter("sigs", lambda other: other < F.col("sig")).alias("earlier"),
     )
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
@@ -450,14 +455,20 @@ def _left_apart(members: DataFrame, nodes: DataFrame, mapping: DataFrame, tile:
         least = min(map(len, sketches))
         folded = np.array([np.bitwise_xor.reduce(s.reshape(-1, least), axis=0) for s in sketches])
         folded = folded.view(np.uint64)
+        # Which smaller open signatures each document has, as bits.
+        names, at = np.unique(np.concatenate(rows["earlier"].to_list()), return_inverse=True)
+        has = np.zeros((len(rows), len(names) // 8 + 1), np.uint8)
+        who = np.repeat(np.arange(len(rows)), [len(e) for e in rows["earlier"]])
+        np.bitwise_or.at(has, (who, at // 8), (1 << (at % 8)).astype(np.uint8))
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         found = []
         for x in left:
             y = right[(labels[right] != labels[x]) & ((i != j) | (keys[right] > keys[x]))]
             most = allowed(sizes[x], sizes[y])
             y, most = y[most >= 0], most[most >= 0]
-            close = np.bitwise_count(folded[y] ^ folded[x]).sum(axis=1) <= most
-            found += [(keys[x], keys[z]) for z in y[close]]
+            y = y[np.bitwise_count(folded[y] ^ folded[x]).sum(axis=1) <= most]
+            y = y[~(has[y] & has[x]).any(axis=1)]
+            found += [(keys[x], keys[z]) for z in y]
         pairs = np.array(found, np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs.min(axis=1, initial=2**63 - 1), "b": pairs.max(axis=1, initial=-(2**63))})
 
