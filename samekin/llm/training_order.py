@@ -15,12 +15,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samekin.llm.store import written
-from samekin.llm.text import mixed
+from samekin.llm.text import mixed, sliced
 from samekin.llm.tokens import default_vocabulary, token_ids
 
 LENGTH = 1024
@@ -29,8 +29,6 @@ KEY = 20_240_601
 ROUNDS = 6
 # Records of one shard, which one task holds at a time.
 SHARD_SEQUENCES = 2_048
-# Documents numbered together.
-GROUP_ROWS = 50_000
 # A record: document, first token's place in it, number of tokens, then the ids, 0 where none is.
 RECORD = np.dtype([("doc_id", "<i8"), ("start", "<i8"), ("length", "<i4"), ("spare", "<i4")])
 
@@ -59,29 +57,33 @@ def feistel(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 def sequences(
     docs: DataFrame, id_column: str, text_column: str, vocabulary: str, length: int
 ) -> DataFrame:
-    """``doc_id``, ``start``, ``ids`` (unsigned 16-bit): each document and its end id, cut."""
+    """``doc_id``, ``start``, ``ids`` (unsigned 16-bit): each document and its end id, cut; and
+    ``part``, ``row``: the partition they come from and their place in it."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        done = 0
+        for batch in sliced(batches):
             rows: list[tuple] = []
             for doc_id, text in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist()):
                 ids = np.append(token_ids(text, vocabulary), np.uint32(END_ID)).astype("<u2")
                 rows += [(doc_id, i, ids[i : i + length].tobytes()) for i in range(0, len(ids), length)]
                 if len(rows) >= 512:
-                    yield table(rows)
-                    rows = []
+                    yield table(rows, done)
+                    rows, done = [], done + len(rows)
             if rows:
-                yield table(rows)
+                yield table(rows, done)
+                done += len(rows)
 
-    def table(rows: list[tuple]) -> pa.RecordBatch:
+    def table(rows: list[tuple], done: int) -> pa.RecordBatch:
         types = {"doc_id": pa.int64(), "start": pa.int64(), "ids": pa.binary()}
-        return pa.RecordBatch.from_pydict(
-            {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(types.items())}
-        )
+        columns = {n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(types.items())}
+        columns["part"] = pa.array(np.full(len(rows), TaskContext.get().partitionId(), np.int32))
+        columns["row"] = pa.array(np.arange(done, done + len(rows)))
+        return pa.RecordBatch.from_pydict(columns)
 
     return docs.select(
         F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("_text")
-    ).mapInArrow(cut, "doc_id long, start long, ids binary")
+    ).mapInArrow(cut, "doc_id long, start long, ids binary, part int, row long")
 
 
 def training_shards(
@@ -99,26 +101,20 @@ def training_shards(
     Null and empty texts are one sequence, the end id alone. A row without an id is written with id
     -1. Repeated rows are documents of their own. No rows give no shards. Other columns are not read.
 
-    Texts are tokenized once; the sequences are a table in the shared folder. Numbers come from
-    counts of hash groups of bounded size and the order inside each, so no task numbers everything.
-    Ids have to fit into 16 bits.
+    Texts are tokenized once; the sequences are a table in the shared folder. They are numbered in
+    the order in which the rows were read: each partition's count gives the next one's first number.
+    The same files read in the same splits and the same key give the same order. Ids have to fit
+    into 16 bits.
     """
     cut = written(
         sequences(docs, id_column, text_column, vocabulary or default_vocabulary(), length), "sequences"
     )
-    total = cut.count()
-    groups = max(1, -(-total // GROUP_ROWS))
-    # Documents go to groups by id and place, a long document's sequences to many.
-    grouped = cut.withColumn(
-        "_group", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)).cast("int")
-    )
-    sizes = dict(grouped.groupBy("_group").count().collect())
-    lookup, before = [], 0
-    for group in sorted(sizes):
-        lookup.append((group, before))
-        before += sizes[group]
-    offsets = docs.sparkSession.createDataFrame(lookup, "_group int, _before long")
-    order = W.partitionBy("_group").orderBy("doc_id", "start", F.crc32("ids"))
+    # A row for each partition.
+    lookup, total = [], 0
+    for part, count in sorted(map(tuple, cut.groupBy("part").count().collect())):
+        lookup.append((part, total))
+        total += count
+    offsets = docs.sparkSession.createDataFrame(lookup, "part int, _before long")
     stride = RECORD.itemsize + 2 * length
 
     @F.pandas_udf("long")
@@ -126,9 +122,8 @@ def training_shards(
         return pd.Series(feistel(numbers.to_numpy(np.int64), total, key))
 
     numbered = (
-        grouped.withColumn("_rank", F.row_number().over(order))
-        .join(F.broadcast(offsets), "_group")
-        .withColumn("slot", slot_of((F.col("_before") + F.col("_rank") - 1).cast("long")))
+        cut.join(F.broadcast(offsets), "part")
+        .withColumn("slot", slot_of(F.col("_before") + F.col("row")))
         .select("doc_id", "start", "ids", "slot", F.floor(F.col("slot") / shard_sequences).alias("shard"))
     )
 
@@ -174,7 +169,7 @@ def records(shards: DataFrame) -> DataFrame:
     from the start of the shard) and ``ids_crc32`` of the ids, read back from the payload."""
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             for row in batch.to_pylist():
                 data = np.frombuffer(row["payload"], np.uint8).reshape(row["records"], row["stride"])
                 heads = np.ascontiguousarray(data[:, : RECORD.itemsize]).view(RECORD).ravel()
