@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samekin.llm.store import written
+from samekin.llm.text import sliced
 from samekin.llm.tokens import default_vocabulary, token_ids
 
 LONGEST = 2048
@@ -59,7 +60,7 @@ def pieces(
         )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows, held = [], 0
             for doc_id, text in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist()):
                 data = np.append(token_ids(text, vocabulary), np.uint32(end_id)).astype("<u4").tobytes()

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samekin.llm.text import encoded, in_batches
+from samekin.llm.text import encoded, in_batches, sliced
 
 # At most about this many labelled documents of each class are used for fitting.
 TRAIN_ROWS = 3_000
@@ -192,7 +192,7 @@ def train_quality(
     few = known.where(place < share)
 
     def encoded_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, good = encoded(batch["_text"].to_pylist()), batch["_good"].to_pylist()
             for part in in_batches(texts, 1 << 19):
                 features, counts = passages(texts[part])
@@ -237,7 +237,7 @@ def quality(
     score is 0.5. A row without an id counts as not held out. Other columns are not read."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts = encoded(batch["_text"].to_pylist())
             for part in in_batches(texts, 1 << 19):
                 score = np.full(len(texts[part]), 0.5)

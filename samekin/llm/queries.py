@@ -93,6 +93,30 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+OP7_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as words
+  from documents
+), i as (
+  select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as k from w where len(words) > 0
+), s as (select distinct doc_id, array_to_string(words[k:k + 4], ' ') as shingle from i
+), n as (select doc_id, count(*) as n from s group by doc_id
+), p as (
+  select a.doc_id as x, b.doc_id as y, count(*) as shared
+  from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+), link as (
+  select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y
+  where 100 * shared >= 75 * (a.n + b.n - shared)
+), reach(doc_id, label) as (
+  select doc_id, doc_id from documents union select link.y, reach.label from reach join link on link.x = reach.doc_id
+)
+select doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(label) as component_id
+from reach left join n using (doc_id) group by doc_id
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_supervision(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -130,4 +154,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL = {"op1_top_k_search": OP1_SQL}
+ORACLE_SQL = {"op1_top_k_search": OP1_SQL, "op7_jaccard_join": OP7_SQL}

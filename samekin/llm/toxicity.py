@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samekin.llm.text import NO_LETTERS, encoded, in_batches, word_hashes
+from samekin.llm.text import NO_LETTERS, encoded, in_batches, sliced, word_hashes
 
 # At most about this many labelled documents of each class are used for fitting.
 TRAIN_ROWS = 4_000
@@ -158,7 +158,7 @@ def train_severity(
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, classes = encoded(batch["_text"].to_pylist()), batch["_toxic"].to_pylist()
             for part in in_batches(texts):
                 found = [f.tobytes() for f in features(texts[part])]
@@ -193,7 +193,7 @@ def toxicity(
     columns are not read, no rows give no rows."""
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             texts, ids = encoded(batch["_text"].to_pylist()), batch["_id"]
             for part in in_batches(texts):
                 p = model.at_least(list(features(texts[part])))
