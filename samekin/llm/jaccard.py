@@ -47,6 +47,9 @@ SENT_TOGETHER = 1 << 18
 RUN = 24
 # Documents of such a part that are compared in one task.
 TILE = 2_048
+# Up to so many pairs, and so many ids, are broadcast; they take 80 and 16 bytes each.
+BROADCAST_PAIRS = 250_000
+BROADCAST_IDS = 1_000_000
 # Bits of the short sketch for each shingle, to the next power of two.
 SKETCH_BITS = 4
 
@@ -366,8 +369,9 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _verified(near: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are linked, as ``src``, ``dst``. All texts are shuffled once, to meet the pairs
-    they are in; then only those in a pair."""
+    """The pairs that are linked, as ``src``, ``dst``. Texts meet the pairs they are in: where they lie
+    if the pairs are few by count, else in a shuffle. Then only texts of pairs are moved."""
+    near = written(near, "near")
     ends = F.explode(
         F.array(
             *[F.struct(F.lit(i).alias("side"), F.col(f"{s}_id").alias("_id")) for i, s in enumerate("ab")]
@@ -399,10 +403,11 @@ def _verified(near: DataFrame, texts: DataFrame) -> DataFrame:
                 batch.select(["a", "b"]).rename_columns(["src", "dst"]).filter(pa.array(keep, pa.bool_()))
             )
 
+    sides = near.select("a", "b", ends.alias("end")).select("a", "b", "end.side", "end._id")
+    if near.count() <= BROADCAST_PAIRS:
+        sides = F.broadcast(sides)
     return (
-        near.select("a", "b", ends.alias("end"))
-        .select("a", "b", "end.side", "end._id")
-        .join(texts, "_id")
+        texts.join(sides, "_id")
         .groupBy("a", "b")
         .agg(
             F.collect_set(F.when(F.col("side") == 0, F.col("_text"))).alias("left"),
@@ -530,7 +535,10 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     found = near_duplicates(docs, id_column, text_column)
     named = found.where(F.col("component_id") == F.col(id_column)).select(F.col(id_column).alias("_kept"))
     kept = written(named.groupBy("_kept").agg(F.count("*").alias("_rows")), "kept")
-    staying = docs.join(kept.select("_kept"), F.col(id_column) == F.col("_kept"), "left_semi")
+    ids = kept.select("_kept")
+    if kept.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    staying = docs.join(ids, F.col(id_column) == F.col("_kept"), "left_semi")
     if not kept.where(F.col("_rows") > 1).isEmpty():
         staying = staying.dropDuplicates([id_column, text_column])
     return staying.unionByName(docs.where(F.col(id_column).isNull()))
