@@ -27,6 +27,8 @@ EPOCHS = 1.0
 STEPS = 30
 # Relative distance of every domain from its target at which the steps end.
 CLOSE = 1e-4
+# The steps end, too, when none moves a domain's tokens by more than this share.
+STILL = 5e-4
 # The least share of all tokens that a domain must have to be mixed.
 REACHABLE = 1e-6
 # Variances are at least this, so that a feature that never varies in a class stays finite.
@@ -173,8 +175,8 @@ def fit_rates(
             break
         rates = Rates(least, [*rates.steps, step], now, wanted)
         before, now = now, totals(rates)
-        # Held back by the least rate, say: nothing moves any more.
-        if all(abs(n - b) <= CLOSE / 10 * s for n, b, s in zip(now, before, sizes)):
+        # Held back by the least rate, say: nothing moves to speak of.
+        if all(abs(n - b) <= STILL * s for n, b, s in zip(now, before, sizes)):
             break
     return Rates(least, rates.steps, now, wanted)
 
