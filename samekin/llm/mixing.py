@@ -238,9 +238,11 @@ def mixed(
     featured = named.select(*docs.columns, *[numbers[n].alias(f"_{n}") for n in FEATURES])
     rated = featured.select(*docs.columns, model.posteriors().alias("_shares"))
     times = copies(rates.rate(), F.col(id_column), F.col(text_column))
+    # Without a filter on the number of copies: the optimizer would move it down to the scan and work
+    # out posteriors and features anew for each time that the rate refers to them.
+    each = F.when(times > 0, F.sequence(F.lit(1).cast("long"), times))
     return (
-        rated.withColumn("_times", times)
-        .where(F.col("_times") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
+        rated.select(*docs.columns, F.explode_outer(each).alias("_copy"))
+        .where(F.col("_copy").isNotNull())
         .select(*docs.columns)
     )
