@@ -1,7 +1,7 @@
 """Mixing sources to target weights with soft membership.
 
 A classifier learnt from the labels table gives every document posterior probabilities of the
-domains. Document rates, how often each document is to be seen, are the nonnegative least-squares
+domains, from its style and from the words that tell a domain from the others. Document rates, how often each document is to be seen, are the nonnegative least-squares
 solution of: expected tokens of each domain = its target. The gradient is distributed: each step
 sums the expected tokens over all documents, and only those few sums come to the driver.
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,19 @@ STILL = 5e-4
 REACHABLE = 1e-6
 # Variances are at least this, so that a feature that never varies in a class stays finite.
 LEAST_VARIANCE = 1e-3
+# The variances of all labelled documents count as those of so many in each class.
+POOLED_ROWS = 4.0
+# Labelled documents of a domain, at most about, in which words are counted.
+WORD_ROWS = 3_000
+# Leading letters of a word that make a feature besides the word, and the most letters that count.
+STEMS = (3, 4, 5)
+WORD_CHARS = 24
+# Features used: at most so many, those most tied to a domain, by at least this log likelihood ratio
+# (twice it is a chi-square), and so many times as frequent there as in the others. Words that are
+# just frequent would only tell how long a text is.
+VOCABULARY = 2_048
+LEAST_TIE = 12.0
+LEAST_LIFT = 4.0
 
 
 def style(text: Column, words: Column) -> dict[str, Column]:
@@ -59,20 +73,125 @@ def style(text: Column, words: Column) -> dict[str, Column]:
 FEATURES = ("length", "word_length", "variety", "symbols", "shouts", "stops", "capitals")
 
 
+def known_domains(labels: DataFrame, id_column: str) -> DataFrame:
+    """``_id``, ``_domain`` (its number) and ``_quality`` of the labels that fit a domain."""
+    quality, toxic = F.col("quality"), F.col("toxic")
+    domain = F.lit(None).cast("int")
+    for i, (q, t) in reversed(list(enumerate(DOMAINS.values()))):
+        fits = (toxic == t) & (F.lit(True) if q is None else quality == q)
+        domain = F.when(fits, i).otherwise(domain)
+    known = labels.select(F.col(id_column).alias("_id"), domain.alias("_domain"), quality.alias("_quality"))
+    return known.dropna(subset=["_id", "_domain"])
+
+
+def told(text: Column) -> Column:
+    """Hashes of a text's distinct words, lower case and letters only, and of their first letters."""
+    letters = F.regexp_replace(F.lower(text), r"[^\p{L}\s]+", "")
+    words = F.array_remove(F.array_distinct(F.split(without(letters, OTHER_SPACE, " "), " ")), "")
+
+    def hashed(found: Column, n: int) -> Column:
+        # The number of letters tells a stem from a word.
+        return F.transform(found, lambda w: F.xxhash64(F.substring(w, 1, n), F.lit(n)))
+
+    return bound(words, lambda found: F.concat(*[hashed(found, n) for n in (*STEMS, WORD_CHARS)]))
+
+
+@dataclass(frozen=True)
+class Words:
+    """``names``: hashes of the features used; ``present``: for every domain what each of them adds
+    to its log likelihood; ``none``: the log likelihoods of a text that has none of them."""
+
+    names: list[int]
+    present: list[list[float]]
+    none: list[float]
+
+    def likelihoods(self, text: Column) -> Column:
+        """An array of log likelihoods, one a domain."""
+        if not self.names:
+            return F.array(*map(F.lit, self.none))
+        names = F.lit(np.array(self.names, np.int64))
+        tables = [F.map_from_arrays(names, F.lit(np.array(values))) for values in self.present]
+
+        def summed(hits: Column, none: float, table: Column) -> Column:
+            return F.aggregate(hits, F.lit(none), lambda s, h: s + F.element_at(table, h))
+
+        return bound(
+            F.array_intersect(told(text), names),
+            lambda hits: F.array(*[summed(hits, n, t) for n, t in zip(self.none, tables)]),
+        )
+
+
+def train_words(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str) -> Words:
+    """Log odds of words and stems, from all labelled documents of a domain or about ``WORD_ROWS`` of
+    them, chosen by a hash of the id. What is collected is the vocabulary."""
+    known = known_domains(labels, id_column)
+    sizes = {r["_domain"]: r["count"] for r in known.groupBy("_domain").count().collect()}
+    place = F.pmod(F.xxhash64("_id", F.lit(5)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.lit(0.0)
+    for k, size in sizes.items():
+        share = F.when(F.col("_domain") == k, WORD_ROWS / size).otherwise(share)
+    few = F.broadcast(known.where(place < share).select("_id", "_domain"))
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    texts = docs.select(F.col(id_column).alias("_id"), text.alias("_text")).join(few, "_id")
+    sample = written(texts.select("_domain", F.array_distinct(told(F.col("_text"))).alias("_told")), "words")
+    of = range(len(DOMAINS))
+    counted = sample.groupBy("_domain").count().collect()
+    rows = [sum(r["count"] for r in counted if r["_domain"] == k) for k in of]
+    total = sum(rows)
+    if sum(n > 0 for n in rows) < 2:
+        return Words([], [], [0.0] * len(DOMAINS))
+    seen = (
+        sample.select("_domain", F.explode("_told").alias("_name"))
+        .groupBy("_name")
+        .agg(F.count("*").alias("_all"), *[F.count_if(F.col("_domain") == k).alias(f"_c{k}") for k in of])
+    )
+
+    def tie(k: int) -> Column:
+        """Of one rate for the domain and one for the others against one for both."""
+        own, every = F.col(f"_c{k}"), F.col("_all")
+        n, rest = rows[k], total - rows[k]
+        if not n or not rest:
+            return F.lit(0.0)
+        ratio = F.lit(0.0)
+        for size, has in ((n, own), (rest, every - own)):
+            for found, among in ((has, every), (size - has, total - every)):
+                one = found * F.log(found * total / (among * float(size)))
+                ratio += F.when(found > 0, one).otherwise(0.0)
+        lift = (own + 0.5) / (n + 1) >= LEAST_LIFT * (every - own + 0.5) / (rest + 1)
+        return F.when(lift, ratio).otherwise(0.0)
+
+    best = (
+        seen.withColumn("_tie", F.greatest(*[tie(k) for k in of]))
+        .where(F.col("_tie") >= LEAST_TIE / 2)
+        .orderBy(F.desc("_tie"), "_name")
+        .limit(VOCABULARY)
+        .collect()
+    )
+    present, none = [[] for _ in of], [0.0] * len(DOMAINS)
+    for r in best:
+        for k in of:
+            p = (r[f"_c{k}"] + 0.5 * r["_all"] / total + 0.05) / (rows[k] + 0.6)
+            present[k].append(math.log(p / (1 - p)) if rows[k] else 0.0)
+            none[k] += math.log(1 - p) if rows[k] else 0.0
+    return Words([r["_name"] for r in best], present, none)
+
+
 @dataclass(frozen=True)
 class DomainModel:
-    """Normal densities: for each domain the log of its share, and mean and variance of each feature."""
+    """Domains consist of parts, by the quality label, so that junk that is toxic is not held against
+    a domain that is mostly prose. ``parts``: for each the number of its domain, the log of its share,
+    and mean and variance of each style feature, which are normal densities."""
 
-    domains: list[str]
-    log_share: list[float]
-    mean: list[list[float]]
-    variance: list[list[float]]
+    parts: list[tuple[int, float, list[float], list[float]]]
 
     def posteriors(self) -> Column:
-        """An array, in the order of ``domains``, from the feature columns."""
+        """An array, in the order of ``DOMAINS``, from the features' columns. A domain without a
+        labelled document has none; without any labels everything is of the first."""
+        if not self.parts:
+            return F.array(*[F.lit(float(k == 0)) for k in range(len(DOMAINS))])
         logs = []
-        for share, means, variances in zip(self.log_share, self.mean, self.variance):
-            total = F.lit(share)
+        for domain, share, means, variances in self.parts:
+            total = F.lit(share) + F.get("_likelihoods", F.lit(domain))
             for name, m, v in zip(FEATURES, means, variances):
                 away = F.col(f"_{name}") - m
                 total += -(away * away) / (2 * v) - 0.5 * math.log(v)
@@ -80,19 +199,24 @@ class DomainModel:
 
         def shares(values: Column) -> Column:
             most = F.array_max(values)
-            powers = F.transform(values, lambda x: F.exp(x - most))
-            return bound(
-                powers,
-                lambda p: bound(
-                    F.aggregate(p, F.lit(0.0), lambda s, x: s + x),
-                    lambda total: F.transform(p, lambda x: x / total),
-                ),
+            return bound(F.transform(values, lambda x: F.exp(x - most)), by_domain)
+
+        def by_domain(powers: Column) -> Column:
+            def summed(domains: list[int]) -> Column:
+                return sum((F.get(powers, F.lit(i)) for i in domains), F.lit(0.0))
+
+            total = summed(range(len(self.parts)))
+            return F.array(
+                *[
+                    summed([i for i, part in enumerate(self.parts) if part[0] == k]) / total
+                    for k in range(len(DOMAINS))
+                ]
             )
 
         return bound(F.array(*logs), shares)
 
 
-def described(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def described(docs: DataFrame, words: Words, id_column: str, text_column: str) -> DataFrame:
     """``_id``, ``_tokens`` (words) and the features of each row's whole text."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     first = docs.select(F.col(id_column).alias("_id"), text.alias("_text"), words_of(text).alias("_words"))
@@ -100,34 +224,40 @@ def described(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return first.select(
         "_id",
         F.size("_words").cast("long").alias("_tokens"),
+        words.likelihoods(F.col("_text")).alias("_likelihoods"),
         *[numbers[name].alias(f"_{name}") for name in FEATURES],
     )
 
 
 def train_domains(table: DataFrame, labels: DataFrame, id_column: str = "doc_id") -> DomainModel:
-    """Class shares, means and variances over all labelled documents, in one aggregation. A domain
-    without a labelled document gets no share; without any labels everything is of the first."""
-    quality, toxic = F.col("quality"), F.col("toxic")
-    domain = F.lit(None).cast("int")
-    for i, (q, t) in reversed(list(enumerate(DOMAINS.values()))):
-        fits = (toxic == t) & (F.lit(True) if q is None else quality == q)
-        domain = F.when(fits, i).otherwise(domain)
-    known = labels.select(F.col(id_column).alias("_id"), domain.alias("_domain")).dropna()
+    """Shares, means and variances over all labelled documents, in one aggregation."""
     sums = [F.mean(f"_{n}").alias(f"m_{n}") for n in FEATURES]
     sums += [F.var_pop(f"_{n}").alias(f"v_{n}") for n in FEATURES]
-    rows = {
-        r["_domain"]: r
-        for r in table.join(known, "_id").groupBy("_domain").agg(F.count("*").alias("rows"), *sums).collect()
-    }
-    total = sum(r["rows"] for r in rows.values())
-    log_share, means, variances = [], [], []
-    for i in range(len(DOMAINS)):
-        row = rows.get(i)
-        share = row["rows"] / total if row else (1e-12 if total or i else 1.0)
-        log_share.append(math.log(share))
-        means.append([row[f"m_{n}"] if row else 0.0 for n in FEATURES])
-        variances.append([max(LEAST_VARIANCE, row[f"v_{n}"]) if row else 1.0 for n in FEATURES])
-    return DomainModel(list(DOMAINS), log_share, means, variances)
+    rows = (
+        table.join(known_domains(labels, id_column), "_id")
+        .groupBy("_domain", "_quality")
+        .agg(F.count("*").alias("rows"), *sums)
+        .orderBy("_domain", "_quality")
+        .collect()
+    )
+    total = sum(r["rows"] for r in rows)
+    pooled = {}
+    for n in FEATURES:
+        mean = sum(r["rows"] * r[f"m_{n}"] for r in rows) / max(1, total)
+        pooled[n] = sum(r["rows"] * (r[f"v_{n}"] + (r[f"m_{n}"] - mean) ** 2) for r in rows) / max(1, total)
+    parts = []
+    for r in rows:
+        weight = r["rows"] + POOLED_ROWS
+        variances = [(r["rows"] * r[f"v_{n}"] + POOLED_ROWS * pooled[n]) / weight for n in FEATURES]
+        parts.append(
+            (
+                r["_domain"],
+                math.log(r["rows"] / total),
+                [r[f"m_{n}"] for n in FEATURES],
+                [max(LEAST_VARIANCE, v) for v in variances],
+            )
+        )
+    return DomainModel(parts)
 
 
 @dataclass(frozen=True)
@@ -203,7 +333,8 @@ def mixing_rates(
     rate. No rows give no rows. Other columns are not read. Rates are at least ``least``; where
     that keeps a target out of reach, the nearest mixture in the same sense is the result.
     """
-    table = written(described(docs, id_column, text_column), "style")
+    words = train_words(docs, labels, id_column, text_column)
+    table = written(described(docs, words, id_column, text_column), "style")
     model = train_domains(table, labels, id_column)
     shared = written(table.select("_id", "_tokens", model.posteriors().alias("_shares")), "shares")
     rates = fit_rates(shared, targets, epochs, least)
@@ -228,14 +359,19 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as its rate says, with their columns. The rate is
     computed beside the row, not matched by id, so that rows with the same id are told apart."""
-    table = written(described(docs, id_column, text_column), "style")
+    words = train_words(docs, labels, id_column, text_column)
+    table = written(described(docs, words, id_column, text_column), "style")
     model = train_domains(table, labels, id_column)
     shared = written(table.select("_tokens", model.posteriors().alias("_shares")), "shares")
     rates = fit_rates(shared, targets, epochs, least)
     text = F.coalesce(F.col(text_column), F.lit(""))
     named = docs.withColumns({"_text": text, "_words": words_of(text)})
     numbers = style(F.col("_text"), F.col("_words"))
-    featured = named.select(*docs.columns, *[numbers[n].alias(f"_{n}") for n in FEATURES])
+    featured = named.select(
+        *docs.columns,
+        words.likelihoods(F.col("_text")).alias("_likelihoods"),
+        *[numbers[n].alias(f"_{n}") for n in FEATURES],
+    )
     rated = featured.select(*docs.columns, model.posteriors().alias("_shares"))
     times = copies(rates.rate(), F.col(id_column), F.col(text_column))
     # Without a filter on the number of copies: the optimizer would move it down to the scan and work

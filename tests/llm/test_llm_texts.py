@@ -327,3 +327,18 @@ def test_pipeline_stages(spark):
     assert kept["near_duplicates"] == kept["pii"] == kept["mixing"] == kept["packing"]
     assert len(kept["toxicity"]) < before.count()
     assert "pipeline" not in ORACLE_SQL and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_mixing_knows_held_out_toxic_documents_by_their_words(spark):
+    texts, toxic = toxic_corpus(12, 800)
+    table = documents(spark, texts)
+    labels = spark.createDataFrame([(i, 1, t) for i, t in enumerate(toxic) if i < 500], LABELS)
+    found = mixing_rates(table, labels, {"good": 0.98, "poor": 0.0, "toxic": 0.02}).toPandas()
+    found["toxic"] = found.doc_id.map(dict(enumerate(toxic)))
+    held_out = found[found.doc_id >= 500]
+    assert held_out.p_toxic[held_out.toxic == 1].mean() > 0.9
+    assert held_out.p_toxic[held_out.toxic == 0].mean() < 0.05
+    for rows in (found, held_out):
+        seen = rows.tokens * rows.rate
+        assert rows.tokens[rows.toxic == 1].sum() > 0.15 * rows.tokens.sum()
+        assert abs(seen[rows.toxic == 1].sum() / seen.sum() - 0.02) < 0.01
