@@ -134,7 +134,9 @@ def signatures(shingles: np.ndarray, counters: np.ndarray) -> np.ndarray:
         first = np.flatnonzero(np.diff(part[order], prepend=part[order[:1]] + _U(1)))
         parity = np.bitwise_xor.reduceat(mixed(shingles[order]), first)
         rarest = np.minimum.reduceat(seen[order], first)
-        names = mixed(parity + mixed(part[order[first]] + _U(edge << 44)))
+        # The band by its exponent: edges themselves outgrow the bits above the part.
+        band = _U(edge.bit_length() << 44)
+        names = mixed(parity + mixed(part[order[first]] + band))
         sent.append(names[np.lexsort((names, rarest))[: d + 1]])
     return np.concatenate(sent) if sent else np.zeros(0, _U)
 

@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from samekin.llm.jaccard import (
     near_duplicates,
     one_of_each,
     shingle_sets,
+    signatures,
 )
 from samekin.llm.topk import exact_top_k
 
@@ -183,3 +185,14 @@ def test_sketch_distance_is_at_most_the_symmetric_difference():
             for shared in range(min(x, y) + 1):
                 if 100 * shared >= 75 * (x + y - shared):
                     assert x + y - 2 * shared <= allowed(x, y)
+
+
+@pytest.mark.parametrize("size", [4**10 - 1, 4**10, 3_000_000])
+def test_signatures_of_millions_of_shingles(size):
+    rng = np.random.default_rng(size)
+    whole = np.unique(rng.integers(0, 1 << 63, size, np.uint64) * np.uint64(2))
+    other = np.union1d(whole[size // 9 :], whole[: size // 9] + np.uint64(1))
+    counters = np.ones(1 << 22, np.uint32)
+    sent = [signatures(s, counters) for s in (whole, other)]
+    assert all(len(np.unique(s)) == len(s) > len(whole) // 4 for s in sent)
+    assert len(np.intersect1d(*sent))
