@@ -342,3 +342,19 @@ def test_mixing_knows_held_out_toxic_documents_by_their_words(spark):
         seen = rows.tokens * rows.rate
         assert rows.tokens[rows.toxic == 1].sum() > 0.15 * rows.tokens.sum()
         assert abs(seen[rows.toxic == 1].sum() / seen.sum() - 0.02) < 0.01
+
+
+def test_added_tokens_inside_texts_keep_their_ids(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    library = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, end * 3, f"é{end}\n {end}😀 x", f"{end[:-1]} {end[1:]} <|END|>", f"  {end}  ", "plain"]
+    table = documents(spark, texts)
+    found = packing.pack_binary(table).toPandas()
+    assert set(found.doc_id) == set(range(len(texts)))
+    for doc_id, own in found.groupby("doc_id"):
+        ids = library.encode(texts[doc_id], add_special_tokens=False).ids
+        assert own.doc_tokens.iloc[0] == own.length.sum() == len(ids) + 1
+        assert b"".join(own.sort_values("start").ids) == np.array([*ids, 1], "<u4").tobytes()
+        assert (50256 in ids) == (end in texts[doc_id])
