@@ -15,10 +15,6 @@ from samekin.llm.pii import without_personal_data
 from samekin.llm.store import written
 from samekin.llm.toxicity import train_severity, without_toxic
 
-# Tokens after mixing for each token before. Every document stays at least once; domains that are
-# short of their target are repeated.
-EPOCHS = 1.05
-
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -40,8 +36,10 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated so that expected tokens of each domain meet the target weights."""
-    return mixed(docs, _labels(spark, sf_dir), epochs=EPOCHS, least=1.0)
+    """Documents are repeated so that expected tokens of each domain meet the target weights. Every
+    document stays at least once, so the domain that is largest for its target tells how many tokens
+    there will be. Toxic documents went before: their domain has no part in the mixture."""
+    return mixed(docs, _labels(spark, sf_dir).where("toxic = 0"), epochs=None, least=1.0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -280,12 +280,13 @@ class Rates:
 
 
 def fit_rates(
-    table: DataFrame, targets: dict[str, float], epochs: float = EPOCHS, least: float = 0.0
+    table: DataFrame, targets: dict[str, float], epochs: float | None = EPOCHS, least: float = 0.0
 ) -> Rates:
     """Projected gradient steps on the squared relative errors of the domains, each weighted by the
     domain's size, so that the step length is 1 whatever the sizes. ``table`` has ``_tokens`` and
     ``_shares``. A domain with next to no expected tokens cannot be reached: it is left out, and
-    the other targets are scaled up."""
+    the other targets are scaled up. Without ``epochs`` there are as many as the domain needs that is
+    largest for its target, so that no domain has to shrink: with a ``least`` of 1 all can be met."""
 
     def totals(rates: Rates) -> list[float]:
         weight = F.col("_tokens") * rates.rate()
@@ -298,7 +299,10 @@ def fit_rates(
     sizes = now = totals(rates)
     there = [s > REACHABLE * sum(sizes) for s in sizes]
     shares = [w if t else 0.0 for w, t in zip(targets.values(), there)]
-    wanted = [w / (sum(shares) or 1.0) * sum(sizes) * epochs for w in shares]
+    wanted = [w / (sum(shares) or 1.0) * sum(sizes) for w in shares]
+    if epochs is None:
+        epochs = max((s / w for s, w in zip(sizes, wanted) if w), default=1.0)
+    wanted = [w * epochs for w in wanted]
     for _ in range(STEPS):
         step = [(w - n) / s if t else 0.0 for w, n, s, t in zip(wanted, now, sizes, there)]
         if all(abs(x) * s <= CLOSE * w for x, s, w in zip(step, sizes, wanted)):
@@ -321,7 +325,7 @@ def mixing_rates(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] = TARGETS,
-    epochs: float = EPOCHS,
+    epochs: float | None = EPOCHS,
     least: float = 0.0,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -352,7 +356,7 @@ def mixed(
     docs: DataFrame,
     labels: DataFrame,
     targets: dict[str, float] = TARGETS,
-    epochs: float = EPOCHS,
+    epochs: float | None = EPOCHS,
     least: float = 0.0,
     id_column: str = "doc_id",
     text_column: str = "text",

@@ -358,3 +358,28 @@ def test_added_tokens_inside_texts_keep_their_ids(spark):
         assert own.doc_tokens.iloc[0] == own.length.sum() == len(ids) + 1
         assert b"".join(own.sort_values("start").ids) == np.array([*ids, 1], "<u4").tobytes()
         assert (50256 in ids) == (end in texts[doc_id])
+
+
+@pytest.mark.parametrize("poor_every", [2, 7])
+def test_mixing_stage_reaches_the_targets(spark, monkeypatch, poor_every):
+    rng = random.Random(13)
+    prose = ["stone", "river", "winter.", "garden,", "meadow", "harbour"]
+    junk = ["A|B", "$$$", "XX!!", "Q#Z"]
+    poor = [i % poor_every == 0 for i in range(1200)]
+    texts = [" ".join(rng.choices(junk if p else prose, k=rng.randrange(40, 90))) for p in poor]
+    table = documents(spark, texts)
+    labels = spark.createDataFrame(
+        [(i, int(not p), 0) for i, p in enumerate(poor) if i < 600] + [(1_000_000, 1, 1)], LABELS
+    )
+    monkeypatch.setattr(corpus_pipeline, "_labels", lambda spark, sf_dir: labels)
+    mixture = corpus_pipeline.mix_to_targets(spark, table, "").toPandas()
+    assert set(mixture.doc_id) == set(range(len(texts)))
+    tokens = np.array([len(t.split()) for t in texts])
+    seen = np.bincount(mixture.doc_id, minlength=len(texts))
+    reached = (tokens * seen)[poor].sum() / (tokens * seen).sum()
+    assert abs(reached - 0.08 / 0.98) < 0.01
+    # The same by numpy: junk once, prose as often as needed.
+    size = tokens[poor].sum()
+    times = (size / (0.08 / 0.98) - size) / (tokens.sum() - size)
+    prose_seen = seen[~np.array(poor)]
+    assert (seen[poor] == 1).mean() > 0.98 and abs(prose_seen.mean() - times) < 0.03 * times
