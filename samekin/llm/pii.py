@@ -1,8 +1,10 @@
 """Personal data by candidate gradient boosting.
 
 High-recall generators propose spans, which may overlap. Each candidate gets yes-or-no features of
-its format and of the words before it. Boosted stumps, fitted to the candidates that the strict base
-patterns settle, score the rest; a threshold calibrated for precision decides what is redacted.
+its format and of the words before it. Boosted stumps score those that the strict base patterns leave
+open; a threshold calibrated for precision decides what is redacted. The stumps are fitted to
+candidates that the base refuses and to base matches rewritten without what the base requires: as
+national numbers, spelt out, with other marks; and, as wrong ones, to lookalikes made of them.
 
 All of it is DataFrame expressions. Features are binary, so fitting needs only the counts of
 distinct feature patterns, two to the power of their number at most, over all candidates.
@@ -38,6 +40,8 @@ SPELT = (
     r"(?:\x20?[(\[{]\x20?dot\x20?[)\]}]\x20?[A-Z0-9-]{1,64}+|\.[A-Z0-9-]{1,64}+)++"
 )
 DIGITS = r"(?<![0-9A-Za-z])[(+]?[0-9](?:[\x20().-]{0,2}+[0-9])++"
+BRACKETED = r"\x20?[(\[{]\x20?(?:dot|\.)\x20?[)\]}]\x20?"
+BROKEN_IP = rf"(?i)(?<![0-9.])[0-9]{{1,3}}(?:{BRACKETED}[0-9]{{1,3}}){{3}}(?![0-9])"
 # Words before a candidate that tell what it is.
 CONTEXT = {
     "phone": r"(?i)\b(?:phone|tel|telephone|call|mobile|fax|whatsapp)\b[^A-Za-z0-9]*+$",
@@ -45,6 +49,10 @@ CONTEXT = {
     "email": r"(?i)\b(?:email|mail|contact|write|reach)\b[^A-Za-z0-9]*+$",
 }
 CONTEXT_CHARS = 32
+# How the name of a host ends.
+ENDING = r"(?i)(?:\.|[(\[{]\x20?dot\x20?[)\]}]\x20?)(?:com|org|net|edu|gov|info|\p{L}{2})[^\p{L}0-9]*$"
+# Of runs of digits that are no cards one in ten passes the check digit: for each nine that fail.
+FAILED_FOR_ONE = 9.0
 
 ROUNDS = 24
 RATE = 0.5
@@ -52,6 +60,8 @@ RATE = 0.5
 PRECISION = 0.98
 # Counts added to both sides of a leaf or of a calibrated share.
 SMOOTHING = 2.0
+# A pattern of fewer cases does not lower the threshold.
+LEAST_CASES = 20
 
 
 SPAN = "struct<kind:string,start:int,end:int,match:string>"
@@ -186,14 +196,15 @@ def candidates(text: Column) -> Column:
         ("email", WIDE, F.contains(text, F.lit("@"))),
         ("email", SPELT, F.regexp_like(text, F.lit(r"(?i)[(\[{] ?at ?[)\]}]"))),
         ("phone", DIGITS, F.regexp_like(text, F.lit(r"[0-9][ ().0-9-]{5}"))),
+        ("ip", BROKEN_IP, F.regexp_like(text, F.lit(rf"(?i)[0-9]{BRACKETED}[0-9]"))),
     ):
         found.append(_tried(text, needs, _spans(text, pattern, kind)))
-    wide, spelt, digits = found
+    wide, spelt, digits, broken = found
     as_card = F.transform(
         digits,
         lambda s: F.struct(F.lit("card").alias("kind"), *[s[n].alias(n) for n in ("start", "end", "match")]),
     )
-    return F.concat(wide, spelt, digits, as_card)
+    return F.concat(wide, spelt, digits, as_card, broken)
 
 
 @dataclass(frozen=True)
@@ -210,12 +221,15 @@ def candidate_features() -> list[Feature]:
         return F.length(_digits(match))
 
     return [
-        Feature("plus", lambda m, b: F.startswith(m, F.lit("+"))),
         Feature("bracket", lambda m, b: F.contains(m, F.lit("("))),
         Feature("blank", lambda m, b: F.contains(m, F.lit(" "))),
         Feature("hyphen", lambda m, b: F.contains(m, F.lit("-"))),
         Feature("dot", lambda m, b: F.contains(m, F.lit("."))),
         Feature("spelt", lambda m, b: F.regexp_like(m, F.lit(r"(?i)[(\[{] ?at ?[)\]}]"))),
+        Feature("grouped", lambda m, b: F.regexp_like(m, F.lit(r"(?<![0-9])[0-9]{3}[) .-]{1,2}[0-9]{3}[ .-][0-9]{4}$"))),
+        Feature("fours", lambda m, b: F.regexp_like(m, F.lit(r"^[0-9]{4}([ .-]{1,2}[0-9]{4}){2}"))),
+        Feature("ending", lambda m, b: F.regexp_like(m, F.lit(ENDING))),
+        Feature("single", lambda m, b: ~F.regexp_like(m, F.lit("[0-9][0-9]"))),
         Feature("short", lambda m, b: count(m) < 9),
         Feature("long", lambda m, b: count(m) >= 12),
         Feature("very_long", lambda m, b: count(m) > 16),
@@ -243,8 +257,9 @@ class Boosted:
 
 def boost(counts: dict[tuple[bool, ...], tuple[float, float]], features: int) -> Boosted:
     """Gradient boosting of the log loss with Newton leaves, over feature patterns with their
-    numbers of wrong and right candidates. The threshold is the lowest score from which on the
-    smoothed share of right candidates stays at ``PRECISION``. Without right ones it is infinite."""
+    numbers of wrong and right candidates. The threshold is the lowest score at which the
+    smoothed share of right ones among all candidates that reach it is at least ``PRECISION``,
+    above any pattern that is right less often by itself. Without right ones it is infinite."""
     right = sum(c[1] for c in counts.values())
     wrong = sum(c[0] for c in counts.values())
     start = math.log((right + SMOOTHING) / (wrong + SMOOTHING))
@@ -268,11 +283,11 @@ def boost(counts: dict[tuple[bool, ...], tuple[float, float]], features: int) ->
             scores[bits] += best[3] if bits[best[1]] else best[2]
     threshold, no, yes = math.inf, 0.0, 0.0
     for bits in sorted(counts, key=lambda b: -scores[b]):
+        if counts[bits][1] < PRECISION * sum(counts[bits]):
+            break
         no, yes = no + counts[bits][0], yes + counts[bits][1]
-        if yes / (no + yes + SMOOTHING) >= PRECISION:
+        if yes / (no + yes + SMOOTHING) >= PRECISION and sum(counts[bits]) >= LEAST_CASES:
             threshold = scores[bits] - 1e-9
-        else:
-            break
     return Boosted(start, stumps, threshold)
 
 
@@ -297,7 +312,7 @@ def _described(text: Column, base: Column, found: Column) -> Column:
             return F.struct(
                 *[s[n].alias(n) for n in _SPAN],
                 F.when(same, 1).when(other | _refused(s), 0).alias("label"),
-                *[f.test(s["match"], before).alias(f.name) for f in features],
+                *[f.test(F.ltrim(s["match"], F.lit("+")), before).alias(f.name) for f in features],
             )
 
         return F.transform(both["candidates"], one)
@@ -306,18 +321,94 @@ def _described(text: Column, base: Column, found: Column) -> Column:
     return F.when(F.size(found) > 0, bound(both, described))
 
 
+def _rewritten(s: Column) -> Column:
+    """A base match as it might stand without what the base requires, and lookalikes of it: an array
+    of structs of match and label."""
+    match = s["match"]
+
+    def made(*forms: tuple[Column, int]) -> Column:
+        return F.array(*[F.struct(m.alias("match"), F.lit(right).alias("label")) for m, right in forms])
+
+    def by(pattern: str, put: str, of: Column = match) -> Column:
+        return F.regexp_replace(of, pattern, put)
+
+    at, dot = " (at) ", " (dot) "
+    national = by(r"^\+[0-9]{1,3}(?=[^0-9])[ .-]*", "")
+    national = by(r"^\+", "", national)
+    host = by("^.*@", "")
+    first = by(r"\..*$", "", host)
+    email = made(
+        (match, 1),
+        (F.concat(by("@.*$", ""), F.lit(at), F.replace(host, F.lit("."), F.lit(dot))), 1),
+        (F.concat(by("@.*$", ""), F.lit("[at]"), host), 1),
+        # A handle, a name without an ending, and two sentences around a word in brackets.
+        (F.concat(by("@.*$", ""), F.lit("@"), first), 0),
+        (F.concat(by("@.*$", ""), F.lit("@"), first, F.lit(".5")), 0),
+        (F.concat(by("@.*$", ""), F.lit(at), first, F.lit(".Then")), 0),
+    )
+    bare = F.translate(national, "()", "")
+    digits = _digits(national)
+    phone = made(
+        (national, 1),
+        (bare, 1),
+        (F.translate(bare, " ", "-"), 1),
+        # A plain number, a date with an hour, and a number of a book.
+        (digits, 0),
+        (by("^(.{4})(.{2})(.{2})(.*)$", "$1-$2-$3 $4", digits), 0),
+        (by("^(.)(.{2})(.*)(.)$", "$1-$2-$3-$4", digits), 0),
+        (by("^(.{3})(.{3})(.*)$", "$1.$2.$3", F.substring(digits, 1, 9)), 0),
+    )
+    fours = F.regexp_replace(_digits(match), "(.{4})(?=.)", "$1.")
+    card = made((fours, 1), (F.replace(fours, F.lit("."), F.lit("  ")), 1), (by("^(.{4})(.*)(.)$", "$1.$2.$3", _digits(match)), 0))
+    single = by("[0-9]*([0-9])", "$1")
+    ip = made(
+        (F.replace(match, F.lit("."), F.lit("[.]")), 1),
+        (F.replace(match, F.lit("."), F.lit(dot)), 1),
+        # Numbers of sections.
+        (F.replace(single, F.lit("."), F.lit("[.]")), 0),
+        (F.replace(single, F.lit("."), F.lit(dot)), 0),
+    )
+    of = {"email": email, "phone": phone, "card": card, "ip": ip}
+    every = of["email"]
+    for kind in KINDS[1:]:
+        every = F.when(s["kind"] == kind, of[kind]).otherwise(every)
+    return every
+
+
+def _lessons(text: Column, base: Column, found: Column) -> Column:
+    """What the models learn from: candidates with label 0, and base matches rewritten."""
+    features = candidate_features()
+
+    def lessons(s: Column) -> Column:
+        begin = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
+        before = F.substring(text, begin + 1, s["start"] - begin)
+        return F.transform(
+            _rewritten(s),
+            lambda made: F.struct(
+                s["kind"].alias("kind"),
+                made["label"].alias("label"),
+                *[f.test(made["match"], before).alias(f.name) for f in features],
+            ),
+        )
+
+    def plain(s: Column) -> Column:
+        return F.struct(*[s[n].alias(n) for n in ("kind", "label", *[f.name for f in features])])
+
+    refused = F.filter(F.coalesce(_described(text, base, found), F.filter(_described(text, base, found), lambda s: F.lit(False))), lambda s: s["label"] == 0)
+    return F.concat(F.flatten(F.transform(base, lessons)), F.transform(refused, plain))
+
+
 def train_pii(docs: DataFrame, text_column: str = "text") -> dict[str, Boosted]:
-    """A model for each kind of candidate, from the labelled candidates of all rows. What is
-    collected are counts of feature patterns. Kinds without a right candidate add nothing."""
+    """A model for each kind of candidate, from the refused candidates and the base matches of all
+    rows. What is collected are counts of feature patterns. Kinds without a base match add nothing."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     names = [f.name for f in candidate_features()]
     found = docs.select(
         text.alias("_text"), base_spans(text).alias("_base"), candidates(text).alias("_found")
-    ).where(F.size("_found") > 0)
-    one = F.explode(_described(F.col("_text"), F.col("_base"), F.col("_found")))
+    ).where((F.size("_found") > 0) | (F.size("_base") > 0))
+    one = F.explode(_lessons(F.col("_text"), F.col("_base"), F.col("_found")))
     counted = (
         found.select(one.alias("_one"))
-        .where(F.col("_one.label").isNotNull())
         .groupBy("_one.kind", "_one.label", *[f"_one.{n}" for n in names])
         .count()
         .collect()
@@ -327,7 +418,9 @@ def train_pii(docs: DataFrame, text_column: str = "text") -> dict[str, Boosted]:
         counts: dict[tuple, list[float]] = {}
         for row in counted:
             if row[0] == kind:
-                counts.setdefault(tuple(map(bool, row[2:-1])), [0.0, 0.0])[row[1]] += row["count"]
+                counts.setdefault(tuple(map(bool, row[2:-1])), [0.0, 0.0])[row[1]] += (
+                    row["count"] / (FAILED_FOR_ONE if kind == "card" and row[1] == 0 else 1.0)
+                )
         models[kind] = boost(dict(sorted(counts.items())), len(names))
     return models
 
@@ -400,6 +493,6 @@ def _refused(s: Column) -> Column:
     digits = _digits(s["match"])
     card = (s["kind"] == "card") & F.length(digits).between(12, 19) & ~passes_luhn(digits)
     odd = (s["kind"] == "card") & ~F.length(digits).between(12, 19)
-    return F.coalesce(card | odd, F.lit(False)) | (
-        (s["kind"] == "phone") & ~F.length(digits).between(9, 15)
-    )
+    phone = (s["kind"] == "phone") & ~F.length(digits).between(9, 15)
+    ip = (s["kind"] == "ip") & ~valid("ip", F.regexp_replace(s["match"], "[^0-9]+", "."))
+    return F.coalesce(card | odd | ip, F.lit(False)) | phone

@@ -383,3 +383,30 @@ def test_mixing_stage_reaches_the_targets(spark, monkeypatch, poor_every):
     times = (size / (0.08 / 0.98) - size) / (tokens.sum() - size)
     prose_seen = seen[~np.array(poor)]
     assert (seen[poor] == 1).mean() > 0.98 and abs(prose_seen.mean() - times) < 0.03 * times
+
+
+def test_personal_data_beyond_the_base_is_added_and_lookalikes_stay(spark):
+    rng = random.Random(14)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    taught = []
+    for _ in range(300):
+        ip = ".".join(str(rng.randrange(20, 256)) for _ in range(4))
+        email = f"{rng.choice(['ann', 'bo', 'cy'])}.{digits(2)}@mail{digits(1)}.example.com"
+        taught.append(f"stone {email}, river {ip} winter +1 ({digits(3)}) 555-{digits(4)} meadow {digits(8)}")
+    planted = {
+        "phone: (415) 555-0133 now": ["(415) 555-0133"],
+        "mobile 415-555-0133": ["415-555-0133"],
+        "write to jane.doe (at) example (dot) com today": ["jane.doe (at) example (dot) com"],
+        "at jane[at]example.org": ["jane[at]example.org"],
+        "mail info@müller.de": ["info@müller.de"],
+        "host 192[.]168[.]17[.]45 is up": ["192[.]168[.]17[.]45"],
+    }
+    lookalikes = [
+        "on 2024-05-17 1230 it", "isbn 978-3-16-148410-0", "order 4155550133", "see user@host or @handle", "cost a@b.5?x@y",
+        "we met (at) noon.Then left", "section 1[.]2[.]3[.]4", "host 300[.]168[.]17[.]45", "call 555-0133", "id 123.456.789",
+    ]
+    table = documents(spark, [*taught, *planted, *lookalikes])
+    models = train_pii(table)
+    rows = personal_spans(table.where(F.col("doc_id") >= 300), models).orderBy("doc_id").collect()
+    found = [[s.match for s in r.added] for r in rows]
+    assert found == [*planted.values(), *[[] for _ in lookalikes]]
