@@ -1,4 +1,4 @@
-"""The ten operators over the driver's tables, and SQL where it can express them."""
+"""The operators over the driver's tables, and SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from samekin.llm.pii import KINDS, joined, ordered, personal_spans, train_pii
 from samekin.llm.quality import quality, train_quality
 from samekin.llm.rules import weak_supervision
 from samekin.llm.sharding import ROW_BYTES, histogram_shards
+from samekin.llm.spelling import spelling_variants
 from samekin.llm.topk import exact_top_k
 from samekin.llm.training_order import records, training_shards
 from samekin.llm.toxicity import toxicity, train_severity
@@ -141,6 +142,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
     "op2_training_order": op2_training_order,
@@ -152,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
+    "op12_spelling": op12_spelling,
 }
 
 ORACLE_SQL = {"op1_top_k_search": OP1_SQL, "op7_jaccard_join": OP7_SQL}
