@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from samekin.llm.jaccard import near_duplicates
+from samekin.llm.language_model import language_model_scores
 from samekin.llm.mixing import mixing_rates
 from samekin.llm.packing import pack_binary
 from samekin.llm.pii import KINDS, joined, ordered, personal_spans, train_pii
@@ -146,6 +147,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": op1_top_k_search,
     "op2_training_order": op2_training_order,
@@ -158,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
     "op12_spelling": op12_spelling,
+    "op13_language_model": op13_language_model,
 }
 
 ORACLE_SQL = {"op1_top_k_search": OP1_SQL, "op7_jaccard_join": OP7_SQL}
