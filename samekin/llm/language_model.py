@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samekin.llm.store import written
+from samekin.llm.store import bucketed, written
 from samekin.llm.text import encoded, mixed, sliced, word_hashes
 
 # Fixed values of the contract: documents with this remainder are only scored.
@@ -403,7 +403,10 @@ def language_model_scores(
     rows are documents of their own. No rows give no rows; other columns are not read. Without training
     documents only the uniform distribution is left; without a deleted part the weights stay equal.
     """
-    batches = written(_batches(docs, id_column, text_column, batch_bytes), "batches")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    batches = bucketed(
+        _batches(docs, id_column, text_column, batch_bytes), "batches", "batch", partitions
+    )
     part, length = F.col("document.parts"), F.col("document.lengths")
     each = batches.select(F.explode(F.arrays_zip("parts", "lengths")).alias("document"))
     summed = each.groupBy(part.alias("part")).agg(
@@ -414,7 +417,6 @@ def language_model_scores(
     def over(name: str, *parts: int) -> int:
         return sum(sums[p][name] for p in parts if p in sums)
 
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(partitions, math.ceil(order * over("tokens", KEPT, LEFT_OUT, UNSEEN) / grams_together))
     counted = written(_counted(batches, order, ranges), "counted")
     words = counted.agg(F.sum("words")).first()[0] or 0

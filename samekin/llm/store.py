@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from samekin.session import scratch_path
@@ -13,3 +15,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """As :func:`written`, in ``buckets`` by ``column``: a join or grouping by it moves the other side
+    only. The session's catalog has an entry for the table, which says how it is cut."""
+    entry = f"{name}_{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
+    df.write.bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(entry)
+    return df.sparkSession.table(entry)
