@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from samekin.llm.alignment import aligned_tokens
 from samekin.llm.jaccard import near_duplicates
 from samekin.llm.language_model import language_model_scores
 from samekin.llm.mixing import mixing_rates
@@ -143,6 +144,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_tokens(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -162,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_pii": op10_pii,
+    "op11_alignment": op11_alignment,
     "op12_spelling": op12_spelling,
     "op13_language_model": op13_language_model,
 }
