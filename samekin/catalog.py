@@ -319,6 +319,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "components_prefix": _entities(STANDARD, PREFIX),
         "components_loose": _entities(LOOSE, PASSES),
         "components_identifier": _entities(IDENTIFIERS.with_(max_step_distance=72), PASSES),
+        "components_identifier_prefix": _entities(IDENTIFIERS.with_(max_step_distance=72), PREFIX),
         "components_propagated": components_propagated,
         "propagation_rounds": propagation_rounds,
         "entity_sizes": entity_sizes,

@@ -9,6 +9,9 @@ cell match each other for certain:
   That is read off the extremes of the cells, or, where these leave it open, off a running extreme
   over the distinct times of the two cells.
 
+Where a match also asks for an equal wallet or a similar name, cells are those of one wallet, and those
+of one name. Cells of similar names, found by an edit-distance join, are neighbours like others.
+
 Cells are made by an aggregation with map-side combine, so a group holding a third of all rows is
 reduced to a handful of values before anything is shuffled.
 """
@@ -21,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samekin.functions.similarity import amount_relative_difference
+from samekin.functions.similarity import amount_relative_difference, name_similarity
 from samekin.operators.blocking import BLOCK, BlockingPass, per_pass
+from samekin.operators.edit_distance import always_similar, similar_names
 from samekin.operators.matching import (
     amount_sign,
     block_matches,
@@ -32,14 +36,18 @@ from samekin.operators.matching import (
     log_ratio,
     with_match_keys,
 )
-from samekin.operators.skew import HOT_ROWS, Keep, hot_keys, lookup_join, recomputed
+from samekin.operators.skew import HOT_ROWS, Keep, hot_keys, lookup_join, recomputed, sized_join
 from samekin.plans.policy import BEHAVIORAL, DecisionPolicy
 
 # A cell is as wide as a certain match reaches. The reach of a possible match is a little more, so
 # matching rows may be up to two cells apart in amount, and one in time.
 AMOUNT_STEPS = 2
 
-CELL = [*BLOCK, "_type", "_sign", "_time", "_amount"]
+PLACE = [*BLOCK, "_type", "_sign", "_time", "_amount"]
+# All rows of a cell agree in whom they are from, if that matters.
+CELL = [*PLACE, "_who"]
+# Cells of one place with more names than this look for similar ones by segments.
+NAMES_TOGETHER = 256
 
 
 def _with_cells(rows: DataFrame, policy: DecisionPolicy, passing: float) -> DataFrame:
@@ -55,6 +63,7 @@ def _with_cells(rows: DataFrame, policy: DecisionPolicy, passing: float) -> Data
         amount_sign(F.col("amount")).alias("_sign"),
         floor_div(F.col("eventTime"), policy.max_step_distance + 1).alias("_time"),
         F.floor(log_amount(F.col("amount")) / width).alias("_amount"),
+        (F.col("_who") if "_who" in rows.columns else F.lit("")).alias("_who"),
     )
 
 
@@ -83,19 +92,12 @@ def _members(rows: DataFrame, cells: DataFrame, hot_rows: int) -> DataFrame:
     return lookup_join(rows, shared.select(*CELL, "rep"), CELL, "inner", hot)
 
 
-def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
-    """Pairs of neighbouring cells ``a``, ``b`` whose extremes allow a match. ``sure`` tells
-    that there is one; otherwise it depends on which amounts go with which times.
-
-    ``a`` is the earlier cell, or the lower one at the same time. It looks into each cell that can be
-    its neighbour, so the join is on equality alone and a cell meets a few others at most.
-    """
-    reach = range(-AMOUNT_STEPS, AMOUNT_STEPS + 1)
-    looks = [(0, s) for s in reach if s > 0] + [(1, s) for s in reach]
+def _looked(cells: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
+    """``cells`` once for each of ``looks``, moved to the place they look at."""
     look = F.explode(
         F.array(*[F.struct(F.lit(t).alias("later"), F.lit(s).alias("step")) for t, s in looks])
     )
-    a = cells.withColumn("_look", look).withColumns(
+    return cells.withColumn("_look", look).withColumns(
         {
             "_later": F.col("_look.later"),
             "_step": F.col("_look.step"),
@@ -103,12 +105,13 @@ def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
             "_amount": F.col("_amount") + F.col("_look.step"),
         }
     )
-    b = cells
-    step = F.col("a._step")
-    on = F.lit(True)
-    for column in CELL:
-        on &= F.col(f"a.{column}") == F.col(f"b.{column}")
 
+
+def _reaching(met: DataFrame, policy: DecisionPolicy) -> DataFrame:
+    """The pairs of cells ``a``, ``b`` whose extremes allow a match; ``a._later`` and ``a._step`` say
+    where ``b`` lies. ``sure`` tells that there is one; otherwise it depends on which amounts go with
+    which times."""
+    step = F.col("a._step")
     in_time = F.col("b.first") - F.col("a.last") <= F.lit(policy.max_step_distance)
     in_amount = (
         F.when(step > 0, _close(F.col("a.high"), F.col("b.low"), policy))
@@ -117,18 +120,74 @@ def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
     )
     one_time = (F.col("a.first") == F.col("a.last")) & (F.col("b.first") == F.col("b.last"))
     same_time = F.col("a._later") == 0
-    return (
-        a.alias("a")
-        .join(b.alias("b"), on)
-        .where(in_amount & (same_time | in_time))
-        .select(
-            F.col("a._pass").alias("_pass"),
-            F.col("a.rep").alias("a"),
-            F.col("b.rep").alias("b"),
-            (step > 0).alias("upward"),
-            (same_time | (step == 0) | one_time).alias("sure"),
+    return met.where(in_amount & (same_time | in_time)).select(
+        F.col("a._pass").alias("_pass"),
+        F.col("a.rep").alias("a"),
+        F.col("b.rep").alias("b"),
+        (step > 0).alias("upward"),
+        (same_time | (step == 0) | one_time).alias("sure"),
+    )
+
+
+def _all_equal(columns: list[str], left: str, right: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in columns])
+
+
+AMOUNT_REACH = range(-AMOUNT_STEPS, AMOUNT_STEPS + 1)
+# ``a`` is the earlier cell, or the lower one at the same time.
+AHEAD = [(0, s) for s in AMOUNT_REACH if s > 0] + [(1, s) for s in AMOUNT_REACH]
+AROUND = [(t, s) for t in (-1, 0, 1) for s in AMOUNT_REACH]
+
+
+def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
+    """Pairs of neighbouring cells. A cell looks into each that can be its neighbour, so the join is on
+    equality alone and a cell meets a few others at most."""
+    met = _looked(cells, AHEAD).alias("a").join(cells.alias("b"), _all_equal(CELL, "a", "b"))
+    return _reaching(met, policy)
+
+
+def _similar_neighbours(cells: DataFrame, policy: DecisionPolicy, names_together: int) -> DataFrame:
+    """Pairs of cells of different but similar names that are neighbours, or at the same place.
+
+    Places with few names compare these with each other. Where either place has more than
+    ``names_together``, an edit-distance join finds the similar ones.
+    """
+    threshold = policy.name_similarity_threshold
+    sizes = cells.groupBy(*PLACE).agg(F.count("*").alias("_names"))
+    crowded = sizes.where(F.col("_names") > names_together).select(*PLACE, F.lit(True).alias("_crowded"))
+    some = not crowded.isEmpty()
+    if some:
+        cells = sized_join(cells, crowded, PLACE, "left").na.fill(False, ["_crowded"])
+    else:
+        cells = cells.withColumn("_crowded", F.lit(False))
+    either = F.col("a._crowded") | F.col("b._crowded")
+    a_name, b_name = F.col("a._who"), F.col("b._who")
+    # At the same place either could be a.
+    once = (a_name != b_name) & ((F.col("a._later") != 0) | (F.col("a._step") != 0) | (a_name < b_name))
+    on = _all_equal(PLACE, "a", "b") & ~either & once & (name_similarity(a_name, b_name) >= F.lit(threshold))
+    met = _looked(cells, [(0, 0), *AHEAD]).alias("a").join(cells.alias("b"), on)
+    found = _reaching(met, policy)
+    if not some:
+        return found
+    near = _looked(crowded, AROUND).select(*PLACE).distinct()
+    around = sized_join(cells, near, PLACE, "left_semi")
+    # Whoever has the shorter name looks around; which of the two is a follows from where it finds b.
+    pairs = similar_names(_looked(around, AROUND), around, PLACE, "_who", threshold, "rep")
+    later, step = F.col("l._later"), F.col("l._step")
+    looker_first = (later > 0) | ((later == 0) & (step >= 0))
+    columns = ["_pass", "rep", "first", "last", "low", "high"]
+    sides = {
+        side: F.struct(
+            *[F.when(first, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in columns],
+            F.abs(later).alias("_later"),
+            F.when(looker_first, step).otherwise(-step).alias("_step"),
         )
+        for side, first in (("a", looker_first), ("b", ~looker_first))
+    }
+    placed = pairs.where(F.col("l._crowded") | F.col("r._crowded")).select(
+        *[side.alias(name) for name, side in sides.items()]
     )
+    return found.unionByName(_reaching(placed, policy))
 
 
 def _settled_by_sweep(open_pairs: DataFrame, moments: DataFrame, policy: DecisionPolicy) -> DataFrame:
@@ -170,17 +229,27 @@ def _settled_by_sweep(open_pairs: DataFrame, moments: DataFrame, policy: Decisio
 
 
 def block_links(
-    rows: DataFrame, policy: DecisionPolicy, keep: Keep = recomputed, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    policy: DecisionPolicy,
+    keep: Keep = recomputed,
+    hot_rows: int = HOT_ROWS,
+    names: Column | None = None,
+    names_together: int = NAMES_TOGETHER,
 ) -> DataFrame:
     """Links inside the blocks of ``per_pass`` rows, where closeness in time and amount (and
-    type) is all it takes to match."""
+    type) is all it takes to match; with a column ``_who`` only among rows that agree in it, and, if
+    ``names`` says that a cell's ``_who`` is a name, among similar names."""
     passing = largest_passing_difference(policy.amount_relative_tolerance)
     if passing is None:
         return block_matches(rows, policy)
     placed = _with_cells(rows, policy, passing)
     cells = keep(_cells(placed))
     members = _members(placed, cells, hot_rows)
-    neighbours = keep(_neighbours(cells, policy))
+    neighbours = _neighbours(cells, policy)
+    if names is not None:
+        similar = _similar_neighbours(cells.where(names), policy, names_together)
+        neighbours = neighbours.unionByName(similar)
+    neighbours = keep(neighbours)
 
     ends = [F.col("a").alias("src"), F.col("b").alias("dst")]
     inside = members.where(F.col("txId") != F.col("rep")).select(
@@ -203,26 +272,45 @@ def block_links(
     return links.unionByName(_settled_by_sweep(open_pairs, moments, policy).select(*ends))
 
 
+def _identified(rows: DataFrame, policy: DecisionPolicy) -> DataFrame:
+    """``rows`` by whom they are from: once under their name and, if wallets count, once under their
+    wallet. ``_pass`` tells names (even) from wallets (odd)."""
+    whose = ["nameNorm"] + (["walletNorm"] if policy.wallet_match_enabled else [])
+    look = F.explode(
+        F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("who")) for i, c in enumerate(whose)])
+    )
+    return (
+        rows.withColumn("_in", look)
+        .where(F.col("_in.who").isNotNull())
+        .withColumns({"_pass": 2 * F.col("_pass") + F.col("_in.kind"), "_who": F.col("_in.who")})
+        .drop("_in")
+    )
+
+
 def connecting_edges(
     transactions: DataFrame,
     policy: DecisionPolicy,
     passes: tuple[BlockingPass, ...],
     keep: Keep = recomputed,
     hot_rows: int = HOT_ROWS,
+    names_together: int = NAMES_TOGETHER,
 ) -> DataFrame:
     """Edges ``src``, ``dst`` with the connected components of the full matched graph.
 
-    Blocks are linked by cells, whatever their size. In identifier mode a pair also needs a name or wallet match: a
-    pass whose blocks share one name has that for free, in any other pass matches are listed.
+    Blocks are linked by cells, whatever their size. In identifier mode a pair also needs a similar name
+    or the same wallet: a pass whose blocks share one name has that for free, in any other pass cells
+    are those of a name or a wallet.
     """
     rows = keep(with_match_keys(transactions, policy, passes))
     every = list(range(len(passes)))
-    behavioral = policy.evidence_mode == BEHAVIORAL
-    close = [i for i, blocking in enumerate(passes) if behavioral or blocking.same_name]
-    listed = [i for i in every if i not in close]
+    unnamed = policy.evidence_mode == BEHAVIORAL or always_similar(policy.name_similarity_threshold)
+    close = [i for i, blocking in enumerate(passes) if unnamed or blocking.same_name]
+    identified = [i for i in every if i not in close]
     parts = []
     if close:
         parts.append(block_links(per_pass(rows, close), policy, keep, hot_rows))
-    if listed:
-        parts.append(block_matches(per_pass(rows, listed), policy))
+    if identified:
+        whose = _identified(per_pass(rows, identified), policy)
+        named = F.col("_pass") % 2 == 0
+        parts.append(block_links(whose, policy, keep, hot_rows, named, names_together))
     return reduce(lambda x, y: x.unionByName(y), parts)

@@ -93,8 +93,8 @@ def with_match_keys(
     )
 
 
-def _split_crowded(
-    left: DataFrame, right: DataFrame, cell: list[str], tile_rows: int
+def split_crowded(
+    left: DataFrame, right: DataFrame, cell: list[str], tile_rows: int, id_column: str = "txId"
 ) -> tuple[DataFrame, DataFrame]:
     """Spread the rows of crowded cells over parts on both sides; each left part meets each right
     part in a join of its own, so no task compares more than a tile of either."""
@@ -110,7 +110,7 @@ def _split_crowded(
 
     def spread(side: DataFrame, own: str, other: str) -> DataFrame:
         known = sized_join(side, crowded, cell, "left").na.fill(1, ["_lparts", "_rparts"])
-        place = F.pmod(F.xxhash64("txId"), F.col(f"_{own}parts")).cast("int")
+        place = F.pmod(F.xxhash64(id_column), F.col(f"_{own}parts")).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(f"_{other}parts") - 1))
         return known.withColumn(f"_{own}part", place).withColumn(f"_{other}part", every)
 
@@ -143,7 +143,7 @@ def matching_join(
     if policy.require_type_match:
         equal.append("typeNorm")
     if tile_rows is not None:
-        left, right = _split_crowded(left, right, equal, tile_rows)
+        left, right = split_crowded(left, right, equal, tile_rows)
     on = F.col("l.txId") < F.col("r.txId")
     for column in equal:
         on &= F.col(f"l.{column}") == F.col(f"r.{column}")

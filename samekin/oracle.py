@@ -192,14 +192,21 @@ def _components(policy: DecisionPolicy) -> str:
 
 
 def _components_prefix(policy: DecisionPolicy) -> str:
-    """One pass, by prefix. Neither names nor wallets matter here, so the rows themselves are joined."""
+    """One pass, by prefix. The rows themselves are joined, as few of the pairs match."""
+    strong = "true"
+    if policy.evidence_mode == IDENTIFIER:
+        left, right = _normalized("l.name"), _normalized("r.name")
+        longer = f"greatest(length({left}), length({right}))"
+        similarity = _two_decimals(f"1.0::double - levenshtein({left}, {right})::double / {longer}")
+        strong = f"""(lower(trim(l.wallet)) = lower(trim(r.wallet))
+      or case when {longer} = 0 then 1.0 else {similarity} end >= {policy.name_similarity_threshold})"""
     difference = _two_decimals("abs(l.amount - r.amount) / ((abs(l.amount) + abs(r.amount)) / 2.0)")
     return f"""with recursive {TX}, {_blocked(PREFIX_KEY)},
 ed as (select l."txId" as src, r."txId" as dst from b l join b r on l."blockKey" = r."blockKey"
   and upper(trim(l."txType")) = upper(trim(r."txType")) and l."txId" < r."txId"
   and abs(l."eventTime" - r."eventTime") <= {policy.max_step_distance}
   where case when l.amount = 0 and r.amount = 0 then 0.0 else {difference} end
-    < {policy.amount_relative_tolerance}),
+    < {policy.amount_relative_tolerance} and {strong}),
 g as (select src, dst from ed union select dst, src from ed),
 r(id, lab) as (select src, src from g union select g.dst, r.lab from r join g on r.id = g.src),
 m as (select id as "txId", min(lab) as "resolvedEntityId" from r group by id)
@@ -313,6 +320,7 @@ select 'matched_pairs' as stage, count(*) as rows from ed""",
         "components_prefix": _components_prefix(C.STANDARD),
         "components_loose": _components(C.LOOSE),
         "components_identifier": _components(identifier_wide),
+        "components_identifier_prefix": _components_prefix(identifier_wide),
         "components_propagated": _components(C.WIDE),
         "propagation_rounds": _rounds(C.WIDE, ROUNDS),
         "entity_sizes": f"""{_mapping(C.WIDE)}
