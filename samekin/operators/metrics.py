@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from samekin.operators.blocking import BlockingPass, block_sizes, pass_key, with_pass_keys
 from samekin.operators.matching import matching_join, with_match_keys
 from samekin.operators.pairs import one_row_per_id
-from samekin.plans.policy import IDENTIFIER, DecisionPolicy
+from samekin.operators.sweep import count_close_pairs
+from samekin.plans.policy import BEHAVIORAL, IDENTIFIER, DecisionPolicy
 
 # Fixed value: how many blocks the size report lists.
 TOP_BLOCKS = 20
@@ -95,17 +96,21 @@ def count_matches(
     """The number of distinct matched pairs over all passes, as one ``stage``, ``rows`` row.
 
     Rows that look the same to the policy are merged first and weigh as many as they are, so
-    copies do not multiply the work.
+    copies do not multiply the work. Where closeness is all it takes to match, pairs are counted by a
+    sweep; where names or wallets matter, too, the merged rows are joined.
     """
     rows = _shared_keys(with_match_keys(transactions, policy, passes), passes)
     looks = ["amount", "eventTime", "typeNorm", "nameNorm", "walletNorm"]
     points = rows.groupBy("_block", "_sign", *looks).agg(
         F.min("txId").alias("txId"), F.count("*").alias("members")
     ).withColumnRenamed("_sign", "sign")
-    across = matching_join(points, ["_block"], policy).select(
-        (F.col("l.members") * F.col("r.members")).cast("decimal(38,0)").alias("pairs"),
-        F.col("l.sign").alias("sign"),
-    )
+    if policy.evidence_mode == BEHAVIORAL:
+        across = count_close_pairs(points, ["_block"], policy, "sign").select("pairs", "sign")
+    else:
+        across = matching_join(points, ["_block"], policy).select(
+            (F.col("l.members") * F.col("r.members")).cast("decimal(38,0)").alias("pairs"),
+            F.col("l.sign").alias("sign"),
+        )
     # A merged row matches itself unless nothing passes the amount or identifier test at all.
     alike = points.where((F.col("members") > 1) & F.lit(policy.amount_relative_tolerance > 0.0))
     if policy.evidence_mode == IDENTIFIER:
