@@ -86,7 +86,7 @@ def propagate_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
     return Components(labels.select("txId", F.col("label").alias("resolvedEntityId")), rounds)
 
 
-def _hot(current: DataFrame, key: str, rows: int, hot_rows: int) -> DataFrame | None:
+def _hot(current: DataFrame, key: str, rows: int, hot_rows: int) -> list[int] | None:
     return hot_keys(current, key, hot_rows) if rows > hot_rows else None
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from samekin.operators.blocking import (
     per_pass,
     with_pass_keys,
 )
-from samekin.operators.skew import sized_join
+from samekin.operators.skew import measured, sized_join
 
 # A block of more rows is joined in tiles of this many rows a side, each tile by its own, so that a
 # tile makes no more pairs than a task should.
@@ -81,12 +82,31 @@ def _side(alias: str, columns: list[str]) -> Column:
     return F.struct(*[F.col(f"{alias}.{c}") for c in columns])
 
 
+def one_row_per_key(rows: DataFrame, key: list[str], smallest_by: list[str]) -> DataFrame:
+    """Rows that agree in ``key`` as one, the smallest of them by ``smallest_by``.
+
+    Only the keys are looked at to find those that repeat; rows are moved for these alone, and if there
+    are none, ``rows`` come back as they are. A null is a key like others.
+    """
+    counted = rows.groupBy(*key).agg(F.count("*").alias("_rows"))
+    repeated = measured(counted.where("_rows > 1").select(*key))
+    if not repeated.rows:
+        return rows
+    others = [c for c in rows.columns if c not in key and c not in smallest_by]
+    whole = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in key])
+    keyed = rows.where(whole)
+    # Nulls do not join.
+    again = sized_join(keyed, repeated, key, "left_semi").select(*rows.columns).unionByName(rows.where(~whole))
+    one = again.groupBy(*key).agg(F.min(F.struct(*smallest_by, *others)).alias("_one"))
+    back = [F.col(f"_one.{c}").alias(c) for c in [*smallest_by, *others]]
+    single = sized_join(keyed, repeated, key, "left_anti").select(*rows.columns)
+    return single.unionByName(one.select(*key, *back).select(*rows.columns))
+
+
 def one_row_per_id(transactions: DataFrame) -> DataFrame:
     """Rows with the same id, such as exact copies under a content id, as one: the smallest of them.
     A row has no pair with itself, and a pair of ids is one pair."""
-    others = [c for c in transactions.columns if c != "txId"]
-    one = transactions.groupBy("txId").agg(F.min(F.struct(*others)).alias("_one"))
-    return one.select("txId", *[F.col(f"_one.{c}").alias(c) for c in others]).select(*transactions.columns)
+    return one_row_per_key(transactions, ["txId"], [c for c in transactions.columns if c != "txId"])
 
 
 def candidate_pairs(blocked: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -106,10 +126,9 @@ def union_and_deduplicate(*pair_sets: DataFrame) -> DataFrame:
     for other in pair_sets[1:]:
         union = union.unionByName(other)
     ids = [F.col("left.txId"), F.col("right.txId")]
-    return (
-        union.groupBy(F.least(*ids).alias("_low"), F.greatest(*ids).alias("_high"))
-        .agg(F.min(F.struct("blockKey", "left", "right")).alias("_pair"))
-        .select("_pair.left", "_pair.right", "_pair.blockKey")
+    keyed = union.withColumns({"_low": F.least(*ids), "_high": F.greatest(*ids)})
+    return one_row_per_key(keyed, ["_low", "_high"], ["blockKey", "left", "right"]).select(
+        "left", "right", "blockKey"
     )
 
 

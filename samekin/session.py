@@ -33,6 +33,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def release(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table, in whatever file system it lies."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Delete a scratch table with the folder made for it, in whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
