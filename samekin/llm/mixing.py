@@ -1,8 +1,8 @@
 """Mixing sources to target weights with soft membership.
 
 A classifier learnt from the labels table gives every document posterior probabilities of the
-domains, from its style and from the words that tell a domain from the others. Document rates, how often each document is to be seen, are the nonnegative least-squares
-solution of: expected tokens of each domain = its target. The gradient is distributed: each step
+domains, from its style and from the words that tell a domain from the others. Document rates, how
+often each document is to be seen, are the nonnegative least-squares solution of: expected tokens of each domain = its target. The gradient is distributed: each step
 sums the expected tokens over all documents, and only those few sums come to the driver.
 
 All of it is DataFrame expressions and aggregations.
@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samekin.llm.rules import OTHER_SPACE, SYMBOLS, bound, without, words_of
+from samekin.llm.rules import OTHER_SPACE, SYMBOLS, bound, without
 from samekin.llm.store import written
 
 # Domains by the two labels (quality, toxic), and the share of the tokens each is to have.
@@ -45,28 +45,51 @@ WORD_CHARS = 24
 # (twice it is a chi-square), and so many times as frequent there as in the others. Words that are
 # just frequent would only tell how long a text is.
 VOCABULARY = 2_048
+BUCKETS = 256
 LEAST_TIE = 12.0
 LEAST_LIFT = 4.0
 
 
-def style(text: Column, words: Column) -> dict[str, Column]:
-    """Numbers that describe a text; roots and logarithms bring them near a normal distribution."""
-    n = F.greatest(F.size(words), F.lit(1)).cast("double")
-    letters = F.greatest(F.length(without(text, OTHER_SPACE + " ")), F.lit(1)).cast("double")
+# What style counts besides words, and how many of them a text has to one word.
+MARKS = {"symbols": SYMBOLS, "shouts": "!", "stops": ".,"}
+CAPITALS = "A-Z"
+
+
+def dissected(docs: DataFrame, text: Column, kept: Column) -> DataFrame:
+    """``_kept`` (any column of ``docs``) and what the features are made of: ``_words``, ``_distinct``
+    ones, ``_letters`` (characters but white space) and ``_marks`` (the capitals and marks in order).
+    A text is gone through once for its words and once for its marks."""
+    marks = F.regexp_replace("_text", f"[^{CAPITALS}{''.join(MARKS.values())}]+", "")
+    spaced = docs.select(kept.alias("_kept"), text.alias("_text")).select(
+        "_kept", marks.alias("_marks"), without(F.col("_text"), OTHER_SPACE, " ").alias("_spaced")
+    )
+    return spaced.select(
+        "_kept",
+        "_marks",
+        F.array_remove(F.split("_spaced", " "), "").alias("_words"),
+        F.length(without(F.col("_spaced"), " ")).alias("_letters"),
+    ).withColumn("_distinct", F.array_distinct("_words"))
+
+
+def style() -> dict[str, Column]:
+    """Numbers that describe a text, from the columns of :func:`dissected`; roots and logarithms bring them
+    near a normal distribution."""
+    n = F.greatest(F.size("_words"), F.lit(1)).cast("double")
+    letters = F.greatest(F.col("_letters"), F.lit(1)).cast("double")
+    marks = F.col("_marks")
 
     def share(characters: str) -> Column:
-        return F.sqrt((F.length(text) - F.length(without(text, characters))) / n)
+        return F.sqrt((F.length(marks) - F.length(without(marks, characters))) / n)
 
     # Distinct words fall with the length by a power law; the exponent does not.
-    distinct = F.greatest(F.size(F.array_distinct(words)), F.lit(1)).cast("double")
+    distinct = F.greatest(F.size("_distinct"), F.lit(1)).cast("double")
+    capitals = F.length(without(marks, "".join(MARKS.values())))
     return {
         "length": F.log1p(n),
         "word_length": F.log(letters / n),
         "variety": F.log(distinct) / F.log(n + 1),
-        "symbols": share(SYMBOLS),
-        "shouts": share("!"),
-        "stops": share(".,"),
-        "capitals": F.sqrt(F.length(F.regexp_replace(text, "[^A-Z]+", "")) / letters),
+        **{name: share(characters) for name, characters in MARKS.items()},
+        "capitals": F.sqrt(capitals / letters),
     }
 
 
@@ -84,16 +107,17 @@ def known_domains(labels: DataFrame, id_column: str) -> DataFrame:
     return known.dropna(subset=["_id", "_domain"])
 
 
-def told(text: Column) -> Column:
-    """Hashes of a text's distinct words, lower case and letters only, and of their first letters."""
-    letters = F.regexp_replace(F.lower(text), r"[^\p{L}\s]+", "")
-    words = F.array_remove(F.array_distinct(F.split(without(letters, OTHER_SPACE, " "), " ")), "")
+def told(words: Column) -> Column:
+    """Hashes of the distinct ones of ``words``, lower case and letters only, and of their first
+    letters."""
+    letters = F.regexp_replace(F.lower(F.array_join(words, " ")), r"[^\p{L} ]+", "")
+    cleaned = F.array_remove(F.array_distinct(F.split(letters, " ")), "")
 
     def hashed(found: Column, n: int) -> Column:
         # The number of letters tells a stem from a word.
         return F.transform(found, lambda w: F.xxhash64(F.substring(w, 1, n), F.lit(n)))
 
-    return bound(words, lambda found: F.concat(*[hashed(found, n) for n in (*STEMS, WORD_CHARS)]))
+    return bound(cleaned, lambda found: F.concat(*[hashed(found, n) for n in (*STEMS, WORD_CHARS)]))
 
 
 @dataclass(frozen=True)
@@ -105,19 +129,29 @@ class Words:
     present: list[list[float]]
     none: list[float]
 
-    def likelihoods(self, text: Column) -> Column:
-        """An array of log likelihoods, one a domain."""
+    def likelihoods(self) -> Column:
+        """An array of log likelihoods, one a domain, from the column ``_distinct``."""
         if not self.names:
             return F.array(*map(F.lit, self.none))
-        names = F.lit(np.array(self.names, np.int64))
-        tables = [F.map_from_arrays(names, F.lit(np.array(values))) for values in self.present]
-
-        def summed(hits: Column, none: float, table: Column) -> Column:
-            return F.aggregate(hits, F.lit(none), lambda s, h: s + F.element_at(table, h))
+        # The names lie in buckets, so that a look-up reads a few of them.
+        buckets = [name % BUCKETS for name in self.names]
+        order = sorted(range(len(buckets)), key=lambda i: (buckets[i], i))
+        names = F.lit(np.array([self.names[i] for i in order], np.int64))
+        begins = F.lit(np.searchsorted([buckets[i] for i in order], np.arange(BUCKETS + 1)).astype(np.int32))
+        values = [F.lit(np.array([v[i] for i in order])) for v in self.present]
+
+        def place(name: Column) -> Column:
+            bucket = F.pmod(name, F.lit(BUCKETS)).cast("int")
+            begin, end = F.get(begins, bucket), F.get(begins, bucket + 1)
+            within = F.array_position(F.slice(names, begin + 1, end - begin), name)
+            return (begin + within - 1).cast("int")
+
+        def summed(places: Column, none: float, table: Column) -> Column:
+            return F.aggregate(places, F.lit(none), lambda s, at: s + F.get(table, at))
 
         return bound(
-            F.array_intersect(told(text), names),
-            lambda hits: F.array(*[summed(hits, n, t) for n, t in zip(self.none, tables)]),
+            F.transform(F.array_intersect(told(F.col("_distinct")), names), place),
+            lambda places: F.array(*[summed(places, n, t) for n, t in zip(self.none, values)]),
         )
 
 
@@ -133,7 +167,9 @@ def train_words(docs: DataFrame, labels: DataFrame, id_column: str, text_column:
     few = F.broadcast(known.where(place < share).select("_id", "_domain"))
     text = F.coalesce(F.col(text_column), F.lit(""))
     texts = docs.select(F.col(id_column).alias("_id"), text.alias("_text")).join(few, "_id")
-    sample = written(texts.select("_domain", F.array_distinct(told(F.col("_text"))).alias("_told")), "words")
+    found = dissected(texts, F.col("_text"), F.col("_domain"))
+    told_of = F.array_distinct(told(F.col("_distinct")))
+    sample = written(found.select(F.col("_kept").alias("_domain"), told_of.alias("_told")), "words")
     of = range(len(DOMAINS))
     counted = sample.groupBy("_domain").count().collect()
     rows = [sum(r["count"] for r in counted if r["_domain"] == k) for k in of]
@@ -216,16 +252,14 @@ class DomainModel:
         return bound(F.array(*logs), shares)
 
 
-def described(docs: DataFrame, words: Words, id_column: str, text_column: str) -> DataFrame:
-    """``_id``, ``_tokens`` (words) and the features of each row's whole text."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    first = docs.select(F.col(id_column).alias("_id"), text.alias("_text"), words_of(text).alias("_words"))
-    numbers = style(F.col("_text"), F.col("_words"))
+def described(docs: DataFrame, words: Words, kept: Column, text_column: str) -> DataFrame:
+    """``_kept``, ``_tokens`` (words) and the features of each row's whole text."""
+    first = dissected(docs, F.coalesce(F.col(text_column), F.lit("")), kept)
     return first.select(
-        "_id",
+        "_kept",
         F.size("_words").cast("long").alias("_tokens"),
-        words.likelihoods(F.col("_text")).alias("_likelihoods"),
-        *[numbers[name].alias(f"_{name}") for name in FEATURES],
+        words.likelihoods().alias("_likelihoods"),
+        *[number.alias(f"_{name}") for name, number in style().items()],
     )
 
 
@@ -234,7 +268,7 @@ def train_domains(table: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     sums = [F.mean(f"_{n}").alias(f"m_{n}") for n in FEATURES]
     sums += [F.var_pop(f"_{n}").alias(f"v_{n}") for n in FEATURES]
     rows = (
-        table.join(known_domains(labels, id_column), "_id")
+        table.join(known_domains(labels, id_column), F.col("_kept") == F.col("_id"))
         .groupBy("_domain", "_quality")
         .agg(F.count("*").alias("rows"), *sums)
         .orderBy("_domain", "_quality")
@@ -338,9 +372,9 @@ def mixing_rates(
     that keeps a target out of reach, the nearest mixture in the same sense is the result.
     """
     words = train_words(docs, labels, id_column, text_column)
-    table = written(described(docs, words, id_column, text_column), "style")
+    table = written(described(docs, words, F.col(id_column), text_column), "style")
     model = train_domains(table, labels, id_column)
-    shared = written(table.select("_id", "_tokens", model.posteriors().alias("_shares")), "shares")
+    shared = written(table.select(F.col("_kept").alias("_id"), "_tokens", model.posteriors().alias("_shares")), "shares")
     rates = fit_rates(shared, targets, epochs, least)
     rated = shared.withColumn("rate", rates.rate())
     return rated.select(
@@ -364,25 +398,16 @@ def mixed(
     """The rows of ``docs``, each as often as its rate says, with their columns. The rate is
     computed beside the row, not matched by id, so that rows with the same id are told apart."""
     words = train_words(docs, labels, id_column, text_column)
-    table = written(described(docs, words, id_column, text_column), "style")
+    table = written(described(docs, words, F.col(id_column), text_column), "style")
     model = train_domains(table, labels, id_column)
     shared = written(table.select("_tokens", model.posteriors().alias("_shares")), "shares")
     rates = fit_rates(shared, targets, epochs, least)
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    named = docs.withColumns({"_text": text, "_words": words_of(text)})
-    numbers = style(F.col("_text"), F.col("_words"))
-    featured = named.select(
-        *docs.columns,
-        words.likelihoods(F.col("_text")).alias("_likelihoods"),
-        *[numbers[n].alias(f"_{n}") for n in FEATURES],
-    )
-    rated = featured.select(*docs.columns, model.posteriors().alias("_shares"))
-    times = copies(rates.rate(), F.col(id_column), F.col(text_column))
+    # The row as a whole, so that none of its columns can be called like a feature.
+    featured = described(docs, words, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), text_column)
+    rated = featured.select("_kept", model.posteriors().alias("_shares"))
+    row = [F.col(f"_kept.`{c}`") for c in docs.columns]
+    times = copies(rates.rate(), F.col(f"_kept.`{id_column}`"), F.col(f"_kept.`{text_column}`"))
     # Without a filter on the number of copies: the optimizer would move it down to the scan and work
     # out posteriors and features anew for each time that the rate refers to them.
     each = F.when(times > 0, F.sequence(F.lit(1).cast("long"), times))
-    return (
-        rated.select(*docs.columns, F.explode_outer(each).alias("_copy"))
-        .where(F.col("_copy").isNotNull())
-        .select(*docs.columns)
-    )
+    return rated.select("_kept", F.explode_outer(each).alias("_copy")).where(F.col("_copy").isNotNull()).select(*row)
