@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,67 +214,50 @@ def _counters(partial: DataFrame) -> np.ndarray:
     return counters
 
 
-def _sent(texts: DataFrame, counters: np.ndarray, partitions: int) -> DataFrame:
+def _sent(texts: DataFrame, counters: Broadcast, partitions: int) -> DataFrame:
     """``sig``, ``key`` for every signature of every text, all rows of a signature in one partition.
 
-    They are sent packed: a row holds the part of a batch that goes to one partition, signatures
-    ascending as differences, byte by byte, so that the leading zeros compress. Copies within a
-    batch are sent once."""
-    shared = texts.sparkSession.sparkContext.broadcast(counters)
+    They are sent in parcels: a row holds the part of a batch that goes to one partition. Copies within
+    a batch are sent once."""
 
-    def packed(sigs: np.ndarray, docs: np.ndarray, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def parcels(sigs: np.ndarray, docs: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((keys[docs], sigs))
-        sigs, docs = sigs[order], docs[order]
+        sigs, keys = sigs[order], keys[docs[order]]
         new = np.ones(len(sigs), bool)
-        new[1:] = (np.diff(sigs) != 0) | (np.diff(keys[docs]) != 0)
-        sigs, docs = sigs[new], docs[new]
+        new[1:] = (np.diff(sigs) != 0) | (np.diff(keys) != 0)
+        sigs, keys = sigs[new], keys[new]
         target = ((sigs >> _U(32)) * _U(partitions) >> _U(32)).astype(np.int32)
         first = np.flatnonzero(np.diff(target, prepend=-1))
-        rows = []
-        for begin, end in zip(first, [*first[1:], len(sigs)]):
-            steps = np.diff(sigs[begin:end], prepend=_U(0))
-            own, place = np.unique(docs[begin:end], return_inverse=True)
-            planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
-            rows.append((planes.tobytes(), place.astype("<u4").tobytes(), keys[own].tobytes()))
-        columns = [pa.array(target[first], pa.int32())]
-        columns += [pa.array([r[i] for r in rows], pa.binary()) for i in range(3)]
-        yield pa.RecordBatch.from_arrays(columns, ["target", "sigs", "places", "keys"])
+        cuts = pa.array(np.append(first, len(sigs)), pa.int32())
+        lists = [pa.ListArray.from_arrays(cuts, pa.array(v)) for v in (sigs.view(np.int64), keys)]
+        return pa.RecordBatch.from_arrays([pa.array(target[first]), *lists], ["target", "sigs", "keys"])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, keys, held = [], [], 0
 
-        def flushed() -> Iterator[pa.RecordBatch]:
+        def flushed() -> pa.RecordBatch:
             docs = np.repeat(np.arange(len(keys)), [len(x) for x in names])
-            yield from packed(np.concatenate(names), docs, np.array(keys, np.int64))
+            return parcels(np.concatenate(names), docs, np.array(keys, np.int64))
 
         for batch in sliced(batches):
             texts = encoded(batch["_text"].to_pylist())
             for part in in_batches(texts, 1 << 19):
                 for shingles in shingle_sets(texts[part]):
                     if len(shingles):
-                        names.append(signatures(shingles, shared.value))
+                        names.append(signatures(shingles, counters.value))
                         keys.append(set_key(shingles))
                         held += len(names[-1])
                     if held >= SENT_TOGETHER:
-                        yield from flushed()
+                        yield flushed()
                         names, keys, held = [], [], 0
         if held:
-            yield from flushed()
+            yield flushed()
 
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 1):
-            for row in batch.to_pylist():
-                planes = np.frombuffer(row["sigs"], np.uint8).reshape(8, -1)
-                sigs = np.cumsum(np.ascontiguousarray(planes.T).view(_U).ravel(), dtype=_U)
-                keys = np.frombuffer(row["keys"], np.int64)[np.frombuffer(row["places"], "<u4")]
-                for i in range(0, len(sigs), 1 << 16):
-                    part = slice(i, i + (1 << 16))
-                    yield pa.RecordBatch.from_pydict(
-                        {"sig": pa.array(sigs[part].view(np.int64)), "key": pa.array(keys[part])}
-                    )
-
-    parcels = texts.mapInArrow(made, "target int, sigs binary, places binary, keys binary")
-    return parcels.repartitionById(partitions, "target").mapInArrow(unpacked, "sig long, key long")
+    sent = texts.mapInArrow(made, "target int, sigs array<long>, keys array<long>")
+    # Taken apart by Spark, so that a task has one Python worker behind the shuffle, not two.
+    return sent.repartitionById(partitions, "target").select(
+        F.inline(F.arrays_zip(F.col("sigs").alias("sig"), F.col("keys").alias("key")))
+    )
 
 
 def _meetings(sent: DataFrame, run: int) -> DataFrame:
@@ -421,65 +405,101 @@ def _verified(near: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _left_apart(members: DataFrame, nodes: DataFrame, mapping: DataFrame, tile: int) -> DataFrame:
     """Pairs of different components that share a crowded signature and whose bit sketches allow a
-    link. Only signatures whose documents are not all in one component matter. Their documents are
-    compared tile by tile; no pair leaves a task but those whose sketches are close, and of the
-    signatures that a pair shares only the smallest gives it."""
+    link. Only signatures whose documents are not all in one component matter.
+
+    Signatures go together by their smallest document, since documents that have one in common often
+    have many. The documents of such a group are compared tile by tile: each comes once with its sketch
+    and once, without, for each of its signatures; a pair is compared once, if it has any signature in
+    common; and no pair leaves a task but those whose sketches are close."""
     labels = mapping.select(F.col("txId").alias("key"), F.col("resolvedEntityId").alias("label"))
     labelled = members.join(labels, "key", "left").select(
         "sig", "key", F.coalesce("label", "key").alias("label")
     )
     split = (
         labelled.groupBy("sig")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"))
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("key").alias("pivot"))
         .where(F.col("low") != F.col("high"))
-        .select("sig", F.ceil(F.col("rows") / tile).cast("int").alias("tiles"))
+        .select("sig", "pivot")
     )
-    open_rows = labelled.join(split, "sig")
-    # At most d + 1 a band for each document.
-    own_sigs = open_rows.groupBy("key").agg(F.collect_list("sig").alias("sigs"))
-    placed = (
-        open_rows.join(own_sigs, "key")
-        .join(nodes.select("key", "n", "bits"), "key")
-        .withColumn("own", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+    placed = written(labelled.join(split, "sig").distinct(), "apart")
+    own = placed.groupBy("pivot", "key").agg(F.first("label").alias("label"))
+    tiles = own.groupBy("pivot").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+
+    def dealt(rows: DataFrame, *columns) -> DataFrame:
+        known = rows.join(tiles, "pivot").withColumn("own", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
+        others = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+        pair = [F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")]
+        return known.withColumn("other", others).select("pivot", *pair, "own", "key", *columns)
+
+    nothing = F.lit(None)
+    documents = dealt(
+        own.join(nodes.select("key", "n", "bits"), "key"), nothing.cast("long").alias("sig"), "label", "n", "bits"
     )
-    others = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    dealt = placed.withColumn("other", others).select(
+    having = dealt(
+        placed.select("pivot", "key", "sig"),
         "sig",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "own",
-        "key",
-        "label",
-        "n",
-        "bits",
-        F.filter("sigs", lambda other: other < F.col("sig")).alias("earlier"),
+        *[nothing.cast(t).alias(c) for c, t in (("label", "long"), ("n", "long"), ("bits", "binary"))],
     )
 
-    def compared(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, labels, sizes = (rows[c].to_numpy(np.int64) for c in ("key", "label", "n"))
-        i, j, own = int(rows["i"].iloc[0]), int(rows["j"].iloc[0]), rows["own"].to_numpy()
-        sketches = [np.frombuffer(b, np.uint8) for b in rows["bits"]]
+    def compared(docs: list[dict], shared: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The close ones among the pairs that ``shared`` marks, by their places in ``docs``."""
+        keys, labels, sizes = (np.array([d[c] for d in docs], np.int64) for c in ("key", "label", "n"))
+        sketches = [np.frombuffer(d["bits"], np.uint8) for d in docs]
         least = min(map(len, sketches))
         folded = np.array([np.bitwise_xor.reduce(s.reshape(-1, least), axis=0) for s in sketches])
         folded = folded.view(np.uint64)
-        # Which smaller open signatures each document has, as bits.
-        names, at = np.unique(np.concatenate(rows["earlier"].to_list()), return_inverse=True)
-        has = np.zeros((len(rows), len(names) // 8 + 1), np.uint8)
-        who = np.repeat(np.arange(len(rows)), [len(e) for e in rows["earlier"]])
-        np.bitwise_or.at(has, (who, at // 8), (1 << (at % 8)).astype(np.uint8))
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         found = []
-        for x in left:
-            y = right[(labels[right] != labels[x]) & ((i != j) | (keys[right] > keys[x]))]
+        for x in np.flatnonzero(shared.any(axis=1)):
+            y = np.flatnonzero(shared[x] & (labels != labels[x]) & (keys != keys[x]))
             most = allowed(sizes[x], sizes[y])
             y, most = y[most >= 0], most[most >= 0]
             y = y[np.bitwise_count(folded[y] ^ folded[x]).sum(axis=1) <= most]
-            y = y[~(has[y] & has[x]).any(axis=1)]
             found += [(keys[x], keys[z]) for z in y]
         pairs = np.array(found, np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": pairs.min(axis=1, initial=2**63 - 1), "b": pairs.max(axis=1, initial=-(2**63))})
+        pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+        columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by tile, a tile's documents first, then its signatures one by one."""
+        tile_of = sig = None
+        docs: list[dict] = []
+        place: dict[int, int] = {}
+        together: tuple[list[int], list[int]] = [], []
+        shared = np.zeros((0, 0), bool)
+
+        def mark() -> None:
+            """Those of tile i meet those of tile j; within one tile all meet."""
+            left, right = together
+            if left or right:
+                shared[np.ix_(left or right, right or left)] = True
+
+        for batch in sliced(batches, 4_096):
+            for row in batch.to_pylist():
+                at = row["pivot"], row["i"], row["j"]
+                if at != tile_of:
+                    mark()
+                    if shared.any():
+                        yield from compared(docs, shared)
+                    tile_of, sig, docs, place, together = at, None, [], {}, ([], [])
+                    shared = np.zeros((0, 0), bool)
+                if row["sig"] is None:
+                    place[row["key"]] = len(docs)
+                    docs.append(row)
+                    continue
+                if not len(shared):
+                    shared = np.zeros((len(docs), len(docs)), bool)
+                if row["sig"] != sig:
+                    mark()
+                    sig, together = row["sig"], ([], [])
+                together[int(row["own"] == row["j"])].append(place[row["key"]])
+        mark()
+        if shared.any():
+            yield from compared(docs, shared)
 
-    return dealt.groupBy("sig", "i", "j").applyInPandas(compared, _PAIR)
+    order = ["pivot", "i", "j", "sig", "key"]
+    rows = documents.unionByName(having).repartition("pivot", "i", "j").sortWithinPartitions(*order)
+    return rows.mapInArrow(made, _PAIR)
 
 
 def near_duplicates(
@@ -508,7 +528,10 @@ def near_duplicates(
         "nodes",
     )
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = written(_meetings(_sent(texts, counters, partitions), run), "meetings")
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
+    met = written(_meetings(_sent(texts, shared, partitions), run), "meetings")
+    # Workers live on after a job, and would keep it.
+    shared.destroy()
     pairs = met.where(F.col("sig").isNull()).select("a", "b").distinct()
     edges = written(_verified(_near(pairs, nodes), texts), "edges")
     members = met.where(F.col("sig").isNotNull()).select("sig", F.col("a").alias("key"))
