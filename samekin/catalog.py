@@ -16,10 +16,13 @@ from samekin.functions.text import normalize_name
 from samekin.operators import blocking as B
 from samekin.operators import decisions as D
 from samekin.operators import metrics, report
-from samekin.operators.components import propagate_labels
-from samekin.operators.matching import matched_edges_direct
+from samekin.operators.blocking import pass_key
+from samekin.operators.components import grow_components, propagate_labels
+from samekin.operators.linking import connecting_edges
+from samekin.operators.matching import matched_edges_direct, prepared
 from samekin.operators.pairs import candidate_pairs, multi_pass_pairs, union_and_deduplicate
 from samekin.operators.scoring import similarity_scores
+from samekin.operators.skew import reused
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 from samekin.plans.resolution import decided_pairs, resolve_entities, scored_pairs
 from samekin.session import scratch_path
@@ -108,6 +111,21 @@ def csv_roundtrip(spark, sf_dir):
     return loaded.select("name", "wallet", "amount", "txType", "eventTime")
 
 
+def csv_rejects(spark, sf_dir):
+    """A file in which every seventh payment has a broken amount: lines taken and rejected, and how many
+    of either are whole, with an amount or with the text that was found in its place."""
+    path = scratch_path(spark, "payments.csv")
+    raw = raw_payments(spark, sf_dir)
+    number = F.substring("nameDest", 2, 20).cast("long")
+    broken = F.when(number % 7 == 0, F.lit("n/a")).otherwise(F.col("amount").cast("string"))
+    raw.withColumn("amount", broken).write.option("header", True).csv(path)
+    accepted, rejected = payments.load_payments_checked(spark, path)
+    named = F.col("line").contains("n/a,") & F.col("line").contains(",M")
+    kinds = accepted.select(F.lit("accepted").alias("kind"), F.col("amount").isNotNull().alias("whole"))
+    kinds = kinds.unionByName(rejected.select(F.lit("rejected").alias("kind"), named.alias("whole")))
+    return kinds.groupBy("kind").agg(F.count("*").alias("lines"), F.count_if("whole").alias("whole"))
+
+
 def csv_strict_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "payments.csv")
     raw_payments(spark, sf_dir).write.option("header", True).csv(path)
@@ -239,6 +257,15 @@ def _entities(policy, passes):
     ).mapping
 
 
+def components_grown(spark, sf_dir):
+    """The entities of the name pass, grown by the edges of the amount pass."""
+    rows = prepared(transactions(spark, sf_dir), PASSES).table
+    first = resolve_entities(rows, WIDE, PASSES[:1]).mapping
+    with reused() as keep:
+        more = connecting_edges(rows.withColumn(pass_key(0), F.col(pass_key(1))), WIDE, PASSES[1:], keep)
+        return grow_components(first, more).mapping
+
+
 def _propagated(spark, sf_dir):
     return propagate_labels(matched_edges_direct(transactions(spark, sf_dir), WIDE, PASSES))
 
@@ -277,9 +304,9 @@ def top_entities_propagated(spark, sf_dir):
 
 
 def stage_funnel(spark, sf_dir):
-    tx = transactions(spark, sf_dir)
-    mapping = resolve_entities(tx, WIDE, PASSES).mapping
-    return metrics.stage_funnel(tx, mapping, WIDE, PASSES)
+    ready = prepared(transactions(spark, sf_dir), PASSES)
+    mapping = resolve_entities(ready.table, WIDE, PASSES).mapping
+    return metrics.stage_funnel(ready, mapping, WIDE, PASSES)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -288,6 +315,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hashed_tx_id": hashed_tx_id,
         "positional_tx_id": positional_tx_id,
         "csv_roundtrip": csv_roundtrip,
+        "csv_rejects": csv_rejects,
         "csv_strict_roundtrip": csv_strict_roundtrip,
         "parquet_roundtrip": parquet_roundtrip,
         "normalized_names": normalized_names,
@@ -320,6 +348,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "components_loose": _entities(LOOSE, PASSES),
         "components_identifier": _entities(IDENTIFIERS.with_(max_step_distance=72), PASSES),
         "components_identifier_prefix": _entities(IDENTIFIERS.with_(max_step_distance=72), PREFIX),
+        "components_grown": components_grown,
         "components_propagated": components_propagated,
         "propagation_rounds": propagation_rounds,
         "entity_sizes": entity_sizes,

@@ -13,6 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from samekin.operators import metrics, report
 from samekin.operators.blocking import DEFAULT_PASSES, BlockingPass, block
+from samekin.operators.matching import prepared
 from samekin.plans.policy import DecisionPolicy
 from samekin.plans.resolution import TOP_ENTITIES, decided_pairs, resolve_entities
 from samekin.sources import payments
@@ -43,12 +44,13 @@ def resolve(
     if explain:
         write(decided_pairs(transactions, policy, passes), "decisions")
 
-    resolved = resolve_entities(transactions, policy, passes)
+    ready = prepared(transactions, passes)
+    resolved = resolve_entities(ready.table, policy, passes)
     mapping = resolved.mapping
     write(mapping, "mapping")
     write(report.entity_sizes(mapping), "entity_sizes")
     write(report.top_entities(transactions, mapping, TOP_ENTITIES), "top_entities")
-    write(metrics.stage_funnel(transactions, mapping, policy, passes), "funnel")
+    write(metrics.stage_funnel(ready, mapping, policy, passes), "funnel")
     transactions.unpersist()
     return resolved.rounds
 

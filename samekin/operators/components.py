@@ -180,6 +180,27 @@ def contract_to_stars(
     return Components(mapping, rounds)
 
 
+def grow_components(mapping: DataFrame, edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
+    """The components of an earlier ``mapping`` (as :class:`Components` has it) and more ``edges``,
+    without the edges that the mapping came from: every id is replaced by its entity first, so only
+    edges between entities, or to new ids, are contracted."""
+    entity = mapping.select(F.col("txId").alias("_id"), F.col("resolvedEntityId").alias("_root"))
+
+    def rooted(edges: DataFrame, end: str) -> DataFrame:
+        hot = hot_keys(edges, end, hot_rows)
+        named = lookup_join(edges, entity.withColumnRenamed("_id", end), end, "left", hot)
+        return named.withColumn(end, F.coalesce("_root", end)).drop("_root")
+
+    between = rooted(rooted(edges.select("src", "dst"), "src"), "dst")
+    grown = contract_to_stars(between, hot_rows)
+    moved = grown.mapping.select(F.col("txId").alias("_root"), F.col("resolvedEntityId").alias("_now"))
+    old = lookup_join(entity, moved, "_root", "left", hot_keys(entity, "_root", hot_rows)).select(
+        F.col("_id").alias("txId"), F.coalesce("_now", "_root").alias("resolvedEntityId")
+    )
+    new = grown.mapping.join(mapping.select("txId"), "txId", "left_anti")
+    return Components(old.unionByName(new), grown.rounds)
+
+
 def resolve_components(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
     """Map every id of ``edges`` to its entity, the smallest id it hangs together with."""
     return contract_to_stars(edges, hot_rows)

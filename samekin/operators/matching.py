@@ -8,8 +8,9 @@ equality joins the block key as a join key. Work follows the matches, not the bl
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from samekin.operators.blocking import (
@@ -21,10 +22,11 @@ from samekin.operators.blocking import (
     with_pass_keys,
 )
 from samekin.operators.decisions import evidence
-from samekin.operators.pairs import TILE_ROWS, one_row_per_id
+from samekin.operators.pairs import TILE_ROWS, one_row_per_id, repeated_keys
 from samekin.operators.scoring import facts, with_match_features
 from samekin.operators.skew import sized_join
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
+from samekin.session import scratch_path
 
 # Cells are this many reaches wide, so that a right row seldom needs more than two copies an axis.
 CELL_WIDTH = 4
@@ -72,6 +74,39 @@ def _amount_cells(amount: Column, passing: float) -> tuple[Column, Column]:
     return cell(at), F.sequence(cell(at - reach), cell(at + reach))
 
 
+@dataclass
+class Prepared:
+    """One row for each id with what blocking and matching need, written once and read by every stage.
+    ``rows`` counts them, ``loaded`` the transactions they stand for."""
+
+    table: DataFrame
+    rows: int
+    loaded: int
+
+
+def keyed_rows(transactions: DataFrame, passes: tuple[BlockingPass, ...]) -> DataFrame:
+    """One row for each id, with normalized columns and pass keys; as it is if it has them."""
+    if pass_key(0) in transactions.columns:
+        return transactions
+    return with_pass_keys(with_match_features(one_row_per_id(transactions)), passes)
+
+
+def prepared(transactions: DataFrame, passes: tuple[BlockingPass, ...]) -> Prepared:
+    """:func:`keyed_rows`, narrow, in the shared folder. The source is scanned once for its ids and once
+    for the rows, which are counted as they are written."""
+    spark = transactions.sparkSession
+    repeated = repeated_keys(transactions, ["txId"])
+    keyed = with_pass_keys(with_match_features(one_row_per_id(transactions, repeated)), passes)
+    features = ["nameNorm", "walletNorm", "typeNorm"]
+    keys = [pass_key(i) for i in range(len(passes))]
+    narrow = keyed.select("txId", "amount", "eventTime", *features, *keys)
+    path, seen = scratch_path(spark, "prepared"), Observation()
+    narrow.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    rows = seen.get["rows"]
+    more = repeated.table.agg(F.sum(F.col("_rows") - 1)).first()[0] if repeated.rows else 0
+    return Prepared(spark.read.schema(narrow.schema).parquet(path), rows, rows + more)
+
+
 def with_match_keys(
     transactions: DataFrame, policy: DecisionPolicy, passes: tuple[BlockingPass, ...]
 ) -> DataFrame:
@@ -80,7 +115,7 @@ def with_match_keys(
     time or a required type, are left out, and rows with the same id are one."""
     identifiers = policy.evidence_mode == IDENTIFIER
     wanted = {"nameNorm": identifiers, "walletNorm": identifiers, "typeNorm": policy.require_type_match}
-    keyed = with_pass_keys(with_match_features(one_row_per_id(transactions)), passes)
+    keyed = keyed_rows(transactions, passes)
     usable = F.col("amount").isNotNull() & F.col("eventTime").isNotNull()
     if policy.require_type_match:
         usable &= F.col("typeNorm").isNotNull()

@@ -8,9 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from samekin.operators.blocking import BlockingPass, block_sizes, pass_key, with_pass_keys
-from samekin.operators.matching import matching_join, with_match_keys
-from samekin.operators.pairs import one_row_per_id
+from samekin.operators.blocking import BlockingPass, block_sizes, pass_key
+from samekin.operators.matching import Prepared, matching_join, prepared, with_match_keys
 from samekin.operators.sweep import count_close_pairs
 from samekin.plans.policy import BEHAVIORAL, IDENTIFIER, DecisionPolicy
 
@@ -123,22 +122,24 @@ def count_matches(
 
 
 def stage_funnel(
-    transactions: DataFrame,
+    transactions: DataFrame | Prepared,
     mapping: DataFrame,
     policy: DecisionPolicy,
     passes: tuple[BlockingPass, ...],
 ) -> DataFrame:
     """Rows per stage, from transactions to entities. Pairs are counted, never listed, and
-    rows with the same id are one."""
-    loaded = transactions.agg(F.count("*").alias("rows"))
+    rows with the same id are one. The transactions are counted as they are :func:`prepared`, which
+    need not be done anew where entities were resolved from the same rows."""
+    ready = transactions if isinstance(transactions, Prepared) else prepared(transactions, passes)
+    spark = mapping.sparkSession
     resolved = mapping.agg(
         F.count("*").alias("resolved_transactions"),
         F.count_distinct("resolvedEntityId").alias("resolved_entities"),
     )
     stages = [
-        loaded.select(F.lit("transactions").alias("stage"), "rows"),
-        pair_counts(with_pass_keys(one_row_per_id(transactions), passes), passes),
-        count_matches(transactions, policy, passes),
+        spark.createDataFrame([("transactions", ready.loaded)], "stage string, rows long"),
+        pair_counts(ready.table, passes),
+        count_matches(ready.table, policy, passes),
         resolved.unpivot([], ["resolved_transactions", "resolved_entities"], "stage", "rows"),
     ]
     return reduce(lambda x, y: x.unionByName(y), stages)

@@ -16,7 +16,7 @@ from samekin.operators.blocking import (
     per_pass,
     with_pass_keys,
 )
-from samekin.operators.skew import measured, sized_join
+from samekin.operators.skew import Lookup, measured, sized_join
 
 # A block of more rows is joined in tiles of this many rows a side, each tile by its own, so that a
 # tile makes no more pairs than a task should.
@@ -82,14 +82,20 @@ def _side(alias: str, columns: list[str]) -> Column:
     return F.struct(*[F.col(f"{alias}.{c}") for c in columns])
 
 
-def one_row_per_key(rows: DataFrame, key: list[str], smallest_by: list[str]) -> DataFrame:
+def repeated_keys(rows: DataFrame, key: list[str]) -> Lookup:
+    """The keys of more than one row, with how many (``_rows``). Nothing but the keys is looked at."""
+    return measured(rows.groupBy(*key).agg(F.count("*").alias("_rows")).where("_rows > 1"))
+
+
+def one_row_per_key(
+    rows: DataFrame, key: list[str], smallest_by: list[str], repeated: Lookup | None = None
+) -> DataFrame:
     """Rows that agree in ``key`` as one, the smallest of them by ``smallest_by``.
 
     Only the keys are looked at to find those that repeat; rows are moved for these alone, and if there
     are none, ``rows`` come back as they are. A null is a key like others.
     """
-    counted = rows.groupBy(*key).agg(F.count("*").alias("_rows"))
-    repeated = measured(counted.where("_rows > 1").select(*key))
+    repeated = repeated or repeated_keys(rows, key)
     if not repeated.rows:
         return rows
     others = [c for c in rows.columns if c not in key and c not in smallest_by]
@@ -103,10 +109,11 @@ def one_row_per_key(rows: DataFrame, key: list[str], smallest_by: list[str]) ->
     return single.unionByName(one.select(*key, *back).select(*rows.columns))
 
 
-def one_row_per_id(transactions: DataFrame) -> DataFrame:
+def one_row_per_id(transactions: DataFrame, repeated: Lookup | None = None) -> DataFrame:
     """Rows with the same id, such as exact copies under a content id, as one: the smallest of them.
     A row has no pair with itself, and a pair of ids is one pair."""
-    return one_row_per_key(transactions, ["txId"], [c for c in transactions.columns if c != "txId"])
+    others = [c for c in transactions.columns if c != "txId"]
+    return one_row_per_key(transactions, ["txId"], others, repeated)
 
 
 def candidate_pairs(blocked: DataFrame, tile_rows: int = TILE_ROWS) -> DataFrame:

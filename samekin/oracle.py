@@ -267,6 +267,10 @@ def oracle_sql() -> dict[str, str]:
         "hashed_tx_id": _tx(hashed),
         "positional_tx_id": _tx('select count(*) as rows, count(*) as "distinctIds" from tx'),
         "csv_roundtrip": _tx('select name, name as wallet, amount, "txType", "eventTime" from tx'),
+        "csv_rejects": _tx(
+            """select case when cast("txId" as bigint) % 7 = 0 then 'rejected' else 'accepted' end as kind,
+  count(*) as lines, count(*) as whole from tx group by 1"""
+        ),
         "csv_strict_roundtrip": _tx(hashed),
         "parquet_roundtrip": _tx(canonical),
         "normalized_names": _tx(f'select "txId", {_normalized("name")} as "normalizedName" from tx'),
@@ -321,6 +325,7 @@ select 'matched_pairs' as stage, count(*) as rows from ed""",
         "components_loose": _components(C.LOOSE),
         "components_identifier": _components(identifier_wide),
         "components_identifier_prefix": _components_prefix(identifier_wide),
+        "components_grown": _components(C.WIDE),
         "components_propagated": _components(C.WIDE),
         "propagation_rounds": _rounds(C.WIDE, ROUNDS),
         "entity_sizes": f"""{_mapping(C.WIDE)}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from samekin.schema import RAW_SCHEMA, TX_SCHEMA, require_columns
+from samekin.session import scratch_path
 
 # Fields of the content hash, in order, and their separator.
 HASH_FIELDS = ["step", "type", "nameOrig", "nameDest", "amount"]
@@ -28,6 +30,20 @@ def read_raw_csv(spark: SparkSession, path: str, strict: bool = False) -> DataFr
     return spark.read.schema(RAW_SCHEMA).option("header", True).option("mode", mode).csv(path)
 
 
+def read_raw_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Scan a raw payment CSV with header into the rows that parse and the lines that do not (column
+    ``line``). Every line is in one of the two."""
+    corrupt = "_line"
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(corrupt, T.StringType())])
+    reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    # Parsed once, with all columns: a scan for some of them does not see faults in the others.
+    parsed = scratch_path(spark, "parsed")
+    reader.option("columnNameOfCorruptRecord", corrupt).csv(path).write.parquet(parsed)
+    lines = spark.read.schema(schema).parquet(parsed)
+    accepted = lines.where(F.col(corrupt).isNull()).select(*RAW_SCHEMA.names)
+    return accepted, lines.where(F.col(corrupt).isNotNull()).select(F.col(corrupt).alias("line"))
+
+
 def positional_id() -> Column:
     """Unique per row, but dependent on how the input was split into partitions."""
     return F.monotonically_increasing_id().cast("string")
@@ -58,6 +74,12 @@ def load_payments(spark: SparkSession, path: str) -> DataFrame:
     return canonicalize(read_raw_csv(spark, path))
 
 
+def load_payments_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """As :func:`load_payments`, from the rows that parse; and the lines that do not."""
+    accepted, rejected = read_raw_csv_checked(spark, path)
+    return canonicalize(accepted), rejected
+
+
 def load_payments_strict(spark: SparkSession, path: str) -> DataFrame:
     """Strict CSV scan with content ids, as canonical transactions."""
     return canonicalize(read_raw_csv(spark, path, strict=True), content_id())

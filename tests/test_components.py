@@ -4,6 +4,7 @@ import pytest
 
 from samekin.operators.components import (
     contract_to_stars,
+    grow_components,
     propagate_labels,
     resolve_components,
     symmetric_edges,
@@ -83,3 +84,18 @@ def test_a_long_chain_takes_few_rounds(spark):
 def test_symmetric_edges(spark):
     both = symmetric_edges(table(spark, [("a", "b"), ("b", "a"), ("c", "c")]))
     assert sorted(map(tuple, both.collect())) == [("a", "b"), ("b", "a")]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10_000])
+def test_grown_components_equal_those_of_all_edges(spark, hot_rows):
+    rng = random.Random(hot_rows)
+    edges = [(f"n{rng.randrange(150)}", f"n{rng.randrange(150)}") for _ in range(120)]
+    edges += [("n1", "n1"), ("new", "new"), ("n2", "z"), ("z", "y")]
+    first, more = edges[:60], edges[60:]
+    table = lambda rows: spark.createDataFrame(rows, "src string, dst string")
+    mapping = contract_to_stars(table(first)).mapping
+    grown = {r[0]: r[1] for r in grow_components(mapping, table(more), hot_rows).mapping.collect()}
+    whole = {r[0]: r[1] for r in contract_to_stars(table(edges)).mapping.collect()}
+    assert grown == whole
+    nothing = grow_components(mapping, table(more).limit(0), hot_rows).mapping
+    assert {tuple(r) for r in nothing.collect()} == {tuple(r) for r in mapping.collect()}

@@ -69,3 +69,14 @@ def test_checkpoint_dir_is_the_configured_one(spark):
     assert configured in checkpoint_dir(spark)
     assert scratch_path(spark, "x").startswith(checkpoint_dir(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_checked_scan_keeps_every_line(spark, csv):
+    bad = [ROW.replace("12.5", "twelve"), "only,three,fields", ROW + ",more", "x" * 9]
+    accepted, rejected = payments.load_payments_checked(spark, csv(ROW, *bad, ROW))
+    assert [r["amount"] for r in accepted.collect()] == [12.5, 12.5]
+    assert accepted.columns == TX_SCHEMA.names
+    assert sorted(r["line"] for r in rejected.collect()) == sorted(bad)
+    assert accepted.count() + rejected.count() == 6
+    accepted, rejected = payments.load_payments_checked(spark, csv())
+    assert accepted.count() == rejected.count() == 0
