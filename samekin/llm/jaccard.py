@@ -26,7 +26,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from samekin.llm.store import written
+from samekin.llm.store import set_aside, written
 from samekin.llm.text import encoded, in_batches, mixed, sliced, word_hashes
 from samekin.operators.components import contract_to_stars
 
@@ -556,14 +556,16 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one row of each class of near duplicates, that with the smallest id. Rows
     without an id or without words all stay. Where ids repeat, one row of an id and text stays, and
-    an id that stands for a class keeps its other texts, too."""
+    an id that stands for a class keeps its other texts, too. No rows give no rows; other columns may
+    have any name."""
     found = near_duplicates(docs, id_column, text_column)
     named = found.where(F.col("component_id") == F.col(id_column)).select(F.col(id_column).alias("_kept"))
     kept = written(named.groupBy("_kept").agg(F.count("*").alias("_rows")), "kept")
     ids = kept.select("_kept")
     if kept.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    staying = docs.join(ids, F.col(id_column) == F.col("_kept"), "left_semi")
+    aside, back = set_aside(docs, {"_kept"})
+    staying = aside.join(ids, F.col(id_column) == F.col("_kept"), "left_semi").withColumnsRenamed(back)
     if not kept.where(F.col("_rows") > 1).isEmpty():
         staying = staying.dropDuplicates([id_column, text_column])
     return staying.unionByName(docs.where(F.col(id_column).isNull()))

@@ -114,16 +114,24 @@ def pack_binary(
         F.coalesce(*[F.when(F.col("length") == k, n) for k, n in shares.items()], F.lit(1)),
     ).cast("int")
     dealt = cut.withColumn("_share", spread)
-    sizes = {(r[0], r[1]): r[2] for r in dealt.groupBy("length", "_share").count().collect()}
-    lookup, before = [], 0
-    for length, share in sorted(sizes):
-        lookup.append((length, share, before))
-        before += sizes[length, share]
-    offsets = docs.sparkSession.createDataFrame(lookup, "length long, _share int, _before long")
+    # Sequences before a share: those of shorter lengths, and of earlier shares of its own. The shares
+    # grow with the data, so they are a table that is joined by length and share, which the pieces are
+    # dealt by anyway.
+    shorter, before = F.lit(0), 0
+    for length in sorted(counts):
+        shorter = F.when(F.col("length") == length, before).otherwise(shorter)
+        before += counts[length]
+    earlier = W.partitionBy("length").orderBy("_share").rowsBetween(W.unboundedPreceding, -1)
+    rows = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    offsets = (
+        dealt.groupBy("length", "_share")
+        .agg(F.count("*").alias("_rows"))
+        .select("length", "_share", (shorter + rows).alias("_before"))
+    )
     order = W.partitionBy("length", "_share").orderBy(id_column, "start", "ids_crc32", "doc_tokens")
     return (
         dealt.withColumn("_rank", F.row_number().over(order))
-        .join(F.broadcast(offsets), ["length", "_share"])
+        .join(offsets, ["length", "_share"])
         .select(
             id_column,
             "start",

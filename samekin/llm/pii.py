@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from samekin.llm.rules import bound
+from samekin.llm.store import set_aside
 
 # The base patterns. Possessive loops match the same spans without backtracking, and
 # an email or ip is only looked for where a run of its characters, or the text, or the search after
@@ -394,7 +395,9 @@ def _lessons(text: Column, base: Column, found: Column) -> Column:
     def plain(s: Column) -> Column:
         return F.struct(*[s[n].alias(n) for n in ("kind", "label", *[f.name for f in features])])
 
-    refused = F.filter(F.coalesce(_described(text, base, found), F.filter(_described(text, base, found), lambda s: F.lit(False))), lambda s: s["label"] == 0)
+    described = _described(text, base, found)
+    nothing = F.filter(described, lambda s: F.lit(False))
+    refused = F.filter(F.coalesce(described, nothing), lambda s: s["label"] == 0)
     return F.concat(F.flatten(F.transform(base, lessons)), F.transform(refused, plain))
 
 
@@ -482,10 +485,14 @@ def redacted(text: Column, spans: Column) -> Column:
 
 
 def without_personal_data(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` with all spans, base and added, redacted in the text. A null text stays null."""
-    marked = personal_spans(docs, train_pii(docs, text_column), text_column)
+    """``docs`` with all spans, base and added, redacted in the text. A null text stays null, an empty
+    one empty; repeated rows stay repeated; no rows give no rows. Other columns may have any name."""
+    aside, back = set_aside(docs, {"base", "added", "_one", "_candidates"})
+    text = next((new for new, old in back.items() if old == text_column), text_column)
+    marked = personal_spans(aside, train_pii(aside, text), text)
     spans = F.concat("base", "added")
-    return marked.withColumn(text_column, redacted(F.col(text_column), spans)).select(*docs.columns)
+    found = marked.withColumn(text, redacted(F.col(text), spans)).select(*aside.columns)
+    return found.withColumnsRenamed(back)
 
 
 def _refused(s: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from samekin.llm.store import written
+from samekin.llm.store import set_aside, written
 
 # A row's size is the bytes of its text and this much for its id.
 ROW_BYTES = 8
@@ -142,8 +142,8 @@ def find_splitters(keyed: DataFrame, total: int, targets: list[tuple[int, int]])
 
 
 def _merged(gaps: list[_Gap], targets: list[int]) -> list[_Gap]:
-    kept: list[_Gap] = []
     """Neighbours that no open target lies in are counted as one from now on."""
+    kept: list[_Gap] = []
     starts = [g.below for g in gaps]
     wanted = {bisect.bisect_right(starts, t) - 1 for t in targets}
     for i, gap in enumerate(gaps):
@@ -176,7 +176,7 @@ def histogram_shards(
     driver holds a bounded number of splitters. A shard is exchanged in pieces of about
     ``piece_bytes``, more if there would be over ``MAX_PIECES`` pieces.
     """
-    plain = docs.drop("shard", "slot")
+    plain, back = set_aside(docs.drop("shard", "slot"), {"_key", "_size", "_piece", "_rank", "_before"})
     full = with_sort_key(plain, id_column, text_column)
     keyed = written(full.select("_key", "_size"), "keys")
     total = keyed.agg(F.sum("_size")).first()[0] or 0
@@ -211,6 +211,7 @@ def histogram_shards(
         .join(F.broadcast(offsets), "_piece")
         .withColumn("slot", F.col("_before") + F.col("_rank") - 1)
         .select(*plain.columns, "shard", "slot")
+        .withColumnsRenamed(back)
     )
 
 

@@ -24,3 +24,10 @@ def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.bucketBy(buckets, column).option("path", path).format("parquet").saveAsTable(entry)
     return df.sparkSession.table(entry)
+
+
+def set_aside(docs: DataFrame, names: set[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns that are called like one of ``names`` (in any case) renamed, so that an
+    operator may use these; and the new names with the old ones, to rename them back."""
+    clashing = {c: f"_aside_{uuid.uuid4().hex}" for c in docs.columns if c.lower() in names}
+    return docs.withColumnsRenamed(clashing), {new: old for old, new in clashing.items()}

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from samekin.llm import packing, quality, rules, sharding, text, toxicity, training_order
+from samekin.llm.jaccard import one_of_each
 from samekin.llm.mixing import mixed, mixing_rates
 from samekin.llm.pii import boost, personal_spans, train_pii, without_personal_data
 from samekin.llm.queries import ORACLE_SQL, QUERIES
+from samekin.llm.toxicity import without_toxic
 from tests.oracle_check import connect, difference
 
 TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
@@ -410,3 +412,33 @@ def test_personal_data_beyond_the_base_is_added_and_lookalikes_stay(spark):
     rows = personal_spans(table.where(F.col("doc_id") >= 300), models).orderBy("doc_id").collect()
     found = [[s.match for s in r.added] for r in rows]
     assert found == [*planted.values(), *[[] for _ in lookalikes]]
+
+
+def test_columns_called_like_those_of_the_operators(spark):
+    """They come back as they were."""
+    names = "_key _size _piece _rank _before base added _one _candidates _Kept _shares _length _text _copy".split()
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(["a b c", "mail me@site.org", None, "", "a b c"])]
+    table = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 0)], LABELS)
+
+    def others(found):
+        kept = found.select("doc_id", *names).distinct().collect()
+        assert {tuple(r) for r in kept} <= {(r[0], *r[2:]) for r in rows}
+        return {r["doc_id"] for r in kept}
+
+    assert others(sharding.histogram_shards(table, 2)) == {0, 1, 2, 3, 4}
+    assert others(without_personal_data(table)) == {0, 1, 2, 3, 4}
+    assert others(one_of_each(table)) == {0, 1, 2, 3}
+    assert others(mixed(table, labels, least=1.0)) == {0, 1, 2, 3, 4}
+    redacted = {r["doc_id"]: r["text"] for r in without_personal_data(table).collect()}
+    assert redacted[1] == "mail [EMAIL]" and redacted[2] is None and redacted[3] == ""
+
+
+def test_pipeline_of_no_documents(spark):
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], LABELS)
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = without_toxic(docs, toxicity.train_severity(docs, labels))
+    for stage in (one_of_each, without_personal_data, lambda d: mixed(d, labels, epochs=None, least=1.0)):
+        docs = stage(docs)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and docs.count() == 0
+    assert packing.pack_binary(docs).count() == 0
