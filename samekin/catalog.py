@@ -7,6 +7,7 @@ user id the wallet, the value the amount, the event type the type and the hours
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -292,6 +293,17 @@ def entity_report(spark, sf_dir):
     )
 
 
+def bucketed_entity_report(spark, sf_dir):
+    """The report over transactions and mapping in buckets by id."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tx, mapping = transactions(spark, sf_dir), _entities(WIDE, PASSES)(spark, sf_dir)
+    tables = [
+        payments.write_bucketed(rows, f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name), buckets)
+        for name, rows in (("transactions", tx), ("mapping", mapping))
+    ]
+    return report.entity_report(*tables)
+
+
 def top_entities(spark, sf_dir):
     mapping = _entities(WIDE, PASSES)(spark, sf_dir)
     return report.top_entities(transactions(spark, sf_dir), mapping, TOP_N)
@@ -353,6 +365,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "propagation_rounds": propagation_rounds,
         "entity_sizes": entity_sizes,
         "entity_report": entity_report,
+        "bucketed_entity_report": bucketed_entity_report,
         "top_entities": top_entities,
         "top_entities_propagated": top_entities_propagated,
         "stage_funnel": stage_funnel,

@@ -331,6 +331,7 @@ select 'matched_pairs' as stage, count(*) as rows from ed""",
         "entity_sizes": f"""{_mapping(C.WIDE)}
 select "resolvedEntityId", count(*) as "count" from m group by 1""",
         "entity_report": f"{_report(C.WIDE)} select * from rep",
+        "bucketed_entity_report": f"{_report(C.WIDE)} select * from rep",
         "top_entities": f"{_report(C.WIDE)} select * from rep {TOP_ORDER} limit {C.TOP_N}",
         "top_entities_propagated": f"{_report(C.WIDE)} select * from rep {TOP_ORDER} limit {C.TOP_N}",
         "stage_funnel": _funnel(C.WIDE),

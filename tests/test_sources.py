@@ -1,10 +1,13 @@
 import hashlib
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from samekin.jobs.convert import convert
 from samekin.schema import RAW_SCHEMA, TX_SCHEMA, require_columns
-from samekin.session import checkpoint_dir, scratch_path
+from samekin.operators.report import entity_report
+from samekin.session import checkpoint_dir, scratch_path, scratch_run
 from samekin.sources import payments
 
 HEADER = ",".join(RAW_SCHEMA.names)
@@ -80,3 +83,37 @@ def test_checked_scan_keeps_every_line(spark, csv):
     assert accepted.count() + rejected.count() == 6
     accepted, rejected = payments.load_payments_checked(spark, csv())
     assert accepted.count() == rejected.count() == 0
+
+
+def test_bucketed_tables_join_and_group_in_place(spark, tmp_path):
+    rows = [(str(i), "Ann", f"w{i % 3}", float(i), "A", i) for i in range(50)]
+    tx = spark.createDataFrame(rows, TX_SCHEMA)
+    mapping = tx.select("txId", F.lit("0").alias("resolvedEntityId")).where("eventTime % 2 = 0")
+    tables = [
+        payments.write_bucketed(df, f"bucketed_{name}", str(tmp_path / name), 3)
+        for name, df in (("tx", tx), ("mapping", mapping))
+    ]
+    joined = tables[0].hint("merge").join(tables[1], "txId")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 25
+    report = entity_report(*tables).collect()
+    assert [tuple(r)[1:] for r in report] == [(600.0, "600", 25, 3)]
+    grouped = tables[0].groupBy("txId").count()
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    for name in ("tx", "mapping"):
+        spark.sql(f"drop table bucketed_{name}")
+
+
+def test_a_run_leaves_no_scratch_tables(spark):
+    inside = []
+    with scratch_run(spark):
+        for name in ("a", "b"):
+            inside.append(scratch_path(spark, name))
+            spark.range(3).write.parquet(inside[-1])
+        with scratch_run(spark):
+            spark.range(3).write.parquet(scratch_path(spark, "c"))
+    outside = scratch_path(spark, "d")
+    spark.range(3).write.parquet(outside)
+    folders = lambda paths: [os.path.dirname(p.removeprefix("file:")) for p in paths]
+    assert not any(map(os.path.exists, folders(inside)))
+    assert all(map(os.path.exists, folders([outside])))
