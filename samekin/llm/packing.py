@@ -8,12 +8,13 @@ one after the other: a batch drawn from a bucket has no ragged rows.
 
 from __future__ import annotations
 
-import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,12 +22,11 @@ from pyspark.sql import functions as F
 from samekin.llm.store import written
 from samekin.llm.text import sliced
 from samekin.llm.tokens import default_vocabulary, token_ids
+from samekin.operators.skew import sized_join
 
 LONGEST = 2048
 # Put after each document.
 END_ID = 1
-# Sequences of one length are numbered in shares of about this many.
-SHARE_ROWS = 10_000
 # Token bytes held by a task before they go out.
 FLUSH_BYTES = 4 << 20
 
@@ -49,17 +49,19 @@ def pieces(
     end_id: int,
 ) -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``doc_tokens``, ``ids`` (little-endian unsigned 32-bit)
-    and their checksum, a row a piece."""
+    and their checksum, a row a piece; and ``part``, ``rank``: the partition it comes from and how many
+    of its length came before it there."""
     kind = docs.schema[id_column].dataType.simpleString()
-    names = [id_column, "start", "length", "doc_tokens", "ids_crc32", "ids"]
+    names = [id_column, "start", "length", "doc_tokens", "ids_crc32", "ids", "part", "rank"]
 
     def flushed(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
-        types = [id_type, *[pa.int64()] * 4, pa.binary()]
+        types = [id_type, *[pa.int64()] * 4, pa.binary(), pa.int32(), pa.int64()]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names
         )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen = TaskContext.get().partitionId(), Counter()
         for batch in sliced(batches):
             rows, held = [], 0
             for doc_id, text in zip(batch["_id"].to_pylist(), batch["_text"].to_pylist()):
@@ -67,7 +69,8 @@ def pieces(
                 start, total = 0, len(data) // 4
                 for length in binary_lengths(total, longest):
                     ids = data[4 * start : 4 * (start + length)]
-                    rows.append((doc_id, start, length, total, zlib.crc32(ids), ids))
+                    rows.append((doc_id, start, length, total, zlib.crc32(ids), ids, part, seen[length]))
+                    seen[length] += 1
                     start += length
                 held += len(data)
                 if held >= FLUSH_BYTES:
@@ -76,7 +79,10 @@ def pieces(
             if rows:
                 yield flushed(rows, batch["_id"].type)
 
-    schema = f"`{id_column}` {kind}, start long, length long, doc_tokens long, ids_crc32 long, ids binary"
+    schema = (
+        f"`{id_column}` {kind}, start long, length long, doc_tokens long, ids_crc32 long, ids binary, "
+        "part int, rank long"
+    )
     return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).mapInArrow(
         cut, schema
     )
@@ -89,7 +95,6 @@ def pack_binary(
     vocabulary: str | None = None,
     longest: int = LONGEST,
     end_id: int = END_ID,
-    share_rows: int = SHARE_ROWS,
 ) -> DataFrame:
     """``doc_id``, ``start``, ``length``, ``doc_tokens``, ``ids``, ``ids_crc32``, ``sequence_id``,
     ``offset`` (always 0): the pieces of every row's whole text, a sequence each.
@@ -98,48 +103,31 @@ def pack_binary(
     the end id alone. Repeated rows are documents of their own; no rows give no sequences; other
     columns are not read.
 
-    Texts are tokenized once; the pieces are a table in the shared folder. A length may hold most
-    of the sequences, so each is numbered in shares of about ``share_rows``, chosen by a hash.
+    Texts are tokenized once; the pieces are a table in the shared folder. They are numbered in the order
+    in which they were made: what each partition has of a length gives the next one's first number, so
+    pieces are not moved. Those counts are broadcast only if they are measured to be few.
     """
     cut = written(
         pieces(docs, id_column, text_column, vocabulary or default_vocabulary(), longest, end_id),
         "pieces",
     )
+    made = cut.groupBy("length", "part").agg(F.count("*").alias("_rows"))
     # At most one row for each power of two.
-    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
-    shares = {length: math.ceil(n / share_rows) for length, n in counts.items()}
-    # Exact copies of a piece carry the same hash; the number of shares goes by the rows.
-    spread = F.pmod(
-        F.xxhash64(id_column, "start", "ids_crc32"),
-        F.coalesce(*[F.when(F.col("length") == k, n) for k, n in shares.items()], F.lit(1)),
-    ).cast("int")
-    dealt = cut.withColumn("_share", spread)
-    # Sequences before a share: those of shorter lengths, and of earlier shares of its own. The shares
-    # grow with the data, so they are a table that is joined by length and share, which the pieces are
-    # dealt by anyway.
+    counts = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}
     shorter, before = F.lit(0), 0
     for length in sorted(counts):
         shorter = F.when(F.col("length") == length, before).otherwise(shorter)
         before += counts[length]
-    earlier = W.partitionBy("length").orderBy("_share").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     rows = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    offsets = (
-        dealt.groupBy("length", "_share")
-        .agg(F.count("*").alias("_rows"))
-        .select("length", "_share", (shorter + rows).alias("_before"))
-    )
-    order = W.partitionBy("length", "_share").orderBy(id_column, "start", "ids_crc32", "doc_tokens")
-    return (
-        dealt.withColumn("_rank", F.row_number().over(order))
-        .join(offsets, ["length", "_share"])
-        .select(
-            id_column,
-            "start",
-            "length",
-            "doc_tokens",
-            "ids",
-            "ids_crc32",
-            (F.col("_before") + F.col("_rank") - 1).cast("long").alias("sequence_id"),
-            F.lit(0).cast("long").alias("offset"),
-        )
+    offsets = made.select("length", "part", (shorter + rows).alias("_before"))
+    return sized_join(cut, offsets, ["length", "part"], "inner").select(
+        id_column,
+        "start",
+        "length",
+        "doc_tokens",
+        "ids",
+        "ids_crc32",
+        (F.col("_before") + F.col("rank")).cast("long").alias("sequence_id"),
+        F.lit(0).cast("long").alias("offset"),
     )
