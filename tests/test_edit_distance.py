@@ -27,8 +27,9 @@ def names_of(rng, count):
     return found
 
 
-@pytest.mark.parametrize("threshold", [1.0, 0.9, 0.85, 0.6, 0.3, 0.004])
-@pytest.mark.parametrize("tile_rows", [None, 7])
+@pytest.mark.parametrize(
+    "threshold, tile_rows", [(1.0, None), (0.9, 7), (0.85, None), (0.85, 7), (0.6, 7), (0.3, None), (0.004, 7)]
+)
 def test_similar_names_are_found_once(spark, threshold, tile_rows):
     rng = random.Random(int(threshold * 1000))
     rows = [(f"t{i}", n, rng.randrange(2)) for i, n in enumerate(names_of(rng, 90))]
