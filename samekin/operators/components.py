@@ -7,12 +7,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from samekin.operators.skew import HOT_ROWS, hot_keys, lookup_join
+from samekin.operators.skew import HOT_ROWS, hot_keys, lookup_join, measured
 from samekin.session import release, scratch_path
 
 MAX_ROUNDS = 100
 # Above this many edges, those of leaves are set aside before the rounds.
 LEAF_ROWS = 200_000
+# Tables of a number or two a row are broadcast up to so many rows.
+BROADCAST_NUMBERS = 1_000_000
 
 
 @dataclass
@@ -47,43 +49,114 @@ def _cut(df: DataFrame, **metrics) -> _Round:
     once that is written, so one round is kept and a lost executor costs at most one."""
     spark = df.sparkSession
     path = scratch_path(spark, "round")
+    if not metrics:
+        df.write.parquet(path)
+        return _Round(spark.read.schema(df.schema).parquet(path), path, {})
     observation = Observation()
     df.observe(observation, *[m.alias(name) for name, m in metrics.items()]).write.parquet(path)
     return _Round(spark.read.schema(df.schema).parquet(path), path, observation.get)
 
 
-def propagate_labels(edges: DataFrame, hot_rows: int = HOT_ROWS) -> Components:
+def _numbered(first: DataFrame, rows: int, hot_rows: int) -> tuple[_Round, _Round]:
+    """Ids with numbers in their order (``id``, ``n``), and ids with their number and that of their label.
+    Numbers are compared, shuffled and aggregated by hash, where texts have to be sorted."""
+    numbers = _cut(first.select("id").orderBy("id").withColumn("n", F.monotonically_increasing_id()))
+    own = first.join(numbers.table, "id")
+    named = numbers.table.select(F.col("id").alias("label"), F.col("n").alias("_label"))
+    known = lookup_join(own, named, "label", "inner", _hot(first, "label", rows, hot_rows))
+    return numbers, _cut(known.select("id", "n", F.col("_label").alias("label")))
+
+
+def _unsettled(pairs: DataFrame, hot_rows: int) -> DataFrame:
+    """Those of ``pairs`` that may still change a label after the first round.
+
+    All ids of one label are neighbours of that label's id, so labels joined by a pair hang together as
+    the ids do, and the smallest label of such a group is the last one of all its ids. Pairs both of whose
+    ends have it already are of no more use.
+    """
+    across = pairs.where(F.col("hi_label") != F.col("lo_label"))
+    across = across.select(F.col("hi_label").alias("src"), F.col("lo_label").alias("dst"))
+    last = contract_to_stars(across, hot_rows).mapping.where(F.col("txId") != F.col("resolvedEntityId"))
+    unsettled = measured(last.select(F.col("txId").alias("_label"), F.lit(True).alias("_open")))
+    for end in ("hi", "lo"):
+        key = f"{end}_label"
+        found = unsettled.table.select(F.col("_label").alias(key), F.col("_open").alias(f"_{end}"))
+        if unsettled.rows <= BROADCAST_NUMBERS:
+            pairs = pairs.join(F.broadcast(found), key, "left")
+        else:
+            pairs = lookup_join(pairs, found, key, "left", hot_keys(pairs, key, hot_rows))
+    return pairs.where(F.col("_hi").isNotNull() | F.col("_lo").isNotNull())
+
+
+def propagate_labels(
+    edges: DataFrame, hot_rows: int = HOT_ROWS, settle_rows: int = LEAF_ROWS
+) -> Components:
     """Plain propagation: in each round an id takes the smallest label of its neighbours, until a
     round changes nothing. It takes as many rounds as the longest shortest path has edges.
 
-    Only labels that changed in a round are sent on in the next one.
+    Only labels that changed in a round are sent on in the next one. The first round is an aggregation of
+    the edges. Above ``settle_rows`` edges, those whose ends both have their last label by then are set
+    aside, so dense groups, which have most edges, take no part in the rounds.
     """
-    both = _cut(symmetric_edges(edges), rows=F.count(F.lit(1)))
-    labels = both.table.select(F.col("src").alias("txId")).distinct()
-    labels = labels.select("txId", F.col("txId").alias("label"), F.lit(True).alias("changed"))
-    hot = hot_keys(both.table, "src", hot_rows) if both.seen["rows"] > hot_rows else None
-    rounds: list[int] = []
-    last = None
-    while not rounds or rounds[-1] > 0:
-        moved = labels.where("changed").select(F.col("txId").alias("src"), "label")
-        offers = lookup_join(both.table, moved, "src", "inner", hot).select(
-            F.col("dst").alias("txId"), "label", F.lit(None).cast(labels.schema["label"].dataType).alias("own")
+    ends, count = [F.col("src"), F.col("dst")], F.count(F.lit(1))
+    oriented = edges.where(F.col("src") != F.col("dst")).select(
+        F.greatest(*ends).alias("hi"), F.least(*ends).alias("lo")
+    )
+    pairs = _cut(oriented, rows=count)
+    nearest = pairs.table.groupBy(F.col("hi").alias("id")).agg(F.min("lo").alias("label"))
+    alone = pairs.table.select(F.col("lo").alias("id")).distinct().withColumn("label", F.col("id"))
+    first = nearest.unionByName(alone).groupBy("id").agg(F.min("label").alias("label"))
+    first = _cut(first, rows=count, changed=F.count_if(F.col("label") != F.col("id")))
+    rounds = [first.seen["changed"]]
+    numbers, ids = _numbered(first.table, first.seen["rows"], hot_rows)
+    first.release()
+
+    between = pairs.table
+    for end in ("hi", "lo"):
+        known = ids.table.select(
+            F.col("id").alias(end), F.col("n").alias(f"{end}_n"), F.col("label").alias(f"{end}_label")
         )
-        best = F.min("label").alias("label")
+        hot = _hot(pairs.table, end, pairs.seen["rows"], hot_rows)
+        between = lookup_join(between, known, end, "inner", hot).drop(end)
+    between = _cut(between)
+    large = pairs.seen["rows"] > settle_rows
+    pairs.release()
+    active = _unsettled(between.table, hot_rows) if large else between.table
+    active = active.select(F.col("hi_n").alias("src"), F.col("lo_n").alias("dst"))
+    both = _cut(symmetric_edges(active), rows=count)
+    between.release()
+
+    taking_part = both.table.select(F.col("src").alias("n")).distinct()
+    labels = ids.table.join(taking_part, "n", "left_semi").select(
+        "n", "label", (F.col("label") != F.col("n")).alias("changed")
+    )
+    last = _cut(labels)
+    hot = hot_keys(both.table, "src", hot_rows) if both.seen["rows"] > hot_rows else None
+    while rounds[-1] > 0:
+        moved = last.table.where("changed").select(F.col("n").alias("src"), "label")
+        if rounds[-1] <= BROADCAST_NUMBERS:
+            offers = both.table.join(F.broadcast(moved), "src")
+        else:
+            offers = lookup_join(both.table, moved, "src", "inner", hot)
+        offers = offers.select(F.col("dst").alias("n"), "label", F.lit(None).cast("long").alias("own"))
         merged = (
-            labels.select("txId", "label", F.col("label").alias("own"))
+            last.table.select("n", "label", F.col("label").alias("own"))
             .unionByName(offers)
-            .groupBy("txId")
-            .agg(best, F.max("own").alias("own"))
-            .select("txId", "label", (F.col("label") != F.col("own")).alias("changed"))
+            .groupBy("n")
+            .agg(F.min("label").alias("label"), F.max("own").alias("own"))
+            .select("n", "label", (F.col("label") != F.col("own")).alias("changed"))
         )
         current = _cut(merged, changed=F.count_if(F.col("changed")))
-        if last is not None:
-            last.release()
-        last, labels = current, current.table
+        last.release()
+        last = current
         rounds.append(current.seen["changed"])
     both.release()
-    return Components(labels.select("txId", F.col("label").alias("resolvedEntityId")), rounds)
+    later = last.table.select("n", F.col("label").alias("_later"))
+    final = ids.table.join(later, "n", "left")
+    final = final.select("id", F.coalesce("_later", "label").alias("n"))
+    names = numbers.table.select("n", F.col("id").alias("resolvedEntityId"))
+    mapping = lookup_join(final, names, "n", "inner", _hot(final, "n", first.seen["rows"], hot_rows))
+    return Components(mapping.select(F.col("id").alias("txId"), "resolvedEntityId"), rounds)
 
 
 def _hot(current: DataFrame, key: str, rows: int, hot_rows: int) -> list[int] | None:

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from samekin.operators.components import (
+    _unsettled,
     contract_to_stars,
     grow_components,
     propagate_labels,
@@ -99,3 +100,41 @@ def test_grown_components_equal_those_of_all_edges(spark, hot_rows):
     assert grown == whole
     nothing = grow_components(mapping, table(more).limit(0), hot_rows).mapping
     assert {tuple(r) for r in nothing.collect()} == {tuple(r) for r in mapping.collect()}
+
+
+@pytest.mark.parametrize("settle_rows", [0, 10**6])
+@pytest.mark.parametrize("seed, hot_rows", [(1, 10**6), (2, 3), (3, 10**6)])
+def test_propagation_counts_the_changes_of_each_round(spark, seed, hot_rows, settle_rows):
+    """Dense groups, chains of them and chains, with edges that repeat: mapping and changes a round as by hand."""
+    rng = random.Random(seed)
+    edges = [(f"c{i}", f"c{i + 1}") for i in range(9)]
+    for group in range(6):
+        members = [f"{rng.randrange(10**5)}g{group}{i}" for i in range(5)]
+        edges += [(a, b) for a in members for b in members if a != b]
+        edges += [(members[0], f"t{group}"), (f"t{group}", f"{rng.randrange(9)}u{group // 2}")]
+    edges += [(f"{rng.randrange(80)}", f"{rng.randrange(80)}") for _ in range(60)]
+    near = {}
+    for a, b in edges:
+        if a != b:
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+    labels, changes = {v: v for v in near}, []
+    while not changes or changes[-1]:
+        now = {v: min(labels[v], *(labels[u] for u in near[v])) for v in near}
+        changes.append(sum(now[v] != labels[v] for v in near))
+        labels = now
+    found = propagate_labels(table(spark, edges), hot_rows, settle_rows)
+    assert mapping_of(found) == labels
+    assert found.rounds == changes
+
+
+def test_propagation_leaves_settled_groups_out_of_the_rounds(spark):
+    members = [f"m{i:02d}" for i in range(12)]
+    edges = [(a, b) for a in members for b in members if a < b] + [("x1", "x2"), ("x2", "x3")]
+    numbered = [(members.index(b) + 1, 1, members.index(a) + 1, 1) for a, b in edges[:66]]
+    # x2 and x3 are 22 and 23, with the labels of the first round.
+    numbered += [(22, 21, 21, 21), (23, 22, 22, 21)]
+    pairs = spark.createDataFrame(numbered, "hi_n long, hi_label long, lo_n long, lo_label long")
+    left = _unsettled(pairs, 10**6).select("hi_n", "lo_n").collect()
+    assert {tuple(r) for r in left} == {(23, 22)}
+    assert propagate_labels(table(spark, edges), settle_rows=0).rounds == [13, 1, 0]
