@@ -72,3 +72,14 @@ def test_floor_div(spark):
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
     rows = df.select(floor_div(F.col("v"), 3)).collect()
     assert [r[0] for r in rows] == [v // 3 for v in values]
+
+
+def test_two_decimals_round_as_decimals_do(spark):
+    odd = [float("nan"), float("inf"), None, -0.0, -1.005, 2.0, 2.675, 0.145, 0.285, 1.005]
+    values = spark.createDataFrame([(v,) for v in odd + [i / 1000 for i in range(2001)]], "v double")
+    other = values.where(~F.round("v", 2).eqNullSafe(similarity.two_decimals(F.col("v"))))
+    assert other.collect() == []
+    number, edits = F.col("n").cast("double"), F.col("k").cast("double")
+    ratios = spark.range(1, 121).select(F.col("id").alias("n")).crossJoin(spark.range(0, 121).select(F.col("id").alias("k")))
+    ratios = ratios.where("k <= n and n % 8 <> 0").select((1.0 - edits / number).alias("v"))
+    assert ratios.where(F.round("v", 2) != similarity._hundredths(F.col("v"))).collect() == []
