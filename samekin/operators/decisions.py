@@ -54,7 +54,8 @@ def _reason(name: str, *values: Column) -> Column:
     if not values:
         return F.lit(name)
     shown = [F.coalesce(v.cast("string"), F.lit("null")) for v in values]
-    return F.concat(F.lit(f"{name}("), F.concat_ws(",", *shown), F.lit(")"))
+    parted = [part for value in shown for part in (F.lit(","), value)][1:]
+    return F.concat(F.lit(f"{name}("), *parted, F.lit(")"))
 
 
 def reasons(facts: dict[str, Column], policy: DecisionPolicy) -> Column:
@@ -63,21 +64,26 @@ def reasons(facts: dict[str, Column], policy: DecisionPolicy) -> Column:
     name = [facts["nameSimilarity"], F.lit(float(policy.name_similarity_threshold))]
     amount = [facts["amountRelativeDifference"], F.lit(float(policy.amount_relative_tolerance))]
     step = [facts["timeDistance"], F.lit(policy.max_step_distance).cast("long")]
-    found = F.array(
-        F.when(seen.wallet, _reason("ExactWalletMatch")),
-        F.when(seen.name_above, _reason("NameSimilarityAboveThreshold", *name)).otherwise(
-            _reason("NameSimilarityBelowThreshold", *name)
+    none = F.array().cast("array<string>")
+    # In the order of the names, which differ by their first letters, so that pairs need not sort them.
+    return F.concat(
+        F.array(
+            F.when(seen.amount_within, _reason("AmountDeltaWithinTolerance", *amount)).otherwise(
+                _reason("AmountDeltaAboveTolerance", *amount)
+            )
         ),
-        F.when(seen.amount_within, _reason("AmountDeltaWithinTolerance", *amount)).otherwise(
-            _reason("AmountDeltaAboveTolerance", *amount)
+        F.when(seen.wallet, F.array(_reason("ExactWalletMatch"))).otherwise(none),
+        F.when(~seen.strong, F.array(_reason("InsufficientEvidence"))).otherwise(none),
+        F.array(
+            F.when(seen.name_above, _reason("NameSimilarityAboveThreshold", *name)).otherwise(
+                _reason("NameSimilarityBelowThreshold", *name)
+            ),
+            F.when(seen.step_within, _reason("StepWithinWindow", *step)).otherwise(
+                _reason("StepOutsideWindow", *step)
+            ),
+            F.when(seen.type_matched, _reason("TypeMatched")).otherwise(_reason("TypeMismatched")),
         ),
-        F.when(seen.type_matched, _reason("TypeMatched")).otherwise(_reason("TypeMismatched")),
-        F.when(seen.step_within, _reason("StepWithinWindow", *step)).otherwise(
-            _reason("StepOutsideWindow", *step)
-        ),
-        F.when(~seen.strong, _reason("InsufficientEvidence")),
     )
-    return F.sort_array(F.array_compact(found))
 
 
 FACT_COLUMNS = [

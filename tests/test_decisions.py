@@ -191,3 +191,38 @@ def test_matched_filter_reaches_the_join(spark):
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     join = next(line for line in text.splitlines() if "Join Inner" in line)
     assert "<= 5" in join and "0.1" in join
+
+
+def test_reasons_come_sorted_without_a_sort_a_pair(spark):
+    """In the order of a sort, and with the texts of a cast, for facts of two decimals and others."""
+    facts = "nameSimilarity double, walletExactMatch boolean, amountRelativeDifference double, typeExactMatch boolean, timeDistance long"
+    numbers = [0.0, 0.07, 0.29, 0.85, 1.0, 0.123456, 2.0, 3.5, float("nan")]
+    rows = [("a", "b", n, w, d, w, t) for n in numbers for w in (True, False) for d in [*numbers, None] for t in (1, None)]
+    scores = spark.createDataFrame(rows, f"leftTxId string, rightTxId string, {facts}")
+    for mode in (BEHAVIORAL, IDENTIFIER):
+        decided = decide(scores, DecisionPolicy(evidence_mode=mode))
+        texts = decided.select(
+            "decisionReasons",
+            F.col("similarityScore.nameSimilarity").cast("string").alias("name"),
+            F.coalesce(F.col("similarityScore.amountRelativeDifference").cast("string"), F.lit("null")).alias("amount"),
+        )
+        for r in texts.collect():
+            assert r.decisionReasons == sorted(r.decisionReasons)
+            assert any(x.startswith("Name") and x.endswith(f"Threshold({r.name},0.85)") for x in r.decisionReasons)
+            assert any(x.startswith("Amount") and x.endswith(f"Tolerance({r.amount},0.1)") for x in r.decisionReasons)
+        plan = decided._jdf.queryExecution().optimizedPlan().toString()
+        assert "sort_array" not in plan and "lambda" not in plan
+
+
+def test_names_are_normalized_a_row_for_amount_pairs(spark, tmp_path):
+    from samekin import catalog
+
+    columns = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    events = spark.createDataFrame([(i, None, i, "a", 1.0) for i in range(4)], columns)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    customers = spark.createDataFrame([(i, f"N. {i}") for i in range(4)], "c_custkey long, c_name string")
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    scores = catalog.similarity_scores_amount(spark, str(tmp_path))
+    plan = scores._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan[: plan.index("Join Inner")]
+    assert sorted(r.nameSimilarity for r in scores.collect()) == [0.67] * 6
