@@ -10,6 +10,7 @@ segment, and what meets is verified by the edit distance itself.
 from __future__ import annotations
 
 import math
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ from samekin.operators.matching import split_crowded
 from samekin.operators.pairs import TILE_ROWS
 
 SEGMENT = ["_length", "_number", "_segment"]
+# Names of equal length with at most so many edits and letters are covered by keys.
+COVERED_EDITS = 2
+COVERED_LETTERS = 24
 
 
 def always_similar(threshold: float) -> bool:
@@ -38,6 +42,61 @@ def most_edits(shorter: Column, threshold: float) -> Column:
     return F.floor(shorter * F.lit(loss / (1.0 - loss))).cast("int")
 
 
+def _edits_between(length: int, threshold: float) -> int:
+    """The most edits that leave two names of this length similar, rounded as similarities are."""
+    edits = 0
+    while edits < length:
+        similarity = Decimal(repr(1.0 - (edits + 1) / length)).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        if float(similarity) < threshold:
+            break
+        edits += 1
+    return edits
+
+
+def covered_lengths(threshold: float) -> dict[int, int]:
+    """The lengths whose names :func:`cover_keys` is for, with the edits between two of them."""
+    edits = {length: _edits_between(length, threshold) for length in range(1, COVERED_LETTERS + 1)}
+    return {length: most for length, most in edits.items() if most <= COVERED_EDITS}
+
+
+def cover_keys(name: Column, prefix: Column, suffix: Column, lengths: dict[int, int]) -> Column:
+    """Keys of a name, such that two different names of one of the ``lengths`` are similar if and only if
+    they share a key. All names begin with the same ``prefix`` letters and end with the same ``suffix``.
+
+    Names with two edits differ by two letters, or by one that is deleted and one that is inserted. So a
+    key is the name without the letters at two places, or without a letter wherever it was. A single edit
+    is a letter at one place. What all names have in common stays out of it: it changes no distance.
+    """
+    length = F.length(name)
+    core = F.substring(name, prefix + 1, length - prefix - suffix)
+    letters = F.length(core)
+    edits = F.coalesce(*[F.when(length == n, F.lit(most)) for n, most in lengths.items()], F.lit(0))
+    none = F.array().cast("array<string>")
+
+    def without(text: Column, place: Column) -> Column:
+        return F.concat(F.substring(text, F.lit(1), place - 1), F.substring(text, place + 1, F.length(text)))
+
+    def key(kind: Column, rest: Column) -> Column:
+        return F.concat_ws(":", length.cast("string"), kind, rest)
+
+    def pairs_with(second: Column) -> Column:
+        shorter = without(core, second)
+        return F.transform(
+            F.sequence(F.lit(1), second - 1),
+            lambda first: key(F.concat_ws(",", first.cast("string"), second.cast("string")), without(shorter, first)),
+        )
+
+    places = F.sequence(F.lit(1), letters)
+    one = F.transform(places, lambda place: key(place.cast("string"), without(core, place)))
+    two = F.flatten(F.transform(F.sequence(F.lit(2), letters), pairs_with))
+    moved = F.array_distinct(F.transform(places, lambda place: key(F.lit("-"), without(core, place))))
+    return (
+        F.when((edits == 0) | (letters < 1), none)
+        .when((edits == 1) | (letters < 2), one)
+        .otherwise(F.concat(two, moved))
+    )
+
+
 def _cut(length: Column, edits: Column, number: Column) -> tuple[Column, Column]:
     """Where a segment of a name of this length begins, from 0, and its size; the last ones are longer
     by a letter if the length does not divide."""
@@ -71,8 +130,8 @@ def _segments(name: Column, threshold: float) -> Column:
     return F.when(edits >= length, whole).otherwise(F.transform(F.sequence(F.lit(0), edits), segment))
 
 
-def _sought(name: Column, threshold: float) -> Column:
-    """What a name looks for as the longer one."""
+def _sought(name: Column, threshold: float, covered: list[int]) -> Column:
+    """What a name looks for as the longer one; not for names of its own length if that is covered."""
     length = F.length(name)
     least = F.ceil(length * F.lit(1.0 - _loss(threshold))).cast("int")
 
@@ -96,7 +155,8 @@ def _sought(name: Column, threshold: float) -> Column:
 
     lengths = F.filter(
         F.sequence(F.least(least, length), length),
-        lambda shorter: length - shorter <= most_edits(shorter, threshold),
+        lambda shorter: (length - shorter <= most_edits(shorter, threshold))
+        & ((shorter < length) | ~length.isin(covered)),
     )
     return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
 
@@ -124,13 +184,15 @@ def similar_names(
     threshold: float,
     id_column: str = "txId",
     tile_rows: int | None = TILE_ROWS,
+    covered: list[int] | None = None,
 ) -> DataFrame:
     """Rows ``l`` of ``shorter`` and ``r`` of ``longer`` with equal ``equal`` columns and similar but
     different names, where ``l`` has the shorter name, or the smaller one of two equally long names. Each
     such pair of rows comes up once. Names are taken as they are; a missing one is similar to nothing.
 
     Joining a table with itself thus gives each unordered pair once. Segments that many names share are
-    split on both sides into tiles of ``tile_rows``. The threshold has to keep some names apart.
+    split on both sides into tiles of ``tile_rows``. The threshold has to keep some names apart. Pairs of
+    names of one length are left out if it is ``covered``.
     """
     if always_similar(threshold):
         raise ValueError(f"all names pass a threshold of {threshold}")
@@ -141,7 +203,7 @@ def similar_names(
         return named.withColumns({c: F.col(f"_key.{f}") for c, f in fields}).drop("_key")
 
     left = keyed(shorter, _segments(F.col(name), threshold))
-    right = keyed(longer, _sought(F.col(name), threshold))
+    right = keyed(longer, _sought(F.col(name), threshold, covered or []))
     join = [*equal, *SEGMENT]
     if tile_rows is not None:
         left, right = split_crowded(left, right, join, tile_rows, id_column)

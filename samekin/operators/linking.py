@@ -10,7 +10,9 @@ cell match each other for certain:
   over the distinct times of the two cells.
 
 Where a match also asks for an equal wallet or a similar name, cells are those of one wallet, and those
-of one name. Cells of similar names, found by an edit-distance join, are neighbours like others.
+of one name. Cells of similar names, found by an edit-distance join, are neighbours like others. Where
+many names meet, rows also form cells by what is left of their names without an edit or two: names that
+agree in it are all similar, so these cells are linked like those of one wallet, in linear work.
 
 Cells are made by an aggregation with map-side combine, so a group holding a third of all rows is
 reduced to a handful of values before anything is shuffled.
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from samekin.functions.similarity import amount_relative_difference, name_similarity
 from samekin.operators.blocking import BLOCK, BlockingPass, per_pass
-from samekin.operators.edit_distance import always_similar, similar_names
+from samekin.operators.edit_distance import always_similar, cover_keys, covered_lengths, similar_names
 from samekin.operators.matching import (
     amount_sign,
     block_matches,
@@ -36,7 +38,16 @@ from samekin.operators.matching import (
     log_ratio,
     with_match_keys,
 )
-from samekin.operators.skew import HOT_ROWS, Keep, hot_keys, lookup_join, recomputed, sized_join
+from samekin.operators.skew import (
+    HOT_ROWS,
+    Keep,
+    Lookup,
+    hot_keys,
+    lookup_join,
+    measured,
+    recomputed,
+    sized_join,
+)
 from samekin.plans.policy import BEHAVIORAL, DecisionPolicy
 
 # A cell is as wide as a certain match reaches. The reach of a possible match is a little more, so
@@ -48,6 +59,8 @@ PLACE = [*BLOCK, "_type", "_sign", "_time", "_amount"]
 CELL = [*PLACE, "_who"]
 # Cells of one place with more names than this look for similar ones by segments.
 NAMES_TOGETHER = 256
+# Neighbours meet in wide cells of so many cells in time and in amount.
+WIDE_TIME, WIDE_AMOUNT = 4, 8
 
 
 def _with_cells(rows: DataFrame, policy: DecisionPolicy, passing: float) -> DataFrame:
@@ -107,11 +120,14 @@ def _looked(cells: DataFrame, looks: list[tuple[int, int]]) -> DataFrame:
     )
 
 
-def _reaching(met: DataFrame, policy: DecisionPolicy) -> DataFrame:
-    """The pairs of cells ``a``, ``b`` whose extremes allow a match; ``a._later`` and ``a._step`` say
-    where ``b`` lies. ``sure`` tells that there is one; otherwise it depends on which amounts go with
-    which times."""
-    step = F.col("a._step")
+def _reaching(
+    met: DataFrame, policy: DecisionPolicy, later: Column | None = None, step: Column | None = None
+) -> DataFrame:
+    """The pairs of cells ``a``, ``b`` whose extremes allow a match; ``later`` and ``step`` (``a._later``
+    and ``a._step``) say where ``b`` lies. ``sure`` tells that there is one; otherwise it depends on which
+    amounts go with which times."""
+    later = F.col("a._later") if later is None else later
+    step = F.col("a._step") if step is None else step
     in_time = F.col("b.first") - F.col("a.last") <= F.lit(policy.max_step_distance)
     in_amount = (
         F.when(step > 0, _close(F.col("a.high"), F.col("b.low"), policy))
@@ -119,11 +135,13 @@ def _reaching(met: DataFrame, policy: DecisionPolicy) -> DataFrame:
         .otherwise(F.lit(True))
     )
     one_time = (F.col("a.first") == F.col("a.last")) & (F.col("b.first") == F.col("b.last"))
-    same_time = F.col("a._later") == 0
+    same_time = later == 0
     return met.where(in_amount & (same_time | in_time)).select(
         F.col("a._pass").alias("_pass"),
         F.col("a.rep").alias("a"),
         F.col("b.rep").alias("b"),
+        F.col("a._who").alias("a_who"),
+        F.col("b._who").alias("b_who"),
         (step > 0).alias("upward"),
         (same_time | (step == 0) | one_time).alias("sure"),
     )
@@ -140,31 +158,93 @@ AROUND = [(t, s) for t in (-1, 0, 1) for s in AMOUNT_REACH]
 
 
 def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
-    """Pairs of neighbouring cells. A cell looks into each that can be its neighbour, so the join is on
-    equality alone and a cell meets a few others at most."""
-    met = _looked(cells, AHEAD).alias("a").join(cells.alias("b"), _all_equal(CELL, "a", "b"))
-    return _reaching(met, policy)
+    """Pairs of neighbouring cells. They meet in wide cells: ``a`` in its own, ``b`` in all from which it
+    can be seen, mostly one or two. The join is on equality, and a wide cell holds a bounded number of
+    cells."""
+
+    def wide(time: Column, amount: Column) -> list[Column]:
+        return [floor_div(time, WIDE_TIME), floor_div(amount, WIDE_AMOUNT)]
+
+    time, amount = F.col("_time"), F.col("_amount")
+    own = wide(time, amount)
+    first, last = wide(time - 1, amount - AMOUNT_STEPS), wide(time, amount + AMOUNT_STEPS)
+    looking = cells.withColumns({"_wtime": own[0], "_wamount": own[1]})
+    seen = cells.withColumn("_wtime", F.explode(F.sequence(first[0], last[0])))
+    seen = seen.withColumn("_wamount", F.explode(F.sequence(first[1], last[1])))
+    later = F.col("b._time") - F.col("a._time")
+    step = F.col("b._amount") - F.col("a._amount")
+    alike = [c for c in CELL if c not in ("_time", "_amount")]
+    on = _all_equal([*alike, "_wtime", "_wamount"], "a", "b")
+    on &= later.between(0, 1) & step.between(-AMOUNT_STEPS, AMOUNT_STEPS) & ((later == 1) | (step > 0))
+    return _reaching(looking.alias("a").join(seen.alias("b"), on), policy, later, step)
+
+
+def _crowded_places(cells: DataFrame, names_together: int) -> DataFrame:
+    sizes = cells.groupBy(*PLACE).agg(F.count("*").alias("_names"))
+    return sizes.where(F.col("_names") > names_together).select(*PLACE)
+
+
+def _common_prefix(one: Column, other: Column) -> Column:
+    """How many letters two texts begin with in common."""
+    shorter = F.least(F.length(one), F.length(other))
+    places = F.when(shorter > 0, F.sequence(F.lit(1), shorter)).otherwise(F.array().cast("array<int>"))
+    differing = F.filter(places, lambda i: F.substring(one, i, 1) != F.substring(other, i, 1))
+    return F.when(F.size(differing) > 0, differing[0] - 1).otherwise(shorter)
+
+
+def _covered_blocks(cells: DataFrame, crowded: DataFrame, lengths: dict[int, int]) -> Lookup:
+    """The blocks with crowded places: how many letters all names of a block have in common at the
+    beginning (``_prefix``) and, behind that, at the end (``_suffix``), and whether all its pairs of names
+    are of one length that is covered (``_alike``). The smallest and the largest of some texts begin in
+    common with what all of them do."""
+    blocks = measured(crowded.select(*BLOCK).distinct())
+    name = F.col("_who")
+    ends = sized_join(cells, blocks, BLOCK, "left_semi").groupBy(*BLOCK).agg(
+        F.min(name).alias("_low"),
+        F.max(name).alias("_high"),
+        F.min(F.reverse(name)).alias("_rlow"),
+        F.max(F.reverse(name)).alias("_rhigh"),
+        F.min(F.length(name)).alias("_shortest"),
+        F.max(F.length(name)).alias("_longest"),
+    )
+    prefixed = ends.withColumn("_prefix", _common_prefix(F.col("_low"), F.col("_high")))
+    suffix = F.least(_common_prefix(F.col("_rlow"), F.col("_rhigh")), F.col("_shortest") - F.col("_prefix"))
+    one = (F.col("_shortest") == F.col("_longest")) & F.col("_longest").isin(list(lengths))
+    return measured(prefixed.select(*BLOCK, "_prefix", suffix.alias("_suffix"), one.alias("_alike")))
+
 
+def _by_cover(rows: DataFrame, blocks: Lookup, lengths: dict[int, int]) -> DataFrame:
+    """``rows`` once for each cover key of their name, in place of the name."""
+    known = sized_join(rows, blocks, BLOCK, "inner")
+    keys = cover_keys(F.col("_who"), F.col("_prefix"), F.col("_suffix"), lengths)
+    return known.withColumn("_who", F.explode(keys)).select(*rows.columns)
 
-def _similar_neighbours(cells: DataFrame, policy: DecisionPolicy, names_together: int) -> DataFrame:
-    """Pairs of cells of different but similar names that are neighbours, or at the same place.
 
-    Places with few names compare these with each other. Where either place has more than
-    ``names_together``, an edit-distance join finds the similar ones.
+def _similar_neighbours(
+    cells: DataFrame, policy: DecisionPolicy, crowded: DataFrame | None, blocks: Lookup | None, lengths: dict[int, int]
+) -> DataFrame:
+    """Pairs of cells of different but similar names that are neighbours, or at the same place, without
+    those of equal ``lengths`` in covered ``blocks``.
+
+    Places with few names compare these with each other. Where either place is ``crowded``, an
+    edit-distance join finds the similar ones.
     """
     threshold = policy.name_similarity_threshold
-    sizes = cells.groupBy(*PLACE).agg(F.count("*").alias("_names"))
-    crowded = sizes.where(F.col("_names") > names_together).select(*PLACE, F.lit(True).alias("_crowded"))
-    some = not crowded.isEmpty()
+    some = crowded is not None
+    covered = F.lit(False)
     if some:
-        cells = sized_join(cells, crowded, PLACE, "left").na.fill(False, ["_crowded"])
+        cells = sized_join(cells, blocks, BLOCK, "left").where(~F.coalesce("_alike", F.lit(False)))
+        cells = sized_join(cells, crowded.withColumn("_crowded", F.lit(True)), PLACE, "left")
+        cells = cells.na.fill(False, ["_crowded"])
+        equal = F.length("a._who") == F.length("b._who")
+        covered = F.col("a._prefix").isNotNull() & equal & F.length("a._who").isin(list(lengths))
     else:
         cells = cells.withColumn("_crowded", F.lit(False))
     either = F.col("a._crowded") | F.col("b._crowded")
     a_name, b_name = F.col("a._who"), F.col("b._who")
     # At the same place either could be a.
     once = (a_name != b_name) & ((F.col("a._later") != 0) | (F.col("a._step") != 0) | (a_name < b_name))
-    on = _all_equal(PLACE, "a", "b") & ~either & once & (name_similarity(a_name, b_name) >= F.lit(threshold))
+    on = _all_equal(PLACE, "a", "b") & ~either & once & ~covered & (name_similarity(a_name, b_name) >= F.lit(threshold))
     met = _looked(cells, [(0, 0), *AHEAD]).alias("a").join(cells.alias("b"), on)
     found = _reaching(met, policy)
     if not some:
@@ -172,10 +252,11 @@ def _similar_neighbours(cells: DataFrame, policy: DecisionPolicy, names_together
     near = _looked(crowded, AROUND).select(*PLACE).distinct()
     around = sized_join(cells, near, PLACE, "left_semi")
     # Whoever has the shorter name looks around; which of the two is a follows from where it finds b.
-    pairs = similar_names(_looked(around, AROUND), around, PLACE, "_who", threshold, "rep")
+    looking = _looked(around, AROUND)
+    pairs = similar_names(looking, around, PLACE, "_who", threshold, "rep", covered=list(lengths))
     later, step = F.col("l._later"), F.col("l._step")
     looker_first = (later > 0) | ((later == 0) & (step >= 0))
-    columns = ["_pass", "rep", "first", "last", "low", "high"]
+    columns = ["_pass", "_who", "rep", "first", "last", "low", "high"]
     sides = {
         side: F.struct(
             *[F.when(first, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}")).alias(c) for c in columns],
@@ -199,15 +280,19 @@ def _settled_by_sweep(open_pairs: DataFrame, moments: DataFrame, policy: Decisio
     decides, and there are at most twice the step window of them.
     """
     reach = F.lit(policy.max_step_distance).cast("long")
-    # The same id can stand for a cell in each pass, so cells are told apart by pass and id.
-    pair = ["_pass", "a", "b", "upward"]
-    seekers = open_pairs.join(moments.withColumnRenamed("rep", "a"), ["_pass", "a"]).select(
+    # The same id can stand for a cell in each pass, and for each whom its row is from there.
+    pair = ["_pass", "a", "b", "a_who", "b_who", "upward"]
+
+    def of(end: str) -> DataFrame:
+        return moments.withColumnsRenamed({"rep": end, "_who": f"{end}_who"})
+
+    seekers = open_pairs.join(of("a"), ["_pass", "a", "a_who"]).select(
         *pair,
         (F.col("_at") + reach).alias("until"),
         F.lit(1).alias("role"),
         F.when(F.col("upward"), F.col("high")).otherwise(F.col("low")).alias("edge"),
     )
-    offers = open_pairs.join(moments.withColumnRenamed("rep", "b"), ["_pass", "b"]).select(
+    offers = open_pairs.join(of("b"), ["_pass", "b", "b_who"]).select(
         *pair,
         F.col("_at").alias("until"),
         F.lit(0).alias("role"),
@@ -246,26 +331,41 @@ def block_links(
     cells = keep(_cells(placed))
     members = _members(placed, cells, hot_rows)
     neighbours = _neighbours(cells, policy)
+    covered = None
     if names is not None:
-        similar = _similar_neighbours(cells.where(names), policy, names_together)
+        named = cells.where(names)
+        lengths = covered_lengths(policy.name_similarity_threshold)
+        crowded, blocks = _crowded_places(named, names_together), None
+        if crowded.isEmpty():
+            crowded = None
+        else:
+            blocks = _covered_blocks(named, crowded, lengths)
+            covered = _by_cover(rows.where(names), blocks, lengths)
+        similar = _similar_neighbours(named, policy, crowded, blocks, lengths)
         neighbours = neighbours.unionByName(similar)
     neighbours = keep(neighbours)
 
     ends = [F.col("a").alias("src"), F.col("b").alias("dst")]
+    open_pairs = neighbours.where(~F.col("sure")).drop("sure")
+    settled = open_pairs.isEmpty()
+    if not settled:
+        # Read for their links and, on both sides of open pairs, for their extremes.
+        members = keep(members)
     inside = members.where(F.col("txId") != F.col("rep")).select(
         F.col("rep").alias("src"), F.col("txId").alias("dst")
     )
     links = inside.unionByName(neighbours.where("sure").select(*ends))
-    open_pairs = neighbours.where(~F.col("sure")).select("_pass", "a", "b", "upward")
-    if open_pairs.isEmpty():
+    if covered is not None:
+        links = links.unionByName(block_links(covered, policy, keep, hot_rows))
+    if settled:
         return links
     # The extremes at each distinct time, for the pairs of cells still open.
     moments = (
-        members.groupBy("_pass", "rep", "_at")
+        members.groupBy("_pass", "_who", "rep", "_at")
         .agg(F.min("_size").alias("low"), F.max("_size").alias("high"))
         .unionByName(
             cells.where(F.col("members") == 1).select(
-                "_pass", "rep", F.col("first").alias("_at"), "low", "high"
+                "_pass", "_who", "rep", F.col("first").alias("_at"), "low", "high"
             )
         )
     )

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samekin.operators.blocking import BlockingPass
-from samekin.operators.edit_distance import similar_names
+from samekin.operators.edit_distance import cover_keys, covered_lengths, similar_names
 from samekin.operators.linking import connecting_edges
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
 from samekin.schema import TX_SCHEMA
@@ -52,6 +52,22 @@ def test_all_names_are_refused(spark):
         similar_names(table, table, [], "name", 0.0)
 
 
+@pytest.mark.parametrize("threshold", [0.85, 0.7])
+def test_similar_names_of_equal_length_share_a_cover_key(spark, threshold):
+    """Also names that all share their beginning and end; what is shared makes no keys."""
+    rng = random.Random(int(threshold * 100))
+    names = {"ab" + "".join(rng.choice("xy1") for _ in range(n)) + "cd" for n in (1, 3, 4, 6, 8) for _ in range(14)}
+    lengths = covered_lengths(threshold)
+    table = spark.createDataFrame([(n,) for n in sorted(names)], "name string")
+    keys = cover_keys(F.col("name"), F.lit(2), F.lit(2), lengths)
+    found = {r[0]: set(r[1]) for r in table.select("name", keys).collect()}
+    assert max(map(len, found.values())) <= 28 + 8
+    for a, b in combinations(sorted(names), 2):
+        if len(a) == len(b) and len(a) in lengths:
+            similar = two_decimals(1.0 - edit_distance(a, b) / len(a)) >= threshold
+            assert bool(found[a] & found[b]) == similar, (a, b)
+
+
 ONE_BLOCK = BlockingPass("all", lambda: F.lit("all"))
 
 
