@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -220,12 +219,14 @@ def without_toxic(
     """The rows of ``docs`` that are not toxic, with their columns. The flag is computed beside
     the row, so rows are neither joined nor matched by id."""
 
-    @F.pandas_udf("boolean")
-    def toxic(texts: pd.Series) -> pd.Series:
-        whole = encoded(texts.tolist())
-        flags = np.zeros(len(whole), bool)
-        for part in in_batches(whole):
-            flags[part] = model.at_least(list(features(whole[part])))[:, 0] >= cut
-        return pd.Series(flags)
+    @F.arrow_udf("boolean")
+    def toxic(texts: pa.Array) -> pa.Array:
+        # A few texts at a time: a batch may hold thousands of long ones.
+        flags = [np.zeros(0, bool)]
+        for few in sliced([pa.RecordBatch.from_arrays([texts], ["_text"])]):
+            whole = encoded(few["_text"].to_pylist())
+            for part in in_batches(whole):
+                flags.append(model.at_least(list(features(whole[part])))[:, 0] >= cut)
+        return pa.array(np.concatenate(flags))
 
     return docs.where(~toxic(F.col(text_column)))
