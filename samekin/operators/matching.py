@@ -103,8 +103,8 @@ def prepared(transactions: DataFrame, passes: tuple[BlockingPass, ...]) -> Prepa
     path, seen = scratch_path(spark, "prepared"), Observation()
     narrow.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     rows = seen.get["rows"]
-    more = repeated.table.agg(F.sum(F.col("_rows") - 1)).first()[0] if repeated.rows else 0
-    return Prepared(spark.read.schema(narrow.schema).parquet(path), rows, rows + more)
+    loaded = transactions.count() if repeated.rows else rows
+    return Prepared(spark.read.schema(narrow.schema).parquet(path), rows, loaded)
 
 
 def with_match_keys(

@@ -80,6 +80,11 @@ class Lookup:
     rows: int
     bytes: int
 
+    @property
+    def small(self) -> bool:
+        """Whether it may be broadcast as a whole."""
+        return self.rows <= BROADCAST_ROWS and self.bytes <= BROADCAST_BYTES
+
 
 def measured(lookup: DataFrame) -> Lookup:
     """Compute ``lookup`` once, into the shared folder."""
@@ -102,7 +107,7 @@ def sized_join(
     """Like :func:`lookup_join`, for a lookup that is usually tiny and is :func:`measured`. Within the
     broadcast bounds it is broadcast as a whole, and ``rows`` are not shuffled."""
     known = lookup if isinstance(lookup, Lookup) else measured(lookup)
-    if known.rows <= BROADCAST_ROWS and known.bytes <= BROADCAST_BYTES:
+    if known.small:
         return rows.join(F.broadcast(known.table), key, how)
     return lookup_join(rows, known.table, key, how, hot_keys(rows, key, hot_rows))
 

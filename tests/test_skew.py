@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from samekin.operators import skew
-from samekin.operators.pairs import one_row_per_id, one_row_per_key
+from samekin.operators.pairs import one_row_per_id, one_row_per_key, repeated_keys
 
 
 def plan_of(df):
@@ -68,3 +68,22 @@ def test_repeated_ids_keep_the_smallest_row(spark):
     by_two = one_row_per_key(table, ["txId", "t"], ["n"]).collect()
     assert {tuple(r) for r in by_two} == {r for r in rows if r not in [("a", 2, "x"), (None, 5, "n")]}
     assert one_row_per_id(table.limit(0)).collect() == []
+
+
+def test_ids_that_mostly_repeat_are_moved_once(spark, monkeypatch):
+    """Without a join, if the repeated ones are too many to be broadcast."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 5)
+    rows = spark.range(100).select((F.col("id") % 50).cast("string").alias("txId"), F.col("id").alias("n"))
+    merged = one_row_per_id(rows)
+    assert "Join" not in plan_of(merged)
+    assert sorted(r["n"] for r in merged.collect()) == list(range(50))
+
+
+def test_unique_keys_of_equal_hashes_stay_rows_of_their_own(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), ("c", 4), (None, 5)], "txId string, n int")
+    repeated = repeated_keys(rows, ["txId"])
+    assert repeated.rows == 1
+    # As if those of a and of the null were found twice.
+    every = skew.measured(rows.select(F.xxhash64("txId").alias("_hash"), F.lit(2).alias("_rows")).distinct())
+    found = one_row_per_id(rows, every)
+    assert sorted(r["n"] for r in found.collect()) == [1, 2, 4, 5]
