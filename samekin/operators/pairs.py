@@ -148,6 +148,25 @@ def union_and_deduplicate(*pair_sets: DataFrame) -> DataFrame:
     )
 
 
+def _found_by(shared: list[Column], passes: tuple[BlockingPass, ...]) -> Column:
+    """The names of the passes whose key is ``shared``, in their order. Two passes' arrays are constants,
+    and a few are put together; filtering an array by a function would take the join out of generated code."""
+    none = F.array().cast("array<string>")
+
+    def named(chosen: tuple[BlockingPass, ...]) -> Column:
+        return F.array(*[F.lit(p.name) for p in chosen]) if chosen else none
+
+    parts = []
+    for at in range(0, len(passes), 2):
+        some, keys = passes[at : at + 2], shared[at : at + 2]
+        part = F.when(reduce(lambda x, y: x & y, [k.isNotNull() for k in keys]), named(some))
+        if len(some) > 1:
+            for key, one in zip(keys, some):
+                part = part.when(key.isNotNull(), named((one,)))
+        parts.append(part.otherwise(none))
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
 def multi_pass_pairs(
     transactions: DataFrame, passes: tuple[BlockingPass, ...], tile_rows: int = TILE_ROWS
 ) -> DataFrame:
@@ -161,11 +180,10 @@ def multi_pass_pairs(
     columns = _columns(keyed)
     keys = [pass_key(i) for i in range(len(passes))]
     shared = [F.when(F.col(f"l.{k}") == F.col(f"r.{k}"), F.col(f"l.{k}")) for k in keys]
-    found = [F.when(s.isNotNull(), F.lit(p.name)) for s, p in zip(shared, passes)]
     exploded = per_pass(keyed, list(range(len(passes))))
     return self_join(exploded, BLOCK, tile_rows, first_pass_only(passes)).select(
         _side("l", columns).alias("left"),
         _side("r", columns).alias("right"),
         (F.least(*shared) if len(shared) > 1 else shared[0]).alias("blockKey"),
-        F.array_compact(F.array(*found)).alias("passes"),
+        _found_by(shared, passes).alias("passes"),
     )

@@ -155,3 +155,18 @@ def test_rows_with_the_same_id_become_one(spark):
     doubled = one_row_per_id(table.unionByName(table))
     assert doubled.columns == table.columns
     assert sorted(map(str, doubled.collect())) == sorted(map(str, table.collect()))
+
+
+def test_pass_names_stay_in_generated_code(spark):
+    """Of two passes and of three, without a function over an array for each pair."""
+    rows = spark.createDataFrame(PEOPLE, TX_SCHEMA)
+    for passes in ((NAME_PASS, AMOUNT_PASS), (NAME_PASS, AMOUNT_PASS, PREFIX_PASS)):
+        pairs = multi_pass_pairs(rows, passes)
+        assert "lambda" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+        keys = with_pass_keys(rows, passes).collect()
+        expected = {}
+        for x, y in combinations(sorted(keys, key=lambda r: r["txId"]), 2):
+            names = [p.name for i, p in enumerate(passes) if x[f"_key{i}"] is not None and x[f"_key{i}"] == y[f"_key{i}"]]
+            if names:
+                expected[x["txId"], y["txId"]] = names
+        assert {(r["left"]["txId"], r["right"]["txId"]): r["passes"] for r in pairs.collect()} == expected
