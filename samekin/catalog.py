@@ -230,7 +230,8 @@ def _decisions(policy):
 
 
 def decision_summary(spark, sf_dir):
-    return D.score_summary(scored_pairs(transactions(spark, sf_dir), PASSES), WIDE)
+    threshold = WIDE.name_similarity_threshold
+    return D.score_summary(scored_pairs(transactions(spark, sf_dir), PASSES, threshold), WIDE)
 
 
 def matched_edges(spark, sf_dir):

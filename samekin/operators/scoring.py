@@ -13,6 +13,12 @@ FEATURES = {
     "wallet": ("walletNorm", text.normalize_wallet),
     "txType": ("typeNorm", text.normalize_type),
 }
+NAME_SKETCH = "nameSketch"
+
+
+def with_name_sketches(rows: DataFrame) -> DataFrame:
+    """Add what tells :func:`similarity_scores` that names are far apart, once per transaction."""
+    return rows.withColumn(NAME_SKETCH, similarity.name_sketch(F.col(FEATURES["name"][0])))
 
 
 def with_match_features(transactions: DataFrame) -> DataFrame:
@@ -23,9 +29,13 @@ def with_match_features(transactions: DataFrame) -> DataFrame:
     )
 
 
-def facts(left: str, right: str, ready: bool = True) -> dict[str, Column]:
+def facts(
+    left: str, right: str, ready: bool = True, least_name: float | None = None
+) -> dict[str, Column]:
     """The five facts of a pair whose sides are reached as ``left.*`` and ``right.*``. If the
-    normalized columns are not ``ready`` they are derived here."""
+    normalized columns are not ``ready`` they are derived here. With ``least_name``, for which both
+    sides need :func:`with_name_sketches`, a smaller similarity of names is told as
+    something smaller."""
 
     def normalized(side: str, column: str) -> Column:
         feature, normalize = FEATURES[column]
@@ -37,8 +47,13 @@ def facts(left: str, right: str, ready: bool = True) -> dict[str, Column]:
     def raw(column: str) -> list[Column]:
         return [F.col(f"{left}.{column}"), F.col(f"{right}.{column}")]
 
+    if least_name is None:
+        names = similarity.name_similarity(*both("name"))
+    else:
+        sketches = [F.col(f"{side}.{NAME_SKETCH}") for side in (left, right)]
+        names = similarity.name_similarity_from(least_name, *both("name"), *sketches)
     return {
-        "nameSimilarity": similarity.name_similarity(*both("name")),
+        "nameSimilarity": names,
         "walletExactMatch": similarity.equal_values(*both("wallet")),
         "amountRelativeDifference": similarity.amount_relative_difference(*raw("amount")),
         "typeExactMatch": similarity.equal_values(*both("txType")),
@@ -46,10 +61,12 @@ def facts(left: str, right: str, ready: bool = True) -> dict[str, Column]:
     }
 
 
-def similarity_scores(pairs: DataFrame) -> DataFrame:
-    """One row of facts per candidate pair, keeping the block key."""
+def similarity_scores(pairs: DataFrame, least_name: float | None = None) -> DataFrame:
+    """One row of facts per candidate pair, keeping the block key. With ``least_name`` the rows need
+    :func:`with_name_sketches`, and a similarity of names below it is told as something below."""
     sides = pairs.schema["left"].dataType.names
-    columns = facts("left", "right", ready=all(f in sides for f, _ in FEATURES.values()))
+    ready = all(f in sides for f, _ in FEATURES.values())
+    columns = facts("left", "right", ready, least_name)
     return pairs.select(
         F.col("left.txId").alias("leftTxId"),
         F.col("right.txId").alias("rightTxId"),

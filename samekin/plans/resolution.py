@@ -10,7 +10,7 @@ from samekin.operators.components import Components, resolve_components
 from samekin.operators.linking import connecting_edges
 from samekin.operators.pairs import multi_pass_pairs, one_row_per_id
 from samekin.operators.skew import reused
-from samekin.operators.scoring import similarity_scores, with_match_features
+from samekin.operators.scoring import similarity_scores, with_match_features, with_name_sketches
 from samekin.plans.policy import DecisionPolicy
 
 # Fixed value of the standard run: the length of the report.
@@ -18,11 +18,17 @@ TOP_ENTITIES = 20
 
 
 def scored_pairs(
-    transactions: DataFrame, passes: tuple[BlockingPass, ...] = DEFAULT_PASSES
+    transactions: DataFrame,
+    passes: tuple[BlockingPass, ...] = DEFAULT_PASSES,
+    least_name: float | None = None,
 ) -> DataFrame:
-    """Facts of every deduplicated candidate pair of all passes."""
+    """Facts of every deduplicated candidate pair of all passes. For a reader that only asks whether names
+    are at least ``least_name`` similar, edit distances are computed where sketches leave that open, and
+    a similarity below it is told as something below."""
     features = with_match_features(one_row_per_id(transactions))
-    return similarity_scores(multi_pass_pairs(features, passes))
+    if least_name is not None:
+        features = with_name_sketches(features)
+    return similarity_scores(multi_pass_pairs(features, passes), least_name)
 
 
 def decided_pairs(

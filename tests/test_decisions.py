@@ -185,6 +185,14 @@ def test_summaries_count_kinds(spark):
         assert {(r["decision"], r["reason"]): r["pairs"] for r in found.collect()} == expected
 
 
+def test_summary_of_names_told_by_threshold(spark):
+    """Equal to the one of all similarities, in either mode."""
+    for policy in (DecisionPolicy(), DecisionPolicy(evidence_mode="IDENTIFIER", name_similarity_threshold=0.6)):
+        whole = score_summary(scored_pairs(payments(spark)), policy)
+        told = scored_pairs(payments(spark), least_name=policy.name_similarity_threshold)
+        assert sorted(score_summary(told, policy).collect()) == sorted(whole.collect())
+
+
 def test_matched_filter_reaches_the_join(spark):
     """Losing pairs are dropped inside the self-join, not after it."""
     plan = matched_edges(decided_pairs(payments(spark), DecisionPolicy()))

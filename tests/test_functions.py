@@ -83,3 +83,27 @@ def test_two_decimals_round_as_decimals_do(spark):
     ratios = spark.range(1, 121).select(F.col("id").alias("n")).crossJoin(spark.range(0, 121).select(F.col("id").alias("k")))
     ratios = ratios.where("k <= n and n % 8 <> 0").select((1.0 - edits / number).alias("v"))
     assert ratios.where(F.round("v", 2) != similarity._hundredths(F.col("v"))).collect() == []
+
+
+def test_sketches_spare_edit_distances_but_lose_no_similar_name(spark):
+    """Names that differ much get 0 unseen; those as similar as asked for, or more, their similarity."""
+    draw = random.Random(5)
+    names = ["", "a", "é", "😀 ab", None, *("".join(draw.choices("abcdefgh", k=draw.randint(1, 40))) for _ in range(30))]
+    for name in names[5:]:
+        for _ in range(draw.randint(1, 6)):
+            at = draw.randint(0, len(name))
+            name = name[:at] + draw.choice(["", "x", "é", "yz"]) + name[at + draw.randint(0, 1) :]
+            names.append(name)
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    rows = rows.withColumn("sketch", similarity.name_sketch("name"))
+    left, right = (rows.withColumnsRenamed({"name": f"{s}n", "sketch": f"{s}s"}) for s in "lr")
+    sides = [F.col(c) for c in ("ln", "rn")]
+    for least in (0.0, 0.5, 0.85, 1.0):
+        told = similarity.name_similarity_from(least, *sides, F.col("ls"), F.col("rs"))
+        pairs = left.crossJoin(right).select(similarity.name_similarity(*sides).alias("exact"), told.alias("told"))
+        wrong = F.when(F.col("exact") >= least, F.col("told") != F.col("exact")).otherwise(F.col("told") >= least)
+        assert pairs.where(wrong | F.col("told").isNull()).isEmpty()
+    sketched = similarity.name_similarity_from(0.85, F.lit("customerOOO123456"), F.lit("customerOOO907182"), F.col("ls"), F.col("rs"))
+    pair = spark.createDataFrame([("customerOOO123456", "customerOOO907182")], "ln string, rn string")
+    pair = pair.withColumns({"ls": similarity.name_sketch("ln"), "rs": similarity.name_sketch("rn")})
+    assert pair.select(sketched).first()[0] == 0.0
