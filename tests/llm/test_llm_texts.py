@@ -4,6 +4,7 @@ import collections
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -133,6 +134,21 @@ def toxic_corpus(seed, n):
     return texts, toxic
 
 
+def test_toxicity_chooses_features_without_sorting_all_of_them():
+    """The driver holds counts of fixed size beside the features of the sample, not copies of these."""
+    draw = np.random.default_rng(3)
+    toxic = np.arange(300) % 3 == 0
+    found = [np.sort(draw.choice(50_000, 20_000, replace=False)).astype(np.uint32) for _ in toxic]
+    for own, flag in zip(found, toxic):
+        own[0] = 60_000 if flag else 70_000
+    tracemalloc.start()
+    chosen = toxicity._chosen(found, toxic)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert chosen.tolist() == [60_000]
+    assert peak < 64 << 20
+
+
 def test_toxicity_on_unseen_documents(spark):
     texts, toxic = toxic_corpus(1, 800)
     table = documents(spark, texts)
