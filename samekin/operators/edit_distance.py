@@ -59,9 +59,12 @@ def covered_lengths(threshold: float) -> dict[int, int]:
     return {length: most for length, most in edits.items() if most <= COVERED_EDITS}
 
 
-def cover_keys(name: Column, prefix: Column, suffix: Column, lengths: dict[int, int]) -> Column:
+def cover_keys(
+    name: Column, prefix: Column, suffix: Column, lengths: dict[int, int], few: bool = False
+) -> Column:
     """Keys of a name, such that two different names of one of the ``lengths`` are similar if and only if
     they share a key. All names begin with the same ``prefix`` letters and end with the same ``suffix``.
+    With ``few``, only some of the keys, linear in the letters, which leave out every letter once.
 
     Names with two edits differ by two letters, or by one that is deleted and one that is inserted. So a
     key is the name without the letters at two places, or without a letter wherever it was. A single edit
@@ -88,6 +91,20 @@ def cover_keys(name: Column, prefix: Column, suffix: Column, lengths: dict[int,
 
     places = F.sequence(F.lit(1), letters)
     one = F.transform(places, lambda place: key(place.cast("string"), without(core, place)))
+    if few:
+        # Two letters side by side; the last two overlap those before where the letters are odd in number.
+        seconds = F.sequence(F.least(F.lit(2), letters), letters, F.lit(2))
+        ends = F.array_distinct(F.concat(seconds, F.array(letters)))
+        beside = F.transform(
+            ends,
+            lambda second: key(
+                F.concat_ws(",", (second - 1).cast("string"), second.cast("string")),
+                without(without(core, second), second - 1),
+            ),
+        )
+        return (
+            F.when((edits == 0) | (letters < 1), none).when((edits == 1) | (letters < 2), one).otherwise(beside)
+        )
     two = F.flatten(F.transform(F.sequence(F.lit(2), letters), pairs_with))
     moved = F.array_distinct(F.transform(places, lambda place: key(F.lit("-"), without(core, place))))
     return (

@@ -12,7 +12,9 @@ cell match each other for certain:
 Where a match also asks for an equal wallet or a similar name, cells are those of one wallet, and those
 of one name. Cells of similar names, found by an edit-distance join, are neighbours like others. Where
 many names meet, rows also form cells by what is left of their names without an edit or two: names that
-agree in it are all similar, so these cells are linked like those of one wallet, in linear work.
+agree in it are all similar, so these cells are linked like those of one wallet, in linear work. A few such
+keys a name hang most rows together; the others are taken for rows outside the largest components alone,
+and for what is near them.
 
 Cells are made by an aggregation with map-side combine, so a group holding a third of all rows is
 reduced to a handful of values before anything is shuffled.
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 
 from samekin.functions.similarity import amount_relative_difference, name_similarity
 from samekin.operators.blocking import BLOCK, BlockingPass, per_pass
+from samekin.operators.components import contract_to_stars
 from samekin.operators.edit_distance import always_similar, cover_keys, covered_lengths, similar_names
 from samekin.operators.matching import (
     amount_sign,
@@ -54,7 +57,9 @@ from samekin.plans.policy import BEHAVIORAL, DecisionPolicy
 # matching rows may be up to two cells apart in amount, and one in time.
 AMOUNT_STEPS = 2
 
-PLACE = [*BLOCK, "_type", "_sign", "_time", "_amount"]
+# Rows that differ in one of these never match.
+KIND = [*BLOCK, "_type", "_sign"]
+PLACE = [*KIND, "_time", "_amount"]
 # All rows of a cell agree in whom they are from, if that matters.
 CELL = [*PLACE, "_who"]
 # Cells of one place with more names than this look for similar ones by segments.
@@ -63,19 +68,26 @@ NAMES_TOGETHER = 256
 WIDE_TIME, WIDE_AMOUNT = 4, 8
 
 
-def _with_cells(rows: DataFrame, policy: DecisionPolicy, passing: float) -> DataFrame:
+def _cell(policy: DecisionPolicy, passing: float) -> dict[str, Column]:
+    """Where a row's cell lies in its block."""
     # Half a hundredth more would still round to the passing value; stop short of that edge so
     # that rounding errors of the logarithm cannot let in a row that does not match.
     width = log_ratio(passing + 0.0045)
+    return {
+        "_type": F.col("typeNorm") if policy.require_type_match else F.lit(""),
+        "_sign": amount_sign(F.col("amount")),
+        "_time": floor_div(F.col("eventTime"), policy.max_step_distance + 1),
+        "_amount": F.floor(log_amount(F.col("amount")) / width),
+    }
+
+
+def _with_cells(rows: DataFrame, policy: DecisionPolicy, passing: float) -> DataFrame:
     return rows.select(
         "txId",
         *BLOCK,
         F.abs("amount").alias("_size"),
         F.col("eventTime").alias("_at"),
-        (F.col("typeNorm") if policy.require_type_match else F.lit("")).alias("_type"),
-        amount_sign(F.col("amount")).alias("_sign"),
-        floor_div(F.col("eventTime"), policy.max_step_distance + 1).alias("_time"),
-        F.floor(log_amount(F.col("amount")) / width).alias("_amount"),
+        *[where.alias(name) for name, where in _cell(policy, passing).items()],
         (F.col("_who") if "_who" in rows.columns else F.lit("")).alias("_who"),
     )
 
@@ -157,17 +169,17 @@ AHEAD = [(0, s) for s in AMOUNT_REACH if s > 0] + [(1, s) for s in AMOUNT_REACH]
 AROUND = [(t, s) for t in (-1, 0, 1) for s in AMOUNT_REACH]
 
 
+def _wide(time: Column, amount: Column) -> list[Column]:
+    return [floor_div(time, WIDE_TIME), floor_div(amount, WIDE_AMOUNT)]
+
+
 def _neighbours(cells: DataFrame, policy: DecisionPolicy) -> DataFrame:
     """Pairs of neighbouring cells. They meet in wide cells: ``a`` in its own, ``b`` in all from which it
     can be seen, mostly one or two. The join is on equality, and a wide cell holds a bounded number of
     cells."""
-
-    def wide(time: Column, amount: Column) -> list[Column]:
-        return [floor_div(time, WIDE_TIME), floor_div(amount, WIDE_AMOUNT)]
-
     time, amount = F.col("_time"), F.col("_amount")
-    own = wide(time, amount)
-    first, last = wide(time - 1, amount - AMOUNT_STEPS), wide(time, amount + AMOUNT_STEPS)
+    own = _wide(time, amount)
+    first, last = _wide(time - 1, amount - AMOUNT_STEPS), _wide(time, amount + AMOUNT_STEPS)
     looking = cells.withColumns({"_wtime": own[0], "_wamount": own[1]})
     seen = cells.withColumn("_wtime", F.explode(F.sequence(first[0], last[0])))
     seen = seen.withColumn("_wamount", F.explode(F.sequence(first[1], last[1])))
@@ -213,13 +225,72 @@ def _covered_blocks(cells: DataFrame, crowded: DataFrame, lengths: dict[int, int
     return measured(prefixed.select(*BLOCK, "_prefix", suffix.alias("_suffix"), one.alias("_alike")))
 
 
-def _by_cover(rows: DataFrame, blocks: Lookup, lengths: dict[int, int]) -> DataFrame:
-    """``rows`` once for each cover key of their name, in place of the name."""
+def _by_cover(rows: DataFrame, blocks: Lookup, lengths: dict[int, int], few: bool = False) -> DataFrame:
+    """``rows`` once for each cover key of their name, or for a ``few`` of them, in place of the name."""
     known = sized_join(rows, blocks, BLOCK, "inner")
-    keys = cover_keys(F.col("_who"), F.col("_prefix"), F.col("_suffix"), lengths)
+    keys = cover_keys(F.col("_who"), F.col("_prefix"), F.col("_suffix"), lengths, few)
     return known.withColumn("_who", F.explode(keys)).select(*rows.columns)
 
 
+def _outside_largest(placed: DataFrame, mapping: DataFrame, hot_rows: int) -> DataFrame:
+    """The ``placed`` rows that are not in the component which most rows of their kind are in."""
+    rows = placed.select("txId", *CELL)
+    labels = mapping.select("txId", F.col("resolvedEntityId").alias("_label"))
+    hot = hot_keys(rows, "txId", hot_rows)
+    known = lookup_join(rows, labels, "txId", "left", hot)
+    known = known.withColumn("_label", F.coalesce("_label", "txId"))
+    sizes = known.groupBy(*KIND, "_label").agg(F.count("*").alias("_rows"))
+    largest = sizes.groupBy(*KIND).agg(F.max_by("_label", F.struct("_rows", "_label")).alias("_largest"))
+    beside = sized_join(known, largest, KIND, "inner").where(F.col("_label") != F.col("_largest"))
+    return beside.select(*rows.columns)
+
+
+def _near(
+    rows: DataFrame, outside: DataFrame, blocks: Lookup, lengths: dict[int, int], policy: DecisionPolicy, passing: float
+) -> DataFrame:
+    """``rows`` once for each cover key that a row of ``outside``, in a cell around theirs, has as well. They
+    are looked for by wide cells, first without keys, so that rows far from all ``outside`` get none."""
+    place = [*KIND, "_wtime", "_wamount"]
+    time, amount = F.col("_time"), F.col("_amount")
+    first, last = _wide(time - 1, amount - AMOUNT_STEPS), _wide(time + 1, amount + AMOUNT_STEPS)
+    around = _by_cover(outside, blocks, lengths).withColumn("_wtime", F.explode(F.sequence(first[0], last[0])))
+    around = around.withColumn("_wamount", F.explode(F.sequence(first[1], last[1])))
+    sought = measured(around.select(*place, "_who").distinct())
+    own = _wide(time, amount)
+    cells = rows.withColumns(_cell(policy, passing)).withColumns({"_wtime": own[0], "_wamount": own[1]})
+    close = sized_join(cells, sought.table.select(*place).distinct(), place, "left_semi")
+    return sized_join(_by_cover(close, blocks, lengths), sought, [*place, "_who"], "left_semi").select(*rows.columns)
+
+
+def _cover_links(
+    rows: DataFrame,
+    links: DataFrame,
+    blocks: Lookup,
+    lengths: dict[int, int],
+    policy: DecisionPolicy,
+    passing: float,
+    keep: Keep,
+    hot_rows: int,
+) -> DataFrame:
+    """``links`` and those among names that share a cover key, or others with the same components.
+
+    A few keys already hang most rows together. Rows of one kind never match those of another, and
+    a link within a component says nothing new, so all keys are needed only for the rows outside the
+    component that most rows of their kind are in, and for what is near these and shares a key with them.
+    """
+    some = block_links(_by_cover(rows, blocks, lengths, few=True), policy, keep, hot_rows)
+    mapping = measured(contract_to_stars(links.unionByName(some), hot_rows).mapping).table
+    stars = mapping.where(F.col("txId") != F.col("resolvedEntityId")).select(
+        F.col("resolvedEntityId").alias("src"), F.col("txId").alias("dst")
+    )
+    named = sized_join(rows, blocks, BLOCK, "left_semi")
+    outside = measured(_outside_largest(_with_cells(named, policy, passing), mapping, hot_rows))
+    if not outside.rows:
+        return stars
+    near = keep(_near(rows, outside.table, blocks, lengths, policy, passing))
+    return stars.unionByName(block_links(near, policy, keep, hot_rows))
+
+
 def _similar_neighbours(
     cells: DataFrame, policy: DecisionPolicy, crowded: DataFrame | None, blocks: Lookup | None, lengths: dict[int, int]
 ) -> DataFrame:
@@ -331,16 +402,15 @@ def block_links(
     cells = keep(_cells(placed))
     members = _members(placed, cells, hot_rows)
     neighbours = _neighbours(cells, policy)
-    covered = None
+    blocks = None
     if names is not None:
         named = cells.where(names)
         lengths = covered_lengths(policy.name_similarity_threshold)
-        crowded, blocks = _crowded_places(named, names_together), None
+        crowded = _crowded_places(named, names_together)
         if crowded.isEmpty():
             crowded = None
         else:
             blocks = _covered_blocks(named, crowded, lengths)
-            covered = _by_cover(rows.where(names), blocks, lengths)
         similar = _similar_neighbours(named, policy, crowded, blocks, lengths)
         neighbours = neighbours.unionByName(similar)
     neighbours = keep(neighbours)
@@ -355,21 +425,21 @@ def block_links(
         F.col("rep").alias("src"), F.col("txId").alias("dst")
     )
     links = inside.unionByName(neighbours.where("sure").select(*ends))
-    if covered is not None:
-        links = links.unionByName(block_links(covered, policy, keep, hot_rows))
-    if settled:
-        return links
-    # The extremes at each distinct time, for the pairs of cells still open.
-    moments = (
-        members.groupBy("_pass", "_who", "rep", "_at")
-        .agg(F.min("_size").alias("low"), F.max("_size").alias("high"))
-        .unionByName(
-            cells.where(F.col("members") == 1).select(
-                "_pass", "_who", "rep", F.col("first").alias("_at"), "low", "high"
+    if not settled:
+        # The extremes at each distinct time, for the pairs of cells still open.
+        moments = (
+            members.groupBy("_pass", "_who", "rep", "_at")
+            .agg(F.min("_size").alias("low"), F.max("_size").alias("high"))
+            .unionByName(
+                cells.where(F.col("members") == 1).select(
+                    "_pass", "_who", "rep", F.col("first").alias("_at"), "low", "high"
+                )
             )
         )
-    )
-    return links.unionByName(_settled_by_sweep(open_pairs, moments, policy).select(*ends))
+        links = links.unionByName(_settled_by_sweep(open_pairs, moments, policy).select(*ends))
+    if blocks is None:
+        return links
+    return _cover_links(rows.where(names), links, blocks, lengths, policy, passing, keep, hot_rows)
 
 
 def _identified(rows: DataFrame, policy: DecisionPolicy) -> DataFrame:

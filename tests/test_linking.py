@@ -5,7 +5,7 @@ import random
 import pytest
 
 from samekin.operators import skew
-from samekin.operators.blocking import AMOUNT_PASS, NAME_PASS, BlockingPass, amount_type_key
+from samekin.operators.blocking import AMOUNT_PASS, NAME_PASS, PREFIX_PASS, BlockingPass, amount_type_key
 from samekin.operators.components import resolve_components
 from samekin.operators.linking import connecting_edges
 from samekin.operators.matching import matched_edges_direct
@@ -149,3 +149,25 @@ def test_copies_of_a_row_count_once(spark):
     assert decided_pairs(table, DecisionPolicy(), passes).count() == 1
     assert [tuple(r) for r in matched_edges_direct(table, DecisionPolicy(), passes).collect()] == [("x", "y")]
     assert count_matches(table, DecisionPolicy(), passes).first()["rows"] == 1
+
+
+@pytest.mark.parametrize("letters, lengths, steps, most", [(5, (4,), (0, 1), 4), (9, (1, 2, 6), (0, 0, 1, 2, 9), None)])
+def test_crowded_names_give_few_edges_with_the_same_entities(spark, letters, lengths, steps, most):
+    """Names of one block differ in a few letters. Where they are dense, a row takes part in a few edges and
+    not in one for each way to leave out two letters; rows far from most others are found as well."""
+    rng = random.Random(letters)
+    rows = []
+    for i in range(400):
+        tail = "".join(rng.choice("abcdefghi"[:letters]) for _ in range(rng.choice(lengths)))
+        amount = round(100 * 1.3 ** rng.choice(steps) * rng.uniform(1, 1.2), 2)
+        at = 24 * rng.randrange(3) + (5000 if i % 50 == 0 else 0)
+        rows.append((f"t{i}", f"customer{tail}ooooo", f"w{i}", amount, rng.choice("AB"), at))
+    table = spark.createDataFrame(rows, TX_SCHEMA)
+    policy = DecisionPolicy(evidence_mode=IDENTIFIER, max_step_distance=24)
+    listed = matched_edges_direct(table, policy, (PREFIX_PASS,)).collect()
+    expected = components([tuple(e) for e in listed])
+    edges = connecting_edges(table, policy, (PREFIX_PASS,), names_together=3).collect()
+    assert components([tuple(e) for e in edges]) == expected
+    assert len(set(expected.values())) > 1
+    if most:
+        assert len(edges) <= most * len(rows)
