@@ -18,14 +18,14 @@ from samekin.operators import blocking as B
 from samekin.operators import decisions as D
 from samekin.operators import metrics, report
 from samekin.operators.blocking import pass_key
-from samekin.operators.components import grow_components, propagate_labels
+from samekin.operators.components import grow_components
 from samekin.operators.linking import connecting_edges
 from samekin.operators.matching import matched_edges_direct, prepared
 from samekin.operators.pairs import candidate_pairs, multi_pass_pairs, union_and_deduplicate
 from samekin.operators.scoring import similarity_scores, with_match_features
 from samekin.operators.skew import reused
 from samekin.plans.policy import IDENTIFIER, DecisionPolicy
-from samekin.plans.resolution import decided_pairs, resolve_entities, scored_pairs
+from samekin.plans.resolution import decided_pairs, propagate_entities, resolve_entities, scored_pairs
 from samekin.session import scratch_path
 from samekin.sources import payments
 
@@ -270,7 +270,7 @@ def components_grown(spark, sf_dir):
 
 
 def _propagated(spark, sf_dir):
-    return propagate_labels(matched_edges_direct(transactions(spark, sf_dir), WIDE, PASSES))
+    return propagate_entities(transactions(spark, sf_dir), WIDE, PASSES)
 
 
 def components_propagated(spark, sf_dir):

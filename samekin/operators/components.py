@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from samekin.operators.skew import HOT_ROWS, hot_keys, lookup_join, measured
 from samekin.session import release, scratch_path
@@ -57,10 +58,31 @@ def _cut(df: DataFrame, **metrics) -> _Round:
     return _Round(spark.read.schema(df.schema).parquet(path), path, observation.get)
 
 
+def number_ids(ids: DataFrame) -> DataFrame:
+    """The different ids of a column ``id`` with numbers ``n`` in their order. Only once it is written do the
+    numbers stay the same."""
+    return ids.orderBy("id").withColumn("n", F.monotonically_increasing_id())
+
+
+def named_back(mapping: DataFrame, numbers: DataFrame, rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """A mapping of ``rows`` numbers at most as one of the ids that :func:`number_ids` gave them for."""
+
+    def named(end: str) -> DataFrame:
+        return numbers.select(F.col("n").alias(end), F.col("id").alias("_id"))
+
+    hot = _hot(mapping, "resolvedEntityId", rows, hot_rows)
+    entities = lookup_join(mapping, named("resolvedEntityId"), "resolvedEntityId", "inner", hot)
+    entities = entities.select("txId", F.col("_id").alias("resolvedEntityId"))
+    return entities.join(named("txId"), "txId").select(F.col("_id").alias("txId"), "resolvedEntityId")
+
+
 def _numbered(first: DataFrame, rows: int, hot_rows: int) -> tuple[_Round, _Round]:
     """Ids with numbers in their order (``id``, ``n``), and ids with their number and that of their label.
     Numbers are compared, shuffled and aggregated by hash, where texts have to be sorted."""
-    numbers = _cut(first.select("id").orderBy("id").withColumn("n", F.monotonically_increasing_id()))
+    if isinstance(first.schema["id"].dataType, T.LongType):
+        # They are numbers already.
+        return _cut(first.select("id", F.col("id").alias("n"))), _cut(first.select("id", F.col("id").alias("n"), "label"))
+    numbers = _cut(number_ids(first.select("id")))
     own = first.join(numbers.table, "id")
     named = numbers.table.select(F.col("id").alias("label"), F.col("n").alias("_label"))
     known = lookup_join(own, named, "label", "inner", _hot(first, "label", rows, hot_rows))
@@ -154,6 +176,8 @@ def propagate_labels(
     later = last.table.select("n", F.col("label").alias("_later"))
     final = ids.table.join(later, "n", "left")
     final = final.select("id", F.coalesce("_later", "label").alias("n"))
+    if isinstance(ids.table.schema["id"].dataType, T.LongType):
+        return Components(final.select(F.col("id").alias("txId"), F.col("n").alias("resolvedEntityId")), rounds)
     names = numbers.table.select("n", F.col("id").alias("resolvedEntityId"))
     mapping = lookup_join(final, names, "n", "inner", _hot(final, "n", first.seen["rows"], hot_rows))
     return Components(mapping.select(F.col("id").alias("txId"), "resolvedEntityId"), rounds)

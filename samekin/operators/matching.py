@@ -179,12 +179,15 @@ def matching_join(
         equal.append("typeNorm")
     if tile_rows is not None:
         left, right = split_crowded(left, right, equal, tile_rows)
-    on = F.col("l.txId") < F.col("r.txId")
+    known = facts("l", "r")
+    # What is tested first is cheap and holds for few pairs of a cell.
+    on = known["timeDistance"] <= F.lit(policy.max_step_distance)
+    on &= F.col("l.txId") < F.col("r.txId")
     for column in equal:
         on &= F.col(f"l.{column}") == F.col(f"r.{column}")
     if condition is not None:
         on &= condition
-    on &= evidence(facts("l", "r"), policy).matched
+    on &= evidence(known, policy).matched
     return left.alias("l").join(right.alias("r"), on)
 
 

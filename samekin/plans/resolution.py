@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from samekin.operators import decisions as D
 from samekin.operators.blocking import DEFAULT_PASSES, BlockingPass
-from samekin.operators.components import Components, resolve_components
+from samekin.operators.components import Components, named_back, number_ids, propagate_labels, resolve_components
 from samekin.operators.linking import connecting_edges
+from samekin.operators.matching import matched_edges_direct, prepared
 from samekin.operators.pairs import multi_pass_pairs, one_row_per_id
-from samekin.operators.skew import reused
+from samekin.operators.skew import measured, reused
 from samekin.operators.scoring import similarity_scores, with_match_features, with_name_sketches
 from samekin.plans.policy import DecisionPolicy
 
@@ -48,3 +50,18 @@ def resolve_entities(
     """Transactions to entities, to convergence, by a connecting set of edges."""
     with reused() as keep:
         return resolve_components(connecting_edges(transactions, policy, passes, keep))
+
+
+def propagate_entities(
+    transactions: DataFrame,
+    policy: DecisionPolicy,
+    passes: tuple[BlockingPass, ...] = DEFAULT_PASSES,
+) -> Components:
+    """Transactions to entities by plain propagation over all matched pairs. Ids are numbers in their order
+    meanwhile, as pairs are many more than rows: numbers are compared and aggregated by hash, texts sorted."""
+    ready = prepared(transactions, passes)
+    ids = ready.table.select(F.col("txId").alias("id")).where("id is not null")
+    numbers = measured(number_ids(ids)).table
+    numbered = ready.table.join(numbers, F.col("txId") == F.col("id")).drop("txId", "id").withColumnRenamed("n", "txId")
+    found = propagate_labels(matched_edges_direct(numbered, policy, passes))
+    return Components(named_back(found.mapping, numbers, ready.rows), found.rounds)

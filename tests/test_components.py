@@ -10,6 +10,11 @@ from samekin.operators.components import (
     resolve_components,
     symmetric_edges,
 )
+from samekin.operators.blocking import DEFAULT_PASSES
+from samekin.operators.matching import matched_edges_direct
+from samekin.plans import resolution
+from samekin.plans.policy import DecisionPolicy
+from samekin.schema import TX_SCHEMA
 from tests.brute_force import components
 
 EDGES = "src string, dst string"
@@ -138,3 +143,29 @@ def test_propagation_leaves_settled_groups_out_of_the_rounds(spark):
     left = _unsettled(pairs, 10**6).select("hi_n", "lo_n").collect()
     assert {tuple(r) for r in left} == {(23, 22)}
     assert propagate_labels(table(spark, edges), settle_rows=0).rounds == [13, 1, 0]
+
+
+def test_entities_by_propagation_of_numbers(spark, monkeypatch):
+    """Ids are numbers, in the order of the texts, before pairs are made of them; rounds and entities are
+    those of the texts. Ids may be missing or repeat."""
+    rng = random.Random(5)
+    rows = [
+        (str(rng.randrange(400)), rng.choice(["Ann", "Bo", "Cy", None]), "w", rng.choice([10.0, 10.4, 12.0, 30.0]), "A", 6 * i)
+        for i in range(120)
+    ]
+    rows += [(None, "Ann", "w", 10.0, "A", 3), rows[0]]
+    transactions = spark.createDataFrame(rows, TX_SCHEMA)
+    policy = DecisionPolicy(max_step_distance=24)
+    expected = propagate_labels(matched_edges_direct(transactions, policy, DEFAULT_PASSES))
+    given = []
+
+    def propagated(edges):
+        given.append(dict(edges.dtypes))
+        return propagate_labels(edges, settle_rows=len(given) % 2 * 10**6)
+
+    monkeypatch.setattr(resolution, "propagate_labels", propagated)
+    for _ in range(2):
+        found = resolution.propagate_entities(transactions, policy)
+        assert mapping_of(found) == mapping_of(expected)
+        assert found.rounds == expected.rounds and len(found.rounds) > 2
+    assert given == [{"src": "bigint", "dst": "bigint"}] * 2
