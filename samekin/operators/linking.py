@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from samekin.functions.similarity import amount_relative_difference, name_similarity
+from samekin.functions.text import common_prefix
 from samekin.operators.blocking import BLOCK, BlockingPass, per_pass
 from samekin.operators.components import contract_to_stars
 from samekin.operators.edit_distance import always_similar, cover_keys, covered_lengths, similar_names
@@ -196,14 +197,6 @@ def _crowded_places(cells: DataFrame, names_together: int) -> DataFrame:
     return sizes.where(F.col("_names") > names_together).select(*PLACE)
 
 
-def _common_prefix(one: Column, other: Column) -> Column:
-    """How many letters two texts begin with in common."""
-    shorter = F.least(F.length(one), F.length(other))
-    places = F.when(shorter > 0, F.sequence(F.lit(1), shorter)).otherwise(F.array().cast("array<int>"))
-    differing = F.filter(places, lambda i: F.substring(one, i, 1) != F.substring(other, i, 1))
-    return F.when(F.size(differing) > 0, differing[0] - 1).otherwise(shorter)
-
-
 def _covered_blocks(cells: DataFrame, crowded: DataFrame, lengths: dict[int, int]) -> Lookup:
     """The blocks with crowded places: how many letters all names of a block have in common at the
     beginning (``_prefix``) and, behind that, at the end (``_suffix``), and whether all its pairs of names
@@ -219,8 +212,8 @@ def _covered_blocks(cells: DataFrame, crowded: DataFrame, lengths: dict[int, int
         F.min(F.length(name)).alias("_shortest"),
         F.max(F.length(name)).alias("_longest"),
     )
-    prefixed = ends.withColumn("_prefix", _common_prefix(F.col("_low"), F.col("_high")))
-    suffix = F.least(_common_prefix(F.col("_rlow"), F.col("_rhigh")), F.col("_shortest") - F.col("_prefix"))
+    prefixed = ends.withColumn("_prefix", common_prefix(F.col("_low"), F.col("_high")))
+    suffix = F.least(common_prefix(F.col("_rlow"), F.col("_rhigh")), F.col("_shortest") - F.col("_prefix"))
     one = (F.col("_shortest") == F.col("_longest")) & F.col("_longest").isin(list(lengths))
     return measured(prefixed.select(*BLOCK, "_prefix", suffix.alias("_suffix"), one.alias("_alike")))
 

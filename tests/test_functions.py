@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from samekin.functions import similarity, text
 from samekin.operators.blocking import amount_type_key, exact_name_key, prefix_key
 from samekin.operators.matching import floor_div
+from samekin.operators.scoring import NAME_CORE, with_name_cores
 from tests import brute_force
 
 
@@ -107,3 +108,24 @@ def test_sketches_spare_edit_distances_but_lose_no_similar_name(spark):
     pair = spark.createDataFrame([("customerOOO123456", "customerOOO907182")], "ln string, rn string")
     pair = pair.withColumns({"ls": similarity.name_sketch("ln"), "rs": similarity.name_sketch("rn")})
     assert pair.select(sketched).first()[0] == 0.0
+
+
+@pytest.mark.parametrize(
+    "names, cores",
+    [
+        (["cust 12 ab", "cust 345 ab", None, "cust  ab"], ["12", "345", None, ""]),
+        (["aaa", "aa", "aaaa"], ["a", "", "aa"]),
+        (["x\U0001f600é1", "x\U0001f600ü1", "x\U0001f600éé1"], ["é", "ü", "éé"]),
+        (["ab", "", "abc"], ["ab", "", "abc"]),
+        ([None, None], [None, None]),
+    ],
+)
+def test_names_without_what_all_share_are_equally_far_apart(spark, names, cores):
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, nameNorm string")
+    cored = with_name_cores(rows)
+    assert [r[NAME_CORE] for r in cored.orderBy("id").collect()] == cores
+    left, right = cored.alias("l"), cored.alias("r")
+    plain = similarity.name_similarity(F.col("l.nameNorm"), F.col("r.nameNorm"))
+    short = similarity.name_similarity(*[F.col(f"{side}.{c}") for c in ("nameNorm", NAME_CORE) for side in "lr"])
+    pairs = left.crossJoin(right).select(plain.alias("plain"), short.alias("short")).collect()
+    assert all(p.plain == p.short for p in pairs) and len(pairs) == len(names) ** 2
